@@ -6,9 +6,7 @@ bits have vectors within 4. The vectors' coordinates are dealt into 7 blocks; ve
 agree in 3 of them or more, so a grid on each of the 35 choices of 3 blocks brings every such
 pair into a common cell. Pairs of a cell are verified on the fingerprints themselves.
 
-Cells of many fingerprints don't emit all their pairs: every member is first held against the
-cell's commonest fingerprint, the components of these links are found, and then only pairs of
-different components are compared, of which one is outside the cell's largest component.
+Cells of many fingerprints don't emit all their pairs (see graph.cell_links).
 """
 
 from __future__ import annotations
@@ -19,10 +17,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .graph import components
+from .graph import cell_links, components
 from .util import durable, read
 
 SHINGLE_WORDS = 4
@@ -82,27 +80,10 @@ def _cells(fps: DataFrame, bits: int) -> DataFrame:
     return fps.withColumn("emb", embedding(F.col("fp"))).withColumn("cell", F.explode(grids)).select("cell", "fp", "n")
 
 
-def _near(a: str, b: str, bits: int) -> Column:
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= bits
-
-
 def links(fps: DataFrame, bits: int = BITS) -> DataFrame:
     """Links (u, v) whose components are those of all pairs of `fps` (fp distinct, n) within `bits` bits."""
-    own = Window.partitionBy("cell")
-    members = _cells(fps, bits).withColumn("many", F.count("*").over(own)).withColumn("hub", F.max(F.struct("n", "fp")).over(own)["fp"])
-    members = durable(members.where("many > 1").select("cell", "fp", "hub"))
-    first = durable(members.where((F.col("fp") != F.col("hub")) & _near("fp", "hub", bits)).select(F.col("fp").alias("u"), F.col("hub").alias("v")).distinct())
-    known = components(first).withColumnRenamed("node", "__fp")
-    placed = members.join(known, F.col("fp") == F.col("__fp"), "left").select("cell", "fp", F.coalesce("component", "fp").alias("comp"))
-    sizes = placed.groupBy("cell", "comp").agg(F.count("*").alias("k"))
-    mixed = sizes.groupBy("cell").agg(F.count("*").alias("comps"), F.max(F.struct("k", "comp"))["comp"].alias("major")).where("comps > 1")
-    placed = durable(placed.join(mixed.select(F.col("cell").alias("__cell"), "major"), F.col("cell") == F.col("__cell")).select("cell", "fp", "comp", "major"))
-    a = placed.where("comp <> major").select("cell", F.col("fp").alias("u"), F.col("comp").alias("cu"), "major")
-    b = placed.select(F.col("cell").alias("__cell"), F.col("fp").alias("v"), F.col("comp").alias("cv"))
-    # of two rows outside the major component one order is enough
-    apart = (F.col("cu") != F.col("cv")) & ((F.col("cv") == F.col("major")) | (F.col("u") > F.col("v")))
-    rest = a.join(b, (F.col("cell") == F.col("__cell")) & apart & _near("u", "v", bits)).select("u", "v").distinct()
-    return first.unionByName(rest)
+    members = _cells(fps, bits).select("cell", F.col("fp").alias("node"), "n", F.col("fp").alias("value"))
+    return cell_links(members, lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= bits)
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = BITS) -> DataFrame:
