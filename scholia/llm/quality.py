@@ -65,17 +65,17 @@ def _starts_of_repeats(ordered: Column) -> Column:
 
 
 def statistics(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, source and the base statistics of each row; a null text has no words."""
+    """doc_id, lang, source, text_key (hash of the text) and the base statistics of each row; a null text has no words."""
     text = F.coalesce(F.col("text"), F.lit(""))
     hashed = docs.select(
-        "doc_id", "lang", "source", text.alias("__text"), F.transform(words_of(text), lambda w: F.xxhash64(w)).alias("__words")
+        "doc_id", "lang", "source", F.xxhash64("text").alias("text_key"), text.alias("__text"), F.transform(words_of(text), lambda w: F.xxhash64(w)).alias("__words")
     )
     n = F.size("__words")
     windows = F.when(n >= WINDOW_WORDS, F.transform(F.sequence(F.lit(1), n - (WINDOW_WORDS - 1)), lambda i: F.xxhash64(F.slice("__words", i, WINDOW_WORDS)))).otherwise(F.array().cast("array<bigint>"))
     bare = F.translate("__text", SPACE, "")
     lines = F.filter(F.split("__text", "\n"), lambda x: F.length(F.btrim(x, F.lit(SPACE))) > 0)
     return hashed.withColumn("__windows", windows).select(
-        "doc_id", "lang", "source",
+        "doc_id", "lang", "source", "text_key",
         n.cast("long").alias("n_words"),
         F.length(bare).cast("long").alias("word_chars"),
         (F.length("__text") - F.length(F.translate("__text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
@@ -202,7 +202,7 @@ def estimates(rows: DataFrame, n_groups: int) -> DataFrame:
 def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     """Statistics and verdict of each row of `docs` (doc_id, text, lang, source).
 
-    Columns: doc_id, lang, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    Columns: doc_id, lang, source, text_key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     n_lines, base_failed, grp, distance (squared, null if base_failed), kept.
 
     Nulls: a null text has no words and fails the base rules; null languages and sources are groups

@@ -51,14 +51,14 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id and fp of each row; a null text has no words."""
+    """doc_id, fp and text_key of each row; a null text has no words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = [fingerprint(t.as_py(), words) for t in batch["text"]]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fp, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fp, pa.int64()), batch["text_key"]], ["doc_id", "fp", "text_key"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_key")).mapInArrow(run, "doc_id long, fp long, text_key long")
 
 
 def embedding(fp: Column) -> Column:
@@ -87,7 +87,7 @@ def links(fps: DataFrame, bits: int = BITS) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = BITS) -> DataFrame:
-    """doc_id, fp and component_id of each row of `docs` (doc_id, text).
+    """doc_id, fp, text_key (hash of the text), component and component_id of each row of `docs` (doc_id, text).
 
     component_id is the least doc_id among the rows whose fingerprints are linked with this one's,
     over any number of links, itself included. Rows of equal fingerprints are one node, so copies
@@ -100,8 +100,8 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = BIT
     comps = components(links(fps.select("fp", "n"), bits))
     nodes = fps.join(comps, F.col("fp") == F.col("node"), "left").withColumn("component", F.coalesce("component", "fp"))
     ids = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = nodes.select(F.col("fp").alias("__fp"), F.col("component").alias("__c")).join(ids, F.col("__c") == F.col("component")).select("__fp", "component_id")
-    return rows.join(named, F.col("fp") == F.col("__fp")).select("doc_id", "fp", "component_id")
+    named = nodes.select(F.col("fp").alias("__fp"), F.col("component").alias("__c")).join(ids, F.col("__c") == F.col("component")).select("__fp", "component", "component_id")
+    return rows.join(named, F.col("fp") == F.col("__fp")).select("doc_id", "fp", "text_key", "component", "component_id")
 
 
 def op7_simhash_popcount(spark: SparkSession, sf_dir: str) -> DataFrame:
