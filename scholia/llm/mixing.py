@@ -141,5 +141,5 @@ def mix_texts(docs: DataFrame, **options) -> DataFrame:
     plan = plan.withColumnRenamed("doc_id", "__id")
     rows = docs.join(plan, docs["doc_id"].eqNullSafe(plan["__id"]))
     nth = F.row_number().over(Window.partitionBy("__id").orderBy(F.lit(1)))
-    rows = rows.withColumn("__at", F.explode(F.element_at("__reads", nth)))
+    rows = rows.withColumn("__nth", nth).withColumn("__at", F.explode(F.element_at("__reads", F.col("__nth"))))
     return rows.repartitionByRange("__at", "doc_id").sortWithinPartitions("__at", "doc_id").select(*docs.columns)
