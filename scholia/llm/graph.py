@@ -51,25 +51,28 @@ def components(edges: DataFrame) -> DataFrame:
     return nodes.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
 
 
-def cell_links(members: DataFrame, near: Callable[[Column, Column], Column]) -> DataFrame:
+def cell_links(members: DataFrame, near: Callable[[Column, Column], Column], value: str = "value") -> DataFrame:
     """Links (u, v) whose components are those of all pairs that share a cell and are near.
 
-    `members` has cell, node (long), n (weight of the node) and value; near(a, b) verifies two values.
-    Cells of many nodes don't emit all their pairs: every member is first held against the cell's
-    heaviest node and the components of these links are found; then only nodes of different
-    components are compared, of which one is outside the cell's largest component.
+    `members` has cell, node (long), n (weight of the node) and perhaps a column `value`;
+    near(a, b) verifies two values. Cells of two nodes are verified as they are read. Larger cells
+    don't emit all their pairs: every member is first held against the cell's heaviest node and the
+    components of these links are found; then only nodes of different components are compared, of
+    which one is outside the cell's largest component.
     """
-    own = Window.partitionBy("cell")
-    members = members.withColumn("many", F.count("*").over(own)).withColumn("hub", F.max(F.struct("n", "node", "value")).over(own))
-    members = durable(members.where("many > 1").select("cell", "node", "value", F.col("hub.node").alias("hub"), F.col("hub.value").alias("hub_value")))
-    first = durable(members.where((F.col("node") != F.col("hub")) & near(F.col("value"), F.col("hub_value"))).select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct())
+    columns = list(dict.fromkeys(["node", value]))
+    own, whole = Window.partitionBy("cell"), F.struct(*dict.fromkeys(["n", "node", value]))
+    members = members.withColumn("many", F.count("*").over(own)).withColumn("hub", F.max(whole).over(own)).withColumn("low", F.min(whole).over(own))
+    met = (F.col("many") > 2) | ((F.col("many") == 2) & near(F.col("hub")[value], F.col("low")[value]))
+    members = durable(members.where(met).select("cell", *columns, F.col("hub")["node"].alias("hub"), F.col("hub")[value].alias("hub_value")))
+    first = durable(members.where((F.col("node") != F.col("hub")) & near(F.col(value), F.col("hub_value"))).select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct())
     known = components(first).withColumnRenamed("node", "__node")
-    placed = members.join(known, F.col("node") == F.col("__node"), "left").select("cell", "node", "value", F.coalesce("component", "node").alias("comp"))
+    placed = members.join(known, F.col("node") == F.col("__node"), "left").select("cell", *columns, F.coalesce("component", "node").alias("comp"))
     sizes = placed.groupBy("cell", "comp").agg(F.count("*").alias("k"))
     mixed = sizes.groupBy("cell").agg(F.count("*").alias("comps"), F.max(F.struct("k", "comp"))["comp"].alias("major")).where("comps > 1")
-    placed = durable(placed.join(mixed.select(F.col("cell").alias("__cell"), "major"), F.col("cell") == F.col("__cell")).select("cell", "node", "value", "comp", "major"))
-    a = placed.where("comp <> major").select("cell", F.col("node").alias("u"), F.col("value").alias("__u"), F.col("comp").alias("cu"), "major")
-    b = placed.select(F.col("cell").alias("__cell"), F.col("node").alias("v"), F.col("value").alias("__v"), F.col("comp").alias("cv"))
+    placed = durable(placed.join(mixed.select(F.col("cell").alias("__cell"), "major"), F.col("cell") == F.col("__cell")).select("cell", *columns, "comp", "major"))
+    a = placed.where("comp <> major").select("cell", F.col("node").alias("u"), F.col(value).alias("__u"), F.col("comp").alias("cu"), "major")
+    b = placed.select(F.col("cell").alias("__cell"), F.col("node").alias("v"), F.col(value).alias("__v"), F.col("comp").alias("cv"))
     # of two nodes outside the largest component one order is enough
     apart = (F.col("cu") != F.col("cv")) & ((F.col("cv") == F.col("major")) | (F.col("u") > F.col("v")))
     rest = a.join(b, (F.col("cell") == F.col("__cell")) & apart & near(F.col("__u"), F.col("__v"))).select("u", "v").distinct()

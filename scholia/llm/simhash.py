@@ -2,9 +2,10 @@
 
 A fingerprint's 32 segments of 2 bits are mapped to their bit counts. The Manhattan distance of
 two such vectors is at most the Hamming distance of the fingerprints, so fingerprints within 4
-bits have vectors within 4. The vectors' coordinates are dealt into 7 blocks; vectors within 4
-agree in 3 of them or more, so a grid on each of the 35 choices of 3 blocks brings every such
-pair into a common cell. Pairs of a cell are verified on the fingerprints themselves.
+bits have vectors within 4. The vectors' coordinates are dealt into 7 blocks (more for very many
+fingerprints); vectors within 4 agree in all but 4 of them or more, so a grid on each choice of
+3 blocks brings every such pair into a common cell. Pairs of a cell are verified on the
+fingerprints themselves.
 
 Cells of many fingerprints don't emit all their pairs (see graph.cell_links).
 """
@@ -26,7 +27,6 @@ from .util import durable, read
 SHINGLE_WORDS = 4
 BITS = 4
 SEED = 42
-BLOCKS = 7
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Shingles whose bits are counted at once.
 CHUNK = 65_536
@@ -68,22 +68,29 @@ def embedding(fp: Column) -> Column:
     return F.shiftleft(high.bitwiseAND(low), 1).bitwiseOR(high.bitwiseXOR(low))
 
 
-def _grids(bits: int = BITS) -> list[int]:
+def blocks_for(n: int) -> int:
+    """Blocks of coordinates: one more for each time that the grids' cells would hold many chance neighbours.
+
+    Any number above the distance finds all pairs; more blocks mean finer and more grids.
+    """
+    return 7 if n <= 1_000_000 else 8 if n <= 12_000_000 else 9 if n <= 100_000_000 else 10
+
+
+def _grids(blocks: int, bits: int) -> list[int]:
     """Masks over the embedding: the kept coordinates of each grid."""
-    blocks = [sum(3 << (2 * i) for i in range(32) if i * BLOCKS // 32 == b) for b in range(BLOCKS)]
-    masks = [sum(x) for x in combinations(blocks, BLOCKS - bits)]
+    parts = [sum(3 << (2 * i) for i in range(32) if i * blocks // 32 == b) for b in range(blocks)]
+    masks = [sum(x) for x in combinations(parts, blocks - bits)]
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def _cells(fps: DataFrame, bits: int) -> DataFrame:
-    grids = F.array(*[F.struct(F.lit(g).alias("grid"), F.col("emb").bitwiseAND(F.lit(m)).alias("at")) for g, m in enumerate(_grids(bits))])
-    return fps.withColumn("emb", embedding(F.col("fp"))).withColumn("cell", F.explode(grids)).select("cell", "fp", "n")
-
+def links(fps: DataFrame, n: int, bits: int = BITS) -> DataFrame:
+    """Links (u, v) whose components are those of all pairs of the n rows of `fps` (fp distinct, n) within `bits` bits.
 
-def links(fps: DataFrame, bits: int = BITS) -> DataFrame:
-    """Links (u, v) whose components are those of all pairs of `fps` (fp distinct, n) within `bits` bits."""
-    members = _cells(fps, bits).select("cell", F.col("fp").alias("node"), "n", F.col("fp").alias("value"))
-    return cell_links(members, lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= bits)
+    A cell is named by a hash of grid and place; cells that meet in it only add candidates.
+    """
+    grids = F.array(*[F.xxhash64(F.lit(g), F.col("emb").bitwiseAND(F.lit(m))) for g, m in enumerate(_grids(blocks_for(n), bits))])
+    members = fps.withColumn("emb", embedding(F.col("fp"))).select(F.explode(grids).alias("cell"), F.col("fp").alias("node"), "n")
+    return cell_links(members, lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= bits, "node")
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = BITS) -> DataFrame:
@@ -97,7 +104,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = BIT
     """
     rows = durable(fingerprints(docs, words))
     fps = durable(rows.groupBy("fp").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")))
-    comps = components(links(fps.select("fp", "n"), bits))
+    comps = components(links(fps.select("fp", "n"), fps.count(), bits))
     nodes = fps.join(comps, F.col("fp") == F.col("node"), "left").withColumn("component", F.coalesce("component", "fp"))
     ids = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
     named = nodes.select(F.col("fp").alias("__fp"), F.col("component").alias("__c")).join(ids, F.col("__c") == F.col("component")).select("__fp", "component", "component_id")
