@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import profile
+from .plans import corpus, profile, records
 
-MODULES = [profile]
+MODULES = [profile, corpus, records]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
