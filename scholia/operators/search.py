@@ -10,7 +10,11 @@ TOKEN = r"[a-z0-9]+"
 
 def postings(sections: DataFrame, key: str, columns: dict[str, float]) -> DataFrame:
     """term, key, f (weighted frequency over the columns) and length (tokens of all columns)."""
-    parts = [F.transform(F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(TOKEN), F.lit(0)), lambda t, w=w: F.struct(t.alias("term"), F.lit(w).alias("w"))) for c, w in columns.items()]
+    def weighted(column: str, weight: float):
+        found = F.regexp_extract_all(F.lower(F.coalesce(column, F.lit(""))), F.lit(TOKEN), F.lit(0))
+        return F.transform(found, lambda t: F.struct(t.alias("term"), F.lit(weight).alias("w")))
+
+    parts = [weighted(c, w) for c, w in columns.items()]
     tokens = sections.select(key, F.concat(*parts).alias("tokens"))
     rows = tokens.select(key, F.size("tokens").cast("long").alias("length"), F.explode("tokens").alias("t"))
     return rows.groupBy(F.col("t.term").alias("term"), key, "length").agg(F.sum("t.w").alias("f"))
