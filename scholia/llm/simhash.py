@@ -4,7 +4,7 @@ A fingerprint's 32 segments of 2 bits are mapped to their bit counts. The Manhat
 two such vectors is at most the Hamming distance of the fingerprints, so fingerprints within 4
 bits have vectors within 4. The vectors' coordinates are dealt into 7 blocks (more for very many
 fingerprints); vectors within 4 agree in all but 4 of them or more, so a grid on each choice of
-3 blocks brings every such pair into a common cell. Pairs of a cell are verified on the
+the others brings every such pair into a common cell. Pairs of a cell are verified on the
 fingerprints themselves.
 
 Cells of many fingerprints don't emit all their pairs (see graph.cell_links).
@@ -73,7 +73,7 @@ def blocks_for(n: int) -> int:
 
     Any number above the distance finds all pairs; more blocks mean finer and more grids.
     """
-    return 7 if n <= 1_000_000 else 8 if n <= 12_000_000 else 9 if n <= 100_000_000 else 10
+    return 7 if n <= 20_000 else 8 if n <= 1_000_000 else 9 if n <= 12_000_000 else 10
 
 
 def _grids(blocks: int, bits: int) -> list[int]:
