@@ -168,12 +168,13 @@ def test_simhash_components(docs, spark):
     assert comp == least and simhash.near_duplicates(empty(spark)).count() == 0
 
 
-def test_dense_clusters_of_fingerprints(spark):
+@pytest.mark.parametrize("n", [280, 50_000])
+def test_dense_clusters_of_fingerprints(spark, n):
     rng = random.Random(3)
     centers = [rng.getrandbits(64) for _ in range(4)]
     values = {c ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 5))) for c in centers for _ in range(80)} | {rng.getrandbits(64) for _ in range(100)}
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
-    got = {r["node"] % (1 << 64): r["component"] for r in local(graph.components(simhash.links(spark.createDataFrame([(v, 1) for v in signed], "fp long, n long"), len(signed))))}
+    got = {r["node"] % (1 << 64): r["component"] for r in local(graph.components(simhash.links(spark.createDataFrame([(v, 1) for v in signed], "fp long, n long"), n)))}
     up = {v: v for v in values}
 
     def find(v):
