@@ -7,12 +7,14 @@ pieces take the slots by their rank within their length.
 
 from __future__ import annotations
 
+import base64
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,9 +27,12 @@ BUCKET_ROWS = 256
 #: Words whose ids a worker keeps; the table starts anew when it is full.
 CACHED_WORDS = 400_000
 #: Texts of these characters are split into words by `SPLIT`, which agrees with the tokenizer's
-#: own splitting there; any other text goes to the tokenizer whole.
-PLAIN = regex.compile(r"[\t-\r\x20-\x7E¡-ɏ‐-‧‰-⁞]*")
-SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: own splitting there, and words are coded by the same vocabulary as ranks; any other text goes to
+#: the tokenizer whole.
+PLAIN = re.compile(r"[\t-\r\x20-\x7E\u00A1-\u024F\u2010-\u2027\u2030-\u205E]*")
+_LETTERS, _NUMBERS = r"A-Za-z\u00AA\u00B5\u00BA\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F", r"0-9\u00B2\u00B3\u00B9\u00BC-\u00BE"
+SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^\s{_LETTERS}{_NUMBERS}]+|\s+(?!\S)|\s+")
+RANKS = "byte_bpe_50k.tiktoken"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -35,11 +40,16 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, with the ids of words kept between texts."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ranks: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        with open(ranks, "rb") as lines:
+            order = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        # its pattern takes a word as it is
+        self.word = tiktoken.Encoding("ranks", pat_str=r"(?s).+", mergeable_ranks=order, special_tokens={}).encode_ordinary
         self.known: dict[str, bytes] = {}
 
     def direct(self, texts: list[str]) -> list[bytes]:
@@ -54,8 +64,10 @@ class Encoder:
         except KeyError:
             if len(known) > CACHED_WORDS:
                 known.clear()
-            new = [w for w in dict.fromkeys(words) if w not in known]
-            known.update(zip(new, self.direct(new), strict=True))
+            for w in words:
+                if w not in known:
+                    ids = self.word(w)
+                    known[w] = struct.pack(f"<{len(ids)}I", *ids)
             return b"".join([known[w] for w in words])
 
 
@@ -71,14 +83,16 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first), *((s, capacity) for s in range(first, n, capacity))]
 
 
-def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, with_ids: bool = False, ranks: str | None = None) -> DataFrame:
     """Pieces of the tokenized documents: doc_id, piece, start, length, ids_crc32 and, if asked for, ids.
 
+    `path` and `ranks` are the tokenizer's file and the file of the same vocabulary as ranks.
+
     A null or empty text is the end id alone. Other columns are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(path or tokenizer_path()), np.asarray([END_ID], "<u4").tobytes()
+        encoder, end = Encoder(path or tokenizer_path(), ranks or tokenizer_path(RANKS)), np.asarray([END_ID], "<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []
             ids: list[np.ndarray] = []
