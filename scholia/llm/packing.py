@@ -12,6 +12,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -71,6 +72,12 @@ class Encoder:
             return b"".join([known[w] for w in words])
 
 
+@lru_cache(maxsize=2)
+def encoder_for(path: str, ranks: str) -> Encoder:
+    """A worker's encoder, which its later tasks find with the words it knows."""
+    return Encoder(path, ranks)
+
+
 def tokenizer_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
@@ -92,7 +99,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, w
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(path or tokenizer_path(), ranks or tokenizer_path(RANKS)), np.asarray([END_ID], "<u4").tobytes()
+        encoder, end = encoder_for(path or tokenizer_path(), ranks or tokenizer_path(RANKS)), np.asarray([END_ID], "<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []
             ids: list[np.ndarray] = []
