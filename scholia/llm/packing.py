@@ -9,8 +9,8 @@ from __future__ import annotations
 
 import base64
 import re
-import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,21 +25,18 @@ CAPACITY = 2048
 END_ID = 0
 VOCABULARY = "byte_bpe_50k.json"
 BUCKET_ROWS = 256
-#: Words whose ids a worker keeps; the table starts anew when it is full.
-CACHED_WORDS = 400_000
-#: Texts of these characters are split into words by `SPLIT`, which agrees with the tokenizer's
-#: own splitting there, and words are coded by the same vocabulary as ranks; any other text goes to
-#: the tokenizer whole.
+#: Texts of these characters are coded by ranks, with words split by `SPLIT`, which takes the same
+#: words as the tokenizer's own pattern with less backtracking; libraries may differ on the classes
+#: of other characters, so any other text goes to the tokenizer.
 PLAIN = re.compile(r"[\t-\r\x20-\x7E\u00A1-\u024F\u2010-\u2027\u2030-\u205E]*")
-_LETTERS, _NUMBERS = r"A-Za-z\u00AA\u00B5\u00BA\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F", r"0-9\u00B2\u00B3\u00B9\u00BC-\u00BE"
-SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^\s{_LETTERS}{_NUMBERS}]+|\s+(?!\S)|\s+")
+SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 RANKS = "byte_bpe_50k.tiktoken"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes, with the ids of words kept between texts."""
+    """Ids of texts as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str, ranks: str):
         import tiktoken
@@ -49,32 +46,16 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         with open(ranks, "rb") as lines:
             order = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        # its pattern takes a word as it is
-        self.word = tiktoken.Encoding("ranks", pat_str=r"(?s).+", mergeable_ranks=order, special_tokens={}).encode_ordinary
-        self.known: dict[str, bytes] = {}
-
-    def direct(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        self.plain = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=order, special_tokens={}).encode_ordinary
 
     def encode(self, text: str) -> bytes:
-        if not PLAIN.fullmatch(text):
-            return self.direct([text])[0]
-        words, known = SPLIT.findall(text), self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            if len(known) > CACHED_WORDS:
-                known.clear()
-            for w in words:
-                if w not in known:
-                    ids = self.word(w)
-                    known[w] = struct.pack(f"<{len(ids)}I", *ids)
-            return b"".join([known[w] for w in words])
+        ids = self.plain(text) if PLAIN.fullmatch(text) else self.tokenizer.encode(text, add_special_tokens=False).ids
+        return array("I", ids).tobytes()
 
 
 @lru_cache(maxsize=2)
 def encoder_for(path: str, ranks: str) -> Encoder:
-    """A worker's encoder, which its later tasks find with the words it knows."""
+    """A worker's encoder, which its later tasks find again."""
     return Encoder(path, ranks)
 
 
