@@ -1,10 +1,15 @@
 """Passages that repeat across documents: MinHash banding of paragraphs, exact verification, components.
 
 Paragraphs are the lines of a text of LEAST_WORDS words or more. Their five-word shingles are
-MinHashed into bands; paragraphs that share a band are verified by exact Jaccard similarity. Equal
-passages inside of different paragraphs are found as well: runs of whole sentences of LEAST_WORDS
-words or more, from every sentence on, are units that match when they are equal. Of each component
-of matching units the first occurrence is kept and the others are removed.
+MinHashed into bands; paragraphs that share a band are verified by exact Jaccard similarity.
+
+Equal passages are found wherever they begin and end: every window of LEAST_WORDS words that occurs
+twice is in a unit that matches, so a repeated stretch is covered from its first word to its last.
+The windows of a text are dealt into groups by their anchor, the least hash of ANCHOR_WORDS words in
+each, so equal windows have equal anchors. A group (about six windows) that repeats as a whole is
+one unit; windows are units of their own only where one anchor has different groups, as at the
+edges of a stretch. Of each component of matching units the first occurrence is kept and the
+others are removed.
 """
 
 from __future__ import annotations
@@ -22,8 +27,11 @@ from .util import durable, read
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 LEAST_WORDS = 20
-#: The longest run of sentences that is taken as a unit, in words.
-MOST_RUN_WORDS = 80
+#: Words whose hash can be the anchor of a window.
+ANCHOR_WORDS = 10
+#: Most bits of a set of keys that is sent to the workers, as a power of two. A fuller set lets more
+#: rows through to the exact join, it never holds one back.
+FILTER_BITS = 27
 RECALL = 0.998
 #: Characters worked on at once.
 CHUNK = 1 << 20
@@ -78,8 +86,6 @@ class Words:
         self.line = np.cumsum(codes == 10)[self.starts] if len(self.starts) else np.zeros(0, np.int64)
         self.begins = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])[:-1]
         self.text = np.searchsorted(self.begins, self.starts, "right") - 1
-        last = codes[self.ends - 1] if len(self.ends) else codes[:0]
-        self.stops = (last == 46) | (last == 33) | (last == 63)
 
     def lines(self) -> tuple[np.ndarray, np.ndarray]:
         """First and end words of the lines with enough words."""
@@ -90,25 +96,42 @@ class Words:
         enough = end - first >= LEAST_WORDS
         return first[enough], end[enough]
 
-    def runs(self) -> tuple[np.ndarray, np.ndarray]:
-        """First and end words of the runs of sentences: from each sentence to the first end after enough words."""
-        n = len(self.line)
-        if not n:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        closes = self.stops | np.append(np.diff(self.line) != 0, True)
-        ends = np.flatnonzero(closes) + 1
-        first = np.concatenate([[0], ends[:-1]])
-        at = np.searchsorted(ends, first + LEAST_WORDS)
-        first, at = first[at < len(ends)], at[at < len(ends)]
-        end = ends[at]
-        own = (self.text[first] == self.text[end - 1]) & (end - first <= MOST_RUN_WORDS)
-        return first[own], end[own]
-
-    def units(self) -> tuple[np.ndarray, np.ndarray]:
-        """Lines, then runs that are no whole line."""
-        (a, b), (c, d) = self.lines(), self.runs()
-        new = ~np.isin(c * (len(self.line) + 1) + d, a * (len(self.line) + 1) + b)
-        return np.concatenate([a, c[new]]), np.concatenate([b, d[new]])
+    def groups(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Anchors' first words, and first and end windows (named by their first word) of the groups."""
+        n = len(self.line) - LEAST_WORDS + 1
+        if n < 1:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at = np.arange(len(self.line) - ANCHOR_WORDS + 1)
+        low = np.uint64((1 << 31) - 1)
+        # hash and place in one number: of equal hashes in a window the leftmost is the anchor, so no group holds a window twice
+        least = (_ranges(self.hashes, at, at + ANCHOR_WORDS, _Q, _Q_BACK) & ~low) | at.astype(np.uint64)
+        span, most = 1, LEAST_WORDS - ANCHOR_WORDS + 1
+        while span < most:
+            step = min(span, most - span)
+            least, span = np.minimum(least[:-step], least[step:]), span + step
+        window = np.flatnonzero(self.text[:n] == self.text[LEAST_WORDS - 1 :])
+        anchor = (least[window] & low).astype(np.int64)
+        first = np.flatnonzero(np.diff(anchor, prepend=-1))
+        count = np.diff(np.append(first, len(window)))
+        return anchor[first], window[first], window[first] + count
+
+    def units(self, whole: np.ndarray, mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lines, groups whose key may be in the filter `whole`, and windows whose anchor's key may be in `mixed`."""
+        (a, b), (anchor, c, d) = self.lines(), self.groups()
+        e, f = self.windows(mixed, anchor, c, d)
+        own = maybe_in(whole, self.keys(c, d + LEAST_WORDS - 1))
+        first, end = np.concatenate([a, c[own], e]), np.concatenate([b, d[own] + LEAST_WORDS - 1, f])
+        size = len(self.line) + 1
+        first, end = np.divmod(np.unique(first * size + end), size)
+        return first, end
+
+    def windows(self, mixed: np.ndarray, anchor: np.ndarray, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and end words of the windows of groups whose anchor's key may be in `mixed`."""
+        own = maybe_in(mixed, self.keys(anchor, anchor + ANCHOR_WORDS))
+        first, count = first[own], (end - first)[own]
+        offsets = np.cumsum(count) - count
+        at = np.repeat(first - offsets, count) + np.arange(count.sum())
+        return at, at + LEAST_WORDS
 
     def keys(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
         return _ranges(self.hashes, first, end, _Q, _Q_BACK).view(np.int64) if len(first) else np.zeros(0, np.int64)
@@ -126,6 +149,23 @@ class Words:
         return text, self.starts[first] - self.begins[text], self.ends[end - 1] - self.begins[text]
 
 
+def key_filter(keys: DataFrame, n: int) -> np.ndarray:
+    """Bits of a set of n keys (column key), of bounded size."""
+    slots = 1 << min((64 * n + (1 << 15)).bit_length(), FILTER_BITS) - 6
+    slot = F.col("key").bitwiseAND(F.lit(slots - 1).cast("long"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned("key", 58).cast("int"))
+    found = keys.select(slot.alias("slot"), bit.alias("bit")).groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(slots, np.int64)
+    out[found["slot"].to_numpy()] = found["bits"].to_numpy()
+    return out.view(np.uint64)
+
+
+def maybe_in(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """False only for keys that aren't in the set."""
+    k = keys.view(np.uint64)
+    return (bits[(k & np.uint64(len(bits) - 1)).astype(np.int64)] >> (k >> np.uint64(58))) & np.uint64(1) == 1
+
+
 _SEEDS = _mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64) * _P)
 
 
@@ -165,9 +205,22 @@ def _scan(docs: DataFrame, schema: str, work) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
-def unit_keys(docs: DataFrame) -> DataFrame:
+def group_keys(docs: DataFrame) -> DataFrame:
+    """Keys of anchors and groups; lines have 0 for an anchor."""
+
     def work(_, words: Words) -> list[pa.Array]:
-        return [pa.array(words.keys(*words.units()))]
+        (a, b), (anchor, first, end) = words.lines(), words.groups()
+        anchors = np.concatenate([words.keys(anchor, anchor + ANCHOR_WORDS), np.zeros(len(a), np.int64)])
+        return [pa.array(anchors), pa.array(np.concatenate([words.keys(first, end + LEAST_WORDS - 1), words.keys(a, b)]))]
+
+    return _scan(docs, "anchor long, key long", work)
+
+
+def window_keys(docs: DataFrame, mixed) -> DataFrame:
+    """Keys of the windows whose anchor's key may be in the filter."""
+
+    def work(_, words: Words) -> list[pa.Array]:
+        return [pa.array(words.keys(*words.windows(mixed.value, *words.groups())))]
 
     return _scan(docs, "key long", work)
 
@@ -192,9 +245,9 @@ def line_shingles(docs: DataFrame) -> DataFrame:
     return _scan(docs, "key long, shingles array<long>", work)
 
 
-def unit_places(docs: DataFrame) -> DataFrame:
+def unit_places(docs: DataFrame, whole, mixed) -> DataFrame:
     def work(ids: list, words: Words) -> list[pa.Array]:
-        first, end = words.units()
+        first, end = words.units(whole.value, mixed.value)
         text, start, stop = words.places(first, end) if len(first) else (first, first, end)
         owner = pa.array(ids, pa.int64()).take(pa.array(text.astype(np.int64)))
         return [pa.array(words.keys(first, end)), owner, pa.array(start.astype(np.int64)), pa.array(stop.astype(np.int64)), pa.array((end - first).astype(np.int64))]
@@ -232,21 +285,43 @@ def _colliding(rows: DataFrame) -> DataFrame:
     return rows.withColumn("many", many).where("many > 1").select(cell.alias("cell"), "key", "n")
 
 
+def equal_keys(docs: DataFrame) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """Keys of repeated lines, groups and windows, and the filters for repeated groups and for anchors of different groups."""
+    send = docs.sparkSession.sparkContext.broadcast
+    counts = group_keys(docs).groupBy("anchor", "key").agg(F.count("*").alias("n"))
+    # both sides keep n, so that the scan and its shuffle are shared
+    kinds = counts.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("n").alias("n")).where("kinds > 1 and n > 1")
+    counts = kinds.select(F.col("anchor").alias("key"), F.lit(True).alias("mixed")).unionByName(counts.where("n > 1").select("key", F.lit(False).alias("mixed")))
+    found = durable(counts)
+    filters = []
+    for mixed in (False, True):
+        own = found.where(F.col("mixed") == mixed)
+        filters.append(send(key_filter(own, own.count())))
+    windows = window_keys(docs, filters[1]).groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    return found.where("not mixed").select("key").unionByName(windows), *filters
+
+
 def repeats(docs: DataFrame) -> DataFrame:
     """Occurrences of repeated units: doc_id, start, stop (code points, end exclusive), words, component, removed, kept_in.
 
-    kept_in is the doc_id of the component's first occurrence, in order of doc_id and start. Nulls: a
+    kept_in is the doc_id of the component's first occurrence, in order of doc_id and start. An
+    occurrence that overlaps the first one of its own text starts where that one stops. What is
+    covered is exact; a few windows inside of repeated groups are rows too, by chance of the filter. Nulls: a
     null text has no units; a null doc_id goes last and is kept null. Repeated rows repeat their
     units; other columns are ignored; an empty table gives no rows.
     """
     near = durable(near_paragraphs(docs))
-    equal = unit_keys(docs).groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.lit(None).cast("long").alias("component"))
+    keys, whole, mixed = equal_keys(docs)
+    equal = keys.select("key", F.lit(None).cast("long").alias("component"))
     units = durable(equal.unionByName(near.select("key", "component")).groupBy("key").agg(F.coalesce(F.max("component"), F.col("key")).alias("component")))
-    rows = durable(_with_keys(unit_places(docs), units, units.count()))
-    first = rows.groupBy(F.col("component").alias("__c")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "start")).alias("first"))
+    rows = _with_keys(unit_places(docs, whole, mixed), units, units.count())  # read twice by way of one shuffle, much smaller than a checkpoint
+    first = rows.groupBy(F.col("component").alias("__c")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "start", "stop")).alias("first"))
     rows = rows.join(first, F.col("component") == F.col("__c"))
-    removed = ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("start") == F.col("first.start")))
-    return rows.select("doc_id", "start", "stop", "words", "component", removed.alias("removed"), F.col("first.doc_id").alias("kept_in"))
+    own = F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+    removed = ~(own & (F.col("start") == F.col("first.start")))
+    meets = own & (F.col("start") > F.col("first.start")) & (F.col("start") < F.col("first.stop")) & (F.col("stop") > F.col("first.stop"))
+    start = F.when(meets, F.col("first.stop")).otherwise(F.col("start"))
+    return rows.select("doc_id", start.alias("start"), "stop", "words", "component", removed.alias("removed"), F.col("first.doc_id").alias("kept_in"))
 
 
 def merged(spans: Column) -> Column:

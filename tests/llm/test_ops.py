@@ -149,6 +149,39 @@ def test_passages_find_what_brute_force_finds(docs, spark):
     assert passages.repeats(empty(spark)).count() == 0
 
 
+def removed_words(source, rows):
+    """For each text, whether each word is removed."""
+    gone = {k: [False] * len(t) for k, t in source.items()}
+    for r in rows:
+        if r["removed"]:
+            gone[r["doc_id"]][r["start"] : r["stop"]] = [True] * (r["stop"] - r["start"])
+    return {k: [all(gone[k][m.start() : m.end()]) for m in WORD.finditer(t)] for k, t in source.items()}
+
+
+def test_equal_passages_are_found_wherever_they_begin(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    run = lambda n: [word() for _ in range(n)]
+    long, short, scattered = run(150), run(20), run(67)
+    lists = [
+        run(37) + long + run(41), run(12) + long[:60] + ["(", "et."] + run(9), run(25) + long[70:] + run(3),
+        run(9) + short + run(8), run(30) + short, scattered[:30] + run(25), run(33) + scattered[10:] + run(5), run(15) + scattered,
+        ["again"] * 90 + run(30), run(50),
+    ]
+    source = {k: " ".join(w).replace(" (", "\n(") for k, w in enumerate(lists)}
+    rows = local(passages.repeats(spark.createDataFrame(list(source.items()), "doc_id long, text string").repartition(3)))
+    gone, seen = removed_words(source, rows), {}
+    want = {k: [False] * len(WORD.findall(t)) for k, t in source.items()}
+    for k in source:
+        w = WORD.findall(source[k])
+        for i in range(len(w) - passages.LEAST_WORDS + 1):
+            own = tuple(w[i : i + passages.LEAST_WORDS])
+            first, at = seen.setdefault(own, (k, i))
+            for j in range(i, i + passages.LEAST_WORDS) if (first, at) != (k, i) else ():
+                want[k][j] |= first != k or j >= at + passages.LEAST_WORDS
+    assert gone == want and sum(gone[8]) == 70 and not any(gone[9])
+
+
 def brute_fingerprint(t):
     w = WORD.findall(re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
     if not w:
