@@ -18,10 +18,11 @@ MOST_REPEATED_PERCENT = 30
 WINDOW_WORDS = 8
 SYMBOLS = "#*$%&|<>"
 
-#: Dimensions of the vector, with the resolution below which spread is not told from none. It is
-#: added to the scatter, so a statistic that is constant in most texts doesn't reject the first
-#: text that differs.
-FLOORS = {"word_length": 0.12, "symbols": 0.05, "dup_lines": 0.15, "repeats": 0.15}
+#: Dimensions of the vector, with the resolution below which spread is not told from none: word
+#: lengths that differ by 3 percent, one symbol in 2,500 characters, one line or word in 400. Its
+#: square is added to the scatter, so that a group without any spread has distances. Each is so
+#: small that its statistic alone can go beyond CUTOFF, repeated words (30 percent at most) too.
+FLOORS = {"word_length": 0.03, "symbols": 0.02, "dup_lines": 0.05, "repeats": 0.05}
 #: Units of the vectors' integers; sums of them are exact in any order.
 SCALE = 1000
 #: Share of a group that the estimate rests on.
@@ -31,8 +32,10 @@ STEPS = 4
 LEAST_GROUP = 60
 #: Squared distances are counted in bins of this ratio, so that the core is found without a sort.
 BIN_RATIO = 1.05
-#: Squared distance beyond which a document goes.
-CUTOFF = 40.0
+#: Squared distance beyond which a document goes: the 0.999 quantile of chi-square with 4 degrees of
+#: freedom (18.467), times the scale by which the scatter of the nearest CORE falls short of that of
+#: a normal sample: CORE / P(chi-square of 6 degrees <= 5.385), 5.385 being the CORE quantile of 4.
+CUTOFF = 18.467 * 1.487
 
 
 def words_of(text: Column) -> Column:

@@ -149,6 +149,24 @@ def test_passages_find_what_brute_force_finds(docs, spark):
     assert passages.repeats(empty(spark)).count() == 0
 
 
+def test_each_statistic_rejects_an_outlier_alone(spark):
+    rng = random.Random(5)
+    run = lambda n, k=0: ["".join(rng.choices("abcdefghij", k=k or rng.randint(4, 8))) for _ in range(n)]
+    lines = lambda n: [" ".join(run(8)) for _ in range(n)]
+    clean = ["\n".join(lines(25)) for _ in range(120)]
+    twice = run(20)
+    planted = {
+        "word_length": " ".join(run(200, 14)), "symbols": " ".join(w + "#" * (k % 2) for k, w in enumerate(run(200))),
+        "dup_lines": "\n".join(x for a in lines(20) for x in (a, "ab cd")), "repeats": " ".join(run(80) + twice + run(80) + twice),
+    }
+    rows = [(k, t, "en", "a") for k, t in enumerate([*clean, *planted.values()])]
+    got = {r["doc_id"]: r for r in local(quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")))}
+    out = dict(zip(planted, range(len(clean), len(rows)), strict=True))
+    assert not any(got[k]["base_failed"] or got[k]["kept"] for k in out.values()), {n: got[k] for n, k in out.items()}
+    assert got[out["repeats"]]["n_dup_lines"] == 0 and got[out["dup_lines"]]["n_repeat_words"] == 0
+    assert all(got[k]["kept"] for k in range(len(clean)))
+
+
 def removed_words(source, rows):
     """For each text, whether each word is removed."""
     gone = {k: [False] * len(t) for k, t in source.items()}
