@@ -2,8 +2,8 @@
 
 From each rule's pattern a Boolean query over trigrams is derived, as alternatives of trigrams
 that must all occur. Texts are indexed by those trigrams, postings are intersected for each
-alternative, and only texts that an alternative selects are searched with the rule's pattern.
-Rules without mandatory trigrams search every text.
+alternative, and only texts that an alternative selects are searched with the rule's pattern, by
+bringing the selected keys to the scan. Rules without mandatory trigrams search every text.
 """
 
 from __future__ import annotations
@@ -40,6 +40,8 @@ MORE = [
 RULES = BASE + MORE
 #: Strings that a part of a pattern may stand for before it counts as unknown, and alternatives of a query.
 MOST_STRINGS = 64
+#: Selected keys (16 bytes each) up to which they are broadcast.
+BROADCAST_KEYS = 200_000
 #: Two noncharacters mark matches; in texts they are first replaced by a third one.
 OPEN, CLOSE, OTHER = "﷐", "﷑", "﷒"
 
@@ -158,38 +160,53 @@ def _listed(found: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(found), lambda x: F.concat_ws(":", F.element_at(kinds, x["rank"] + 1), x["start"], x["end"])), ",")
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, found (array of start, rank, end) of each row of `docs` (doc_id, text), by all rules.
+def postings(rows: DataFrame, grams: list[str]) -> DataFrame:
+    """(key, gram) of the texts (key, text) that hold a gram, lower-cased once a text."""
+    held = let(F.lower(F.col("text")), lambda t: F.filter(F.array(*[F.lit(g) for g in grams]), lambda g: F.contains(t, g)))
+    return rows.select("key", F.explode(held).alias("gram")).distinct()
 
-    A null text counts as empty. Texts are told apart by their MD5, so copies of a text share its
-    postings and repeated rows keep their own results. Other columns are ignored; an empty table
-    gives no rows.
-    """
-    spark = docs.sparkSession
-    queries = [trigram_query(r[1]) for r in RULES]
-    text = F.coalesce(F.col("text"), F.lit(""))
-    own = docs.select("doc_id", text.alias("text"))
-    key = F.md5(F.col("text").cast("binary")).alias("key")
-    full = [spans(F.col("text"), k, r) for k, r in enumerate(RULES) if not queries[k]]
-    scanned = own.select("doc_id", key, F.concat(*full).alias("scanned"))
 
-    grams = sorted({g for q in queries for alt in q for g in alt})
-    lowered = F.lower(F.col("text"))
-    held = F.array_compact(F.array(*[F.when(F.contains(lowered, F.lit(g)), F.lit(g)) for g in grams]))
-    postings = own.select(key, F.explode(held).alias("gram")).distinct()
+def intersected(index: DataFrame, queries: list[list[frozenset[str]]]) -> DataFrame:
+    """(key, ranks): the rules of which all trigrams of an alternative have the key in their postings."""
     # the table of the rules' alternatives has a few dozen rows
     alts = [(g, k, a, len(alt)) for k, q in enumerate(queries) for a, alt in enumerate(q) for g in sorted(alt)]
-    wanted = F.broadcast(spark.createDataFrame(alts, "gram string, rank int, alt int, size int"))
-    hits = postings.join(wanted, "gram").groupBy("key", "rank", "alt").agg(F.count("*").alias("n"), F.first("size").alias("size")).where("n = size")
-    selected = durable(hits.groupBy("key").agg(F.collect_set("rank").alias("ranks"))).withColumnRenamed("key", "__key")
+    wanted = F.broadcast(index.sparkSession.createDataFrame(alts, "gram string, rank int, alt int, size int"))
+    hits = index.join(wanted, "gram").groupBy("key", "rank", "alt").agg(F.count("*").alias("n"), F.first("size").alias("size")).where("n = size")
+    return hits.groupBy("key").agg(F.collect_set("rank").alias("ranks"))
+
+
+def may_match(text: Column, queries: list[list[frozenset[str]]]) -> Column:
+    """Whether the text itself holds all trigrams of an alternative."""
+    alts = F.array(*[F.array(*[F.lit(g) for g in sorted(alt)]) for q in queries for alt in q])
+    return let(F.lower(text), lambda t: F.exists(alts, lambda alt: F.forall(alt, lambda g: F.contains(t, g))))
+
 
-    indexed = own.where(F.size(held) > 1).select(key, "text")
-    verified = indexed.join(selected, F.col("key") == F.col("__key"))
+def scan(docs: DataFrame, rules: list[tuple[str, str, int, int]] = RULES) -> DataFrame:
+    """doc_id, found (array of start, rank, end) of each row of `docs` (doc_id, text), by all rules.
+
+    A null text counts as empty. Texts are told apart by their MD5, so copies of a text share its
+    postings; every row is searched where it lies, so repeated rows and null ids keep their own
+    results. Other columns are ignored; an empty table gives no rows.
+
+    The keys that the index selects are sent to the scan if they are few; if they are many, the
+    texts that hold an alternative, and no others, are shuffled to them.
+    """
+    queries = [trigram_query(r[1]) for r in rules]
     nothing = F.array().cast("array<struct<start:int,rank:int,end:int>>")
-    found = F.concat(*[F.when(F.array_contains("ranks", k), spans(F.col("text"), k, r)).otherwise(nothing) for k, r in enumerate(RULES) if queries[k]])
-    verified = verified.select(F.col("key").alias("__key"), found.alias("verified")).where(F.size("verified") > 0).groupBy("__key").agg(F.first("verified").alias("verified"))
-    rows = scanned.join(verified, F.col("key") == F.col("__key"), "left")
-    return rows.select("doc_id", F.array_sort(F.concat("scanned", F.coalesce("verified", nothing))).alias("found"))
+    own = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("key", F.unhex(F.md5(F.col("text").cast("binary"))))
+    grams = sorted({g for q in queries for alt in q for g in alt})
+    full = [spans(F.col("text"), k, r) for k, r in enumerate(rules) if not queries[k]]
+    if not grams:
+        return own.select("doc_id", F.array_sort(F.concat(nothing, *full)).alias("found"))
+    selected = durable(intersected(postings(own.select("key", "text"), grams), queries)).withColumnRenamed("key", "__key")
+    on = F.col("key") == F.col("__key")
+    if selected.count() <= BROADCAST_KEYS:
+        rows = own.join(F.broadcast(selected), on, "left")
+    else:
+        may = may_match(F.col("text"), queries)
+        rows = own.where(may).join(selected, on, "left").unionByName(own.where(~may), allowMissingColumns=True)
+    verified = [F.when(F.array_contains("ranks", k), spans(F.col("text"), k, r)).otherwise(nothing) for k, r in enumerate(rules) if queries[k]]
+    return rows.select("doc_id", F.array_sort(F.concat(nothing, *full, *verified)).alias("found"))
 
 
 def op8_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
