@@ -27,7 +27,8 @@ VOCABULARY = "byte_bpe_50k.json"
 BUCKET_ROWS = 256
 #: Texts of these characters are coded by ranks, with words split by `SPLIT`, which takes the same
 #: words as the tokenizer's own pattern with less backtracking; libraries may differ on the classes
-#: of other characters, so any other text goes to the tokenizer.
+#: of other characters, so any other text goes to the tokenizer, and so does a text that holds the
+#: string of one of the tokenizer's added tokens.
 PLAIN = re.compile(r"[\t-\r\x20-\x7E\u00A1-\u024F\u2010-\u2027\u2030-\u205E]*")
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 RANKS = "byte_bpe_50k.tiktoken"
@@ -43,13 +44,15 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(added)) if added else None
         with open(ranks, "rb") as lines:
             order = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.plain = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=order, special_tokens={}).encode_ordinary
 
     def encode(self, text: str) -> bytes:
-        ids = self.plain(text) if PLAIN.fullmatch(text) else self.tokenizer.encode(text, add_special_tokens=False).ids
+        ranked = PLAIN.fullmatch(text) and not (self.special and self.special.search(text))
+        ids = self.plain(text) if ranked else self.tokenizer.encode(text, add_special_tokens=False).ids
         return array("I", ids).tobytes()
 
 
@@ -145,8 +148,10 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[i
 def pack(cuts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Sequence and offset for each piece of `cuts` (doc_id, piece, length and others); one row each.
 
-    Ranks within a length come from a hash of the piece, by prefix sums over buckets, so a length
-    that very many pieces share is not ordered in one task. Repeated rows are pieces of their own.
+    `cuts` has to give the same rows in the same partitions each time it is read, as a checkpoint or
+    a table does: ranks within a length come from a hash of the row's number, by prefix sums over
+    buckets, so neither a length that very many pieces share nor pieces of one doc_id (nulls, say)
+    are ordered in one task. Repeated rows are pieces of their own.
     """
     spark = cuts.sparkSession
     histogram = {r["length"]: r["n"] for r in cuts.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most `capacity` rows
@@ -154,10 +159,10 @@ def pack(cuts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     bounds = spark.createDataFrame([(k, -(-n // BUCKET_ROWS)) for k, n in histogram.items()] or [(0, 1)], "__length long, __deal long")
     slots = spark.createDataFrame(runs or [(0, 0, 0, 0, 1, 0)], "__length long, __from long, __n long, __first long, __each long, __at long")
     # both tables are bounded by the capacity: a row for each length, and the runs of the plan
-    rows = cuts.join(F.broadcast(bounds), F.col("length") == F.col("__length")).drop("__length")
-    rows = rows.withColumn("__key", F.xxhash64("doc_id", "piece")).withColumn("__bucket", F.floor(fraction(F.col("__key")) * F.col("__deal"))).withColumn("__one", F.lit(1).cast("long"))
+    rows = cuts.withColumn("__key", F.xxhash64(F.monotonically_increasing_id())).join(F.broadcast(bounds), F.col("length") == F.col("__length")).drop("__length")
+    rows = rows.withColumn("__bucket", F.floor(fraction(F.col("__key")) * F.col("__deal"))).withColumn("__one", F.lit(1).cast("long"))
     most = max(histogram.values(), default=0)
-    rows = running_total(rows, ["length"], "__bucket", [F.col("__key"), F.col("doc_id"), F.col("piece")], "__one", "__rank", -(-most // BUCKET_ROWS))
+    rows = running_total(rows, ["length"], "__bucket", [F.col("__key")], "__one", "__rank", -(-most // BUCKET_ROWS))
     own = (F.col("length") == F.col("__length")) & (F.col("__rank") >= F.col("__from")) & (F.col("__rank") < F.col("__from") + F.col("__n"))
     rows = rows.join(F.broadcast(slots), own)
     nth = F.col("__rank") - F.col("__from")
