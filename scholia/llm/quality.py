@@ -2,11 +2,14 @@
 
 Statistics of each text are turned into a vector; for each language and source the location and
 scatter of the vectors are estimated by minimum covariance determinant (concentration steps from
-deterministic starts), and documents far from it in Mahalanobis distance are rejected.
+deterministic starts until the determinants settle, then one reweighting), and documents far from
+it in Mahalanobis distance are rejected.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,15 +30,26 @@ FLOORS = {"word_length": 0.03, "symbols": 0.02, "dup_lines": 0.05, "repeats": 0.
 SCALE = 1000
 #: Share of a group that the estimate rests on.
 CORE = 0.75
-STEPS = 4
-#: Groups of fewer documents are estimated together: first a language's, then what is left.
+#: Concentration ends when no group's determinant falls any more, which takes a few steps.
+MOST_STEPS = 50
+#: Fewer documents than this are too few to estimate from: a small group of language and source is
+#: held against its whole language, a small language against all documents.
 LEAST_GROUP = 60
 #: Squared distances are counted in bins of this ratio, so that the core is found without a sort.
-BIN_RATIO = 1.05
-#: Squared distance beyond which a document goes: the 0.999 quantile of chi-square with 4 degrees of
-#: freedom (18.467), times the scale by which the scatter of the nearest CORE falls short of that of
-#: a normal sample: CORE / P(chi-square of 6 degrees <= 5.385), 5.385 being the CORE quantile of 4.
-CUTOFF = 18.467 * 1.487
+BIN_RATIO = 1.02
+#: Chi-square quantiles with 4 degrees of freedom: of the core's share, of the rows that the
+#: reweighted estimate takes (0.975) and of the verdict (0.999).
+CORE_QUANTILE, WEIGHT_QUANTILE, CUTOFF = 5.3853, 11.1433, 18.4668
+
+
+def consistency(quantile: float) -> float:
+    """What the scatter of a normal sample's rows within a squared distance has to be multiplied by, in 4 dimensions.
+
+    P(chi-square of 4 degrees <= q) / P(chi-square of 6 degrees <= q), in closed form.
+    """
+    h = quantile / 2
+    four, six = 1 - math.exp(-h) * (1 + h), 1 - math.exp(-h) * (1 + h + h * h / 2)
+    return four / six
 
 
 def words_of(text: Column) -> Column:
@@ -103,16 +117,13 @@ P = len(FLOORS)
 PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
 
 
-def _moments(n: str) -> dict[str, Column]:
-    """Mean and lower Cholesky factor of the scatter, with its floors, from sums s{i} and s{i}{j} over n rows.
-
-    The factor's entries are columns named l{i}{j}; `logdet` is the log of the scatter's determinant.
-    """
+def _moments(n: str, factor: float = 1.0) -> dict[str, Column]:
+    """Mean and scatter (times `factor`, with its floors) from sums s{i} and s{i}{j} over n rows."""
     floors = list(FLOORS.values())
     mean = [F.col(f"s{i}") / F.col(n) / SCALE for i in range(P)]
     low: dict[tuple[int, int], Column] = {}
     for i, j in PAIRS:
-        cov = F.col(f"s{i}{j}") / F.col(n) / (SCALE * SCALE) - mean[i] * mean[j]
+        cov = (F.col(f"s{i}{j}") / F.col(n) / (SCALE * SCALE) - mean[i] * mean[j]) * factor
         cov = F.greatest(cov, F.lit(0.0)) + floors[i] ** 2 if i == j else cov
         low[i, j] = cov
     return {f"m{i}": mean[i] for i in range(P)} | {f"c{i}{j}": low[i, j] for i, j in PAIRS}
@@ -147,16 +158,27 @@ def _sums() -> list[Column]:
 ESTIMATE = ["n", "logdet", *[f"m{i}" for i in range(P)], *[f"l{i}{j}" for i, j in PAIRS]]
 
 
-def grouped(rows: DataFrame) -> tuple[DataFrame, int]:
-    """Adds `grp`: language and source, or a pool of small ones; and gives the number of groups at most."""
+ANY = "*"
+
+
+def grouped(rows: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Rows with `grp`, the group that a row is judged by; rows by each group whose estimate they enter; and the number of groups at most.
+
+    Rows enter more than their own group only where a smaller group is judged by their language or
+    by all documents.
+    """
     name = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("-"))
-    counts = rows.groupBy("lang", "source").agg(F.count("*").alias("__n"))
-    small = F.col("__n") < LEAST_GROUP
-    in_lang = F.sum(F.when(small, F.col("__n"))).over(Window.partitionBy("lang"))
-    grp = F.when(~small, F.concat_ws("\x01", name("lang"), name("source"))).when(in_lang >= LEAST_GROUP, name("lang")).otherwise(F.lit("*"))
-    counts = durable(counts.withColumn("__sum", in_lang).withColumn("grp", grp).select("lang", "source", "grp"))
-    n = counts.count()
-    return beside(rows, counts, ["lang", "source"], n), n
+    counts = durable(rows.groupBy("lang", "source").agg(F.count("*").alias("__n")))
+    langs = counts.groupBy(F.col("lang").alias("__lang")).agg(F.sum("__n").alias("__in_lang"), F.count_if(F.col("__n") < LEAST_GROUP).alias("__small"))
+    counts = counts.join(langs, F.col("lang").eqNullSafe(F.col("__lang")))
+    one, small_lang = F.concat_ws("\x01", name("lang"), name("source")), F.col("__in_lang") < LEAST_GROUP
+    grp = F.when(F.col("__n") >= LEAST_GROUP, one).when(~small_lang, name("lang")).otherwise(F.lit(ANY))
+    counts = durable(counts.select("lang", "source", grp.alias("grp"), one.alias("__one"), "__n", (~small_lang & (F.col("__small") > 0)).alias("__lang_too")))
+    n, any_too = counts.agg(F.count("*"), F.coalesce(F.bool_or(F.col("grp") == ANY), F.lit(False))).first()
+    into = F.array_compact(F.array(F.when(F.col("__n") >= LEAST_GROUP, F.col("__one")), F.when(F.col("__lang_too"), name("lang")), F.when(F.lit(any_too), F.lit(ANY))))
+    members = beside(rows, counts.select("lang", "source", into.alias("__into")), ["lang", "source"], n)
+    members = members.select(F.explode("__into").alias("grp"), *[f"x{i}" for i in range(P)])
+    return beside(rows, counts.select("lang", "source", "grp"), ["lang", "source"], n), members, 2 * n + 1
 
 
 def _core(rows: DataFrame, params: DataFrame, n_groups: int) -> DataFrame:
@@ -174,8 +196,8 @@ def _core(rows: DataFrame, params: DataFrame, n_groups: int) -> DataFrame:
     return _factor(bins.groupBy("grp", "start").agg(*[F.sum(c).alias(c) for c in kept]).select("grp", "start", "n", *[v.alias(k) for k, v in _moments("n").items()])).select("grp", "start", *ESTIMATE)
 
 
-def _starts(rows: DataFrame) -> DataFrame:
-    """Two starts a group: the plain moments, and medians with the half-widths that hold half of the rows, uncorrelated."""
+def _starts(rows: DataFrame, n_groups: int) -> DataFrame:
+    """Three starts a group: the plain moments; medians with quartile widths, uncorrelated; and the same with the directions' shape."""
     plain = _factor(rows.groupBy("grp").agg(*_sums()).select("grp", "n", *[v.alias(k) for k, v in _moments("n").items()])).withColumn("start", F.lit(0)).select("grp", "start", *ESTIMATE)
     # exact medians from counts of the integers, of which a group has some thousands at most
     parts = None
@@ -189,17 +211,47 @@ def _starts(rows: DataFrame) -> DataFrame:
         parts = one if parts is None else parts.join(one, "grp")
     floors = list(FLOORS.values())
     spread = {f"c{i}{j}": (F.col(f"w{i}") * F.col(f"w{i}") + floors[i] ** 2) if i == j else F.lit(0.0) for i, j in PAIRS}
-    robust = _factor(parts.withColumns(spread)).withColumn("start", F.lit(1)).select("grp", "start", *ESTIMATE)
-    return plain.unionByName(robust)
+    robust = _factor(parts.withColumns(spread)).select("grp", *ESTIMATE)
+    return plain.unionByName(robust.withColumn("start", F.lit(1))).unionByName(_signs(rows, robust, n_groups).withColumn("start", F.lit(2)))
+
+
+def _signs(rows: DataFrame, robust: DataFrame, n_groups: int) -> DataFrame:
+    """The median with the shape of the directions in which rows lie from it, each row counting the same."""
+    unit = beside(rows, robust, ["grp"], n_groups, how="inner")
+    for i in range(P):
+        unit = unit.withColumn(f"_z{i}", (F.col(f"x{i}") / SCALE - F.col(f"m{i}")) / F.col(f"l{i}{i}"))
+    length = F.greatest(F.sqrt(sum((F.col(f"_z{i}") * F.col(f"_z{i}") for i in range(P)), F.lit(0.0))), F.lit(1e-9))
+    unit = unit.withColumn("_length", length).select("grp", *[F.round(F.col(f"_z{i}") / F.col("_length") * SCALE).cast("long").alias(f"x{i}") for i in range(P)])
+    shape = unit.groupBy("grp").agg(F.count("*").alias("__n"), *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}{j}") for i, j in PAIRS])
+    floors = list(FLOORS.values())
+    cov = {(i, j): F.col(f"s{i}{j}") / F.col("__n") / (SCALE * SCALE) * P * F.col(f"__w{i}") * F.col(f"__w{j}") for i, j in PAIRS}
+    both = robust.withColumnsRenamed({f"l{i}{i}": f"__w{i}" for i in range(P)}).select("grp", "n", *[f"m{i}" for i in range(P)], *[f"__w{i}" for i in range(P)]).join(shape, "grp")
+    both = both.withColumns({f"c{i}{j}": c + floors[i] ** 2 if i == j else c for (i, j), c in cov.items()})
+    return _factor(both).select("grp", *ESTIMATE)
 
 
-def estimates(rows: DataFrame, n_groups: int) -> DataFrame:
-    """MCD location and scatter of each group: of the starts, the one that ends with the least determinant."""
-    params = durable(_starts(rows))
-    for _ in range(STEPS):
+def estimates(rows: DataFrame, n_groups: int, most_steps: int = MOST_STEPS) -> DataFrame:
+    """MCD location and scatter of each group (grp, x0..x3), reweighted; `n` is the number of the group's rows.
+
+    Of the three starts the one that ends with the least determinant is taken. Its scatter is made
+    consistent for normal rows; the rows within WEIGHT_QUANTILE of it give the final estimate.
+    """
+    params, before = durable(_starts(rows, n_groups)), None
+    for _ in range(most_steps):
         params = durable(_core(rows, params, n_groups))
+        # sums of rounded numbers, so that the order of rows doesn't matter
+        now = params.agg(F.sum(F.round(F.col("logdet") * 1000).cast("long")), F.count("*")).first()
+        if before is not None and (now[0] is None or now[0] >= before):
+            break
+        before = now[0]
     best = Window.partitionBy("grp").orderBy("logdet", "start")
-    return params.withColumn("__r", F.row_number().over(best)).where("__r = 1").drop("__r", "start")
+    raw = params.withColumn("__r", F.row_number().over(best)).where("__r = 1").drop("__r", "start")
+    near = distance(beside(rows, raw, ["grp"], n_groups, how="inner"), "__d2")
+    near = near.where(F.col("__d2") <= WEIGHT_QUANTILE * consistency(CORE_QUANTILE)).select("grp", *[f"x{i}" for i in range(P)])
+    factor = consistency(WEIGHT_QUANTILE)
+    final = _factor(near.groupBy("grp").agg(*_sums()).select("grp", "n", *[v.alias(k) for k, v in _moments("n", factor).items()])).select("grp", *ESTIMATE).drop("n")
+    sizes = rows.groupBy(F.col("grp").alias("__grp")).agg(F.count("*").alias("n"))
+    return durable(final.join(sizes, F.col("grp") == F.col("__grp")).select("grp", *ESTIMATE))
 
 
 def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
@@ -209,17 +261,18 @@ def judge(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     n_lines, base_failed, grp, distance (squared, null if base_failed), kept.
 
     Nulls: a null text has no words and fails the base rules; null languages and sources are groups
-    like any other. Groups of fewer than LEAST_GROUP rows that pass the base rules are pooled; a pool
-    that is still smaller keeps its rows, since there is nothing to hold them against. Repeated
-    rows count as often as they occur; other columns are ignored; an empty table gives no rows.
+    like any other. A group of fewer than LEAST_GROUP rows that pass the base rules is held against its
+    language, a language of fewer against all documents; a table of fewer keeps its rows, since there
+    is nothing to hold them against. Repeated rows count as often as they occur; other columns are
+    ignored; an empty table gives no rows.
     """
     stats = durable(statistics(docs)).withColumn(
         "base_failed", (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED_PERCENT)
     )
-    rows, n_groups = grouped(vectors(stats.where("not base_failed")))
-    params = estimates(rows.select("grp", *[f"x{i}" for i in range(P)]), n_groups)
+    rows, members, n_groups = grouped(vectors(stats.where("not base_failed")))
+    params = estimates(durable(members), n_groups)
     near = distance(beside(rows, params, ["grp"], n_groups), "distance")
-    passed = near.withColumn("kept", (F.col("distance") <= cutoff) | (F.col("n") / CORE < LEAST_GROUP) | F.col("distance").isNull())
+    passed = near.withColumn("kept", (F.col("distance") <= cutoff) | (F.col("n") < LEAST_GROUP) | F.col("distance").isNull())
     columns = [*stats.columns, "grp", "distance", "kept"]
     failed = stats.where("base_failed").select("*", F.lit(None).cast("string").alias("grp"), F.lit(None).cast("double").alias("distance"), F.lit(False).alias("kept"))
     return passed.select(*columns).unionByName(failed.select(*columns))
