@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .util import durable
 
-MOST_ROUNDS = 40
+#: Each round about halves the longest path, so this is never reached; it ends a loop that a fault would make endless.
+MOST_ROUNDS = 100
+#: Cells (a cell, a node and a count) up to which they are broadcast.
+BROADCAST_CELLS = 500_000
+#: Pairs of a cell beyond which it is dealt into finer parts.
+MOST_PAIRS = 1_000_000
 
 
 def _stars(edges: DataFrame, upward: bool) -> DataFrame:
@@ -51,29 +56,37 @@ def components(edges: DataFrame) -> DataFrame:
     return nodes.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
 
 
-def cell_links(members: DataFrame, near: Callable[[Column, Column], Column], value: str = "value") -> DataFrame:
+def cell_links(members: DataFrame, verified: Callable[[DataFrame], DataFrame], finer: Callable[[Column], Column] | None = None) -> DataFrame:
     """Links (u, v) whose components are those of all pairs that share a cell and are near.
 
-    `members` has cell, node (long), n (weight of the node) and perhaps a column `value`;
-    near(a, b) verifies two values. Cells of two nodes are verified as they are read. Larger cells
-    don't emit all their pairs: every member is first held against the cell's heaviest node and the
+    `members` has cell and node (long), without repeats; it is read more than once. verified(pairs)
+    keeps the near ones of different pairs (u, v). Cells of two nodes are one pair each. Larger
+    cells don't emit all their pairs: every member is first held against one of the cell and the
     components of these links are found; then only nodes of different components are compared, of
-    which one is outside the cell's largest component.
+    which one is outside the cell's largest component. Cells are counted before any shuffle of
+    their members, and no window spans one. Cells that would still give more than MOST_PAIRS pairs
+    are dealt by finer(node): parts of which near nodes share one at least.
     """
-    columns = list(dict.fromkeys(["node", value]))
-    own, whole = Window.partitionBy("cell"), F.struct(*dict.fromkeys(["n", "node", value]))
-    members = members.withColumn("many", F.count("*").over(own)).withColumn("hub", F.max(whole).over(own)).withColumn("low", F.min(whole).over(own))
-    met = (F.col("many") > 2) | ((F.col("many") == 2) & near(F.col("hub")[value], F.col("low")[value]))
-    members = durable(members.where(met).select("cell", *columns, F.col("hub")["node"].alias("hub"), F.col("hub")[value].alias("hub_value")))
-    first = durable(members.where((F.col("node") != F.col("hub")) & near(F.col(value), F.col("hub_value"))).select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct())
+    hubs = durable(members.groupBy("cell").agg(F.count("*").alias("many"), F.max("node").alias("hub")).where("many > 1"))
+    side = F.broadcast(hubs) if hubs.count() <= BROADCAST_CELLS else hubs
+    met = members.join(side.withColumnRenamed("cell", "__cell"), F.col("cell") == F.col("__cell")).drop("__cell")
+    first = durable(verified(met.where("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct()))
+    large = hubs.where("many > 2").select(F.col("cell").alias("__cell"))
+    if large.isEmpty():
+        return first
     known = components(first).withColumnRenamed("node", "__node")
-    placed = members.join(known, F.col("node") == F.col("__node"), "left").select("cell", *columns, F.coalesce("component", "node").alias("comp"))
+    placed = members.join(large, F.col("cell") == F.col("__cell")).join(known, F.col("node") == F.col("__node"), "left").select("cell", "node", F.coalesce("component", "node").alias("comp"))
+    placed = durable(placed)
     sizes = placed.groupBy("cell", "comp").agg(F.count("*").alias("k"))
-    mixed = sizes.groupBy("cell").agg(F.count("*").alias("comps"), F.max(F.struct("k", "comp"))["comp"].alias("major")).where("comps > 1")
-    placed = durable(placed.join(mixed.select(F.col("cell").alias("__cell"), "major"), F.col("cell") == F.col("__cell")).select("cell", *columns, "comp", "major"))
-    a = placed.where("comp <> major").select("cell", F.col("node").alias("u"), F.col(value).alias("__u"), F.col("comp").alias("cu"), "major")
-    b = placed.select(F.col("cell").alias("__cell"), F.col("node").alias("v"), F.col(value).alias("__v"), F.col("comp").alias("cv"))
+    mixed = sizes.groupBy("cell").agg(F.count("*").alias("comps"), F.max(F.struct("k", "comp")).alias("top"), F.sum("k").alias("k")).where("comps > 1")
+    crowded = (F.col("k") - F.col("top.k")) * F.col("k") > MOST_PAIRS
+    mixed = mixed.select(F.col("cell").alias("__cell"), F.col("top.comp").alias("major"), crowded.alias("crowded"))
+    placed = durable(placed.join(mixed, F.col("cell") == F.col("__cell")).select("cell", "node", "comp", "major", "crowded"))
+    whole = F.array(F.lit(0).cast("long"))
+    parts = whole if finer is None else F.when(F.col("crowded"), finer(F.col("node"))).otherwise(whole)
+    a = placed.where("comp <> major").select("cell", F.explode(parts).alias("part"), F.col("node").alias("u"), F.col("comp").alias("cu"), "major")
+    b = placed.select(F.col("cell").alias("__cell"), F.explode(parts).alias("__part"), F.col("node").alias("v"), F.col("comp").alias("cv"))
     # of two nodes outside the largest component one order is enough
     apart = (F.col("cu") != F.col("cv")) & ((F.col("cv") == F.col("major")) | (F.col("u") > F.col("v")))
-    rest = a.join(b, (F.col("cell") == F.col("__cell")) & apart & near(F.col("__u"), F.col("__v"))).select("u", "v").distinct()
-    return first.unionByName(rest)
+    rest = a.join(b, (F.col("cell") == F.col("__cell")) & (F.col("part") == F.col("__part")) & apart).select("u", "v").distinct()
+    return first.unionByName(verified(rest))

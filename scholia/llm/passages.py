@@ -6,10 +6,13 @@ MinHashed into bands; paragraphs that share a band are verified by exact Jaccard
 Equal passages are found wherever they begin and end: every window of LEAST_WORDS words that occurs
 twice is in a unit that matches, so a repeated stretch is covered from its first word to its last.
 The windows of a text are dealt into groups by their anchor, the least hash of ANCHOR_WORDS words in
-each, so equal windows have equal anchors. A group (about six windows) that repeats as a whole is
-one unit; windows are units of their own only where one anchor has different groups, as at the
+each, so equal windows have equal anchors. A group (about six windows) whose anchor has no other
+group is one unit; windows are units of their own where one anchor has different groups, as at the
 edges of a stretch. Of each component of matching units the first occurrence is kept and the
 others are removed.
+
+Texts are read three times. The first reading only counts hashes of anchors and bands; the next two
+write what these counts leave: candidate paragraphs with their shingles, and units with their places.
 """
 
 from __future__ import annotations
@@ -35,19 +38,24 @@ FILTER_BITS = 27
 RECALL = 0.998
 #: Characters worked on at once.
 CHUNK = 1 << 20
-#: Keys (16 bytes each) up to which a set of them is broadcast; beyond, both sides are shuffled.
-BROADCAST_KEYS = 200_000
+#: Rows up to which a table of units (80 bytes each), and of paragraphs with shingles, is broadcast; beyond,
+#: both sides are shuffled, but for units of HOT_UNIT occurrences or more, which are few.
+BROADCAST_UNITS, BROADCAST_LINES = 200_000, 20_000
+HOT_UNIT = 1000
 
 _P, _Q = np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xD6E8FEB86659FD93)
 _P_BACK, _Q_BACK = (np.uint64(pow(int(x), -1, 1 << 64)) for x in (_P, _Q))
 
 
-def tuned_bands(threshold: float = THRESHOLD, recall: float = RECALL, most: int = 64) -> tuple[int, int]:
-    """(bands, rows) of at most `most` hashes: the most rows, then the fewest bands, that find pairs at the threshold with this probability."""
-    for rows in range(most, 0, -1):
-        for bands in range(1, most // rows + 1):
-            if 1 - (1 - threshold**rows) ** bands >= recall:
-                return bands, rows
+def tuned_bands(threshold: float = THRESHOLD, recall: float = RECALL, least_rows: int = 3, most: int = 64) -> tuple[int, int]:
+    """(bands, rows) that find pairs at the threshold with this probability.
+
+    A paragraph is written once for each band, so the fewest bands are taken whose rows are
+    `least_rows` at least, which keeps apart paragraphs that share little.
+    """
+    for bands in range(1, most // least_rows + 1):
+        if 1 - (1 - threshold**least_rows) ** bands >= recall:
+            return bands, least_rows
     raise ValueError("no bands reach this recall")
 
 
@@ -116,26 +124,26 @@ class Words:
         return anchor[first], window[first], window[first] + count
 
     def units(self, whole: np.ndarray, mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Lines, groups whose key may be in the filter `whole`, and windows whose anchor's key may be in `mixed`."""
-        (a, b), (anchor, c, d) = self.lines(), self.groups()
-        e, f = self.windows(mixed, anchor, c, d)
-        own = maybe_in(whole, self.keys(c, d + LEAST_WORDS - 1))
-        first, end = np.concatenate([a, c[own], e]), np.concatenate([b, d[own] + LEAST_WORDS - 1, f])
-        size = len(self.line) + 1
-        first, end = np.divmod(np.unique(first * size + end), size)
-        return first, end
-
-    def windows(self, mixed: np.ndarray, anchor: np.ndarray, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First and end words of the windows of groups whose anchor's key may be in `mixed`."""
-        own = maybe_in(mixed, self.keys(anchor, anchor + ANCHOR_WORDS))
-        first, count = first[own], (end - first)[own]
+        """First and end words of the groups whose anchor may be in the filter `whole`, and of the windows whose anchor may be in `mixed`."""
+        anchor, first, end = self.groups()
+        mark = self.marks(anchor, anchor + ANCHOR_WORDS, 0)
+        own, split = maybe_in(whole, mark), maybe_in(mixed, mark)
+        count = (end - first)[split]
         offsets = np.cumsum(count) - count
-        at = np.repeat(first - offsets, count) + np.arange(count.sum())
-        return at, at + LEAST_WORDS
+        at = np.repeat(first[split] - offsets, count) + np.arange(count.sum())
+        return np.concatenate([first[own], at]), np.concatenate([end[own] + LEAST_WORDS - 1, at + LEAST_WORDS])
 
     def keys(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
         return _ranges(self.hashes, first, end, _Q, _Q_BACK).view(np.int64) if len(first) else np.zeros(0, np.int64)
 
+    def checks(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """A second hash, so that equal units agree in 128 bits."""
+        return _ranges(self.hashes, first, end, _P, _P_BACK).view(np.int64) if len(first) else np.zeros(0, np.int64)
+
+    def marks(self, first: np.ndarray, end: np.ndarray, kind: int) -> np.ndarray:
+        """Keys whose lowest bit tells anchors (0) from bands (1)."""
+        return (self.keys(first, end) & ~np.int64(1)) | np.int64(kind)
+
     def shingles(self, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all shingles of the lines, and where each line's begin."""
         count = end - first - (SHINGLE_WORDS - 1)
@@ -150,9 +158,9 @@ class Words:
 
 
 def key_filter(keys: DataFrame, n: int) -> np.ndarray:
-    """Bits of a set of n keys (column key), of bounded size."""
+    """Bits of a set of n keys (column key), of bounded size; the keys' lowest bit doesn't count."""
     slots = 1 << min((64 * n + (1 << 15)).bit_length(), FILTER_BITS) - 6
-    slot = F.col("key").bitwiseAND(F.lit(slots - 1).cast("long"))
+    slot = F.shiftrightunsigned("key", 1).bitwiseAND(F.lit(slots - 1).cast("long"))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned("key", 58).cast("int"))
     found = keys.select(slot.alias("slot"), bit.alias("bit")).groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow()
     out = np.zeros(slots, np.int64)
@@ -163,7 +171,7 @@ def key_filter(keys: DataFrame, n: int) -> np.ndarray:
 def maybe_in(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """False only for keys that aren't in the set."""
     k = keys.view(np.uint64)
-    return (bits[(k & np.uint64(len(bits) - 1)).astype(np.int64)] >> (k >> np.uint64(58))) & np.uint64(1) == 1
+    return (bits[((k >> np.uint64(1)) & np.uint64(len(bits) - 1)).astype(np.int64)] >> (k >> np.uint64(58))) & np.uint64(1) == 1
 
 
 _SEEDS = _mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64) * _P)
@@ -178,87 +186,101 @@ def bands_of(words: Words, first: np.ndarray, end: np.ndarray) -> np.ndarray:
             k = b * ROWS + r
             least = np.minimum.reduceat((shingles ^ _SEEDS[2 * k]) * (_SEEDS[2 * k + 1] | np.uint64(1)), offsets[:-1])
             out[:, b] = _mix(out[:, b] * _Q + least + np.uint64(b))
-    return out.view(np.int64)
+    return (out.view(np.int64) & ~np.int64(1)) | np.int64(1)
 
 
-def _portions(batch: pa.RecordBatch) -> Iterator[tuple[list, Words]]:
-    docs, texts, total = [], [], 0
-    for d, t in zip(batch["doc_id"], batch["text"], strict=True):
-        docs.append(d.as_py())
+def _portions(batch: pa.RecordBatch) -> Iterator[tuple[int, Words]]:
+    """First row and words of some texts each."""
+    row, texts, total = 0, [], 0
+    for t in batch["text"]:
         texts.append(t.as_py() or "")
         total += len(texts[-1])
         if total >= CHUNK:
-            yield docs, Words(texts)
-            docs, texts, total = [], [], 0
-    if docs:
-        yield docs, Words(texts)
+            yield row, Words(texts)
+            row, texts, total = row + len(texts), [], 0
+    if texts:
+        yield row, Words(texts)
 
 
 def _scan(docs: DataFrame, schema: str, work) -> DataFrame:
+    """Rows of `work(batch, first row, words)`; doc_id and text_key (a hash of the text) are in the batch."""
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, words in _portions(batch):
-                yield pa.RecordBatch.from_arrays(work(ids, words), names)
+            for row, words in _portions(batch):
+                yield pa.RecordBatch.from_arrays(work(batch, row, words), names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text").mapInArrow(run, schema)
 
 
-def group_keys(docs: DataFrame) -> DataFrame:
-    """Keys of anchors and groups; lines have 0 for an anchor."""
+def _lists(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
 
-    def work(_, words: Words) -> list[pa.Array]:
-        (a, b), (anchor, first, end) = words.lines(), words.groups()
-        anchors = np.concatenate([words.keys(anchor, anchor + ANCHOR_WORDS), np.zeros(len(a), np.int64)])
-        return [pa.array(anchors), pa.array(np.concatenate([words.keys(first, end + LEAST_WORDS - 1), words.keys(a, b)]))]
 
-    return _scan(docs, "anchor long, key long", work)
+def marks(docs: DataFrame) -> DataFrame:
+    """(mark, of): anchors with the keys of their groups, bands with the keys of their lines."""
 
+    def work(_, __, words: Words) -> list[pa.Array]:
+        (anchor, first, end), (a, b) = words.groups(), words.lines()
+        bands = bands_of(words, a, b).ravel() if len(a) else np.zeros(0, np.int64)
+        of = np.concatenate([words.keys(first, end + LEAST_WORDS - 1), np.repeat(words.keys(a, b), BANDS)])
+        return [pa.array(np.concatenate([words.marks(anchor, anchor + ANCHOR_WORDS, 0), bands])), pa.array(of)]
 
-def window_keys(docs: DataFrame, mixed) -> DataFrame:
-    """Keys of the windows whose anchor's key may be in the filter."""
+    return _scan(docs, "mark long, of long", work)
 
-    def work(_, words: Words) -> list[pa.Array]:
-        return [pa.array(words.keys(*words.windows(mixed.value, *words.groups())))]
 
-    return _scan(docs, "key long", work)
-
-
-def line_bands(docs: DataFrame) -> DataFrame:
-    def work(_, words: Words) -> list[pa.Array]:
-        first, end = words.lines()
-        flat = bands_of(words, first, end).ravel() if len(first) else np.zeros(0, np.int64)
-        return [pa.array(words.keys(first, end)), pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, BANDS, dtype=np.int32)), pa.array(flat))]
+def repeated_marks(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Filters of the anchors that repeat with one group, of those with different groups, and of the bands of different lines."""
+    counts = marks(docs).groupBy("mark").agg(F.count("*").alias("n"), F.min("of").alias("low"), F.max("of").alias("high"))
+    is_band, mixed = F.col("mark").bitwiseAND(F.lit(1).cast("long")) == 1, F.col("low") != F.col("high")
+    found = durable(counts.where((F.col("n") > 1) & (mixed | ~is_band)).select(F.col("mark").alias("key"), is_band.alias("band"), mixed.alias("mixed")))
+    send = docs.sparkSession.sparkContext.broadcast
+    sets = [found.where("not mixed"), found.where("mixed and not band"), found.where("band")]
+    return tuple(send(key_filter(x, x.count())) for x in sets)
 
-    return _scan(docs, "key long, bands array<long>", work)
 
+def candidate_lines(docs: DataFrame, bands) -> DataFrame:
+    """key, cells and shingles of the different lines that may share a band with another one."""
 
-def line_shingles(docs: DataFrame) -> DataFrame:
-    def work(_, words: Words) -> list[pa.Array]:
+    def work(_, __, words: Words) -> list[pa.Array]:
         first, end = words.lines()
+        if len(first):
+            at = bands_of(words, first, end)
+            met = maybe_in(bands.value, at.ravel()).reshape(at.shape)
+            own = met.any(axis=1)
+            # of equal lines of a portion one is enough
+            key = words.keys(first, end)
+            own &= np.isin(np.arange(len(key)), np.unique(key, return_index=True)[1])
+            first, end, at, met = first[own], end[own], at[own], met[own]
         if not len(first):
-            return [pa.array([], pa.int64()), pa.array([], pa.list_(pa.int64()))]
+            return [pa.array([], pa.int64()), pa.array([], pa.list_(pa.int64())), pa.array([], pa.list_(pa.int64()))]
         shingles, offsets = words.shingles(first, end)
-        return [pa.array(words.keys(first, end)), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(shingles.view(np.int64)))]
+        cells = _lists(at[met], np.concatenate([[0], np.cumsum(met.sum(axis=1))]))
+        return [pa.array(words.keys(first, end)), cells, _lists(shingles.view(np.int64), offsets)]
 
-    return _scan(docs, "key long, shingles array<long>", work)
+    rows = _scan(docs, "key long, cells array<long>, shingles array<long>", work)
+    one = rows.groupBy("key").agg(F.first("cells").alias("cells"), F.first("shingles").alias("shingles"))
+    return one.select("key", "cells", F.array_distinct("shingles").alias("shingles"))
 
 
-def unit_places(docs: DataFrame, whole, mixed) -> DataFrame:
-    def work(ids: list, words: Words) -> list[pa.Array]:
-        first, end = words.units(whole.value, mixed.value)
-        text, start, stop = words.places(first, end) if len(first) else (first, first, end)
-        owner = pa.array(ids, pa.int64()).take(pa.array(text.astype(np.int64)))
-        return [pa.array(words.keys(first, end)), owner, pa.array(start.astype(np.int64)), pa.array(stop.astype(np.int64)), pa.array((end - first).astype(np.int64))]
+def units(docs: DataFrame, whole, mixed, near) -> DataFrame:
+    """Places of the units that may repeat: key, check, line (whether it is a near line), doc_id, text_key, start, stop."""
 
-    return _scan(docs, "key long, doc_id long, start long, stop long, words long", work)
+    def work(batch: pa.RecordBatch, row: int, words: Words) -> list[pa.Array]:
+        (a, b), (first, end) = words.lines(), words.units(whole.value, mixed.value)
+        key, line = words.keys(first, end), words.keys(a, b)
+        own = maybe_in(near.value, line)
+        every, stop = np.concatenate([first, a[own]]), np.concatenate([end, b[own]])
+        text, start, stop = words.places(every, stop) if len(every) else (every, every, stop)
+        owner = pa.array(text.astype(np.int64) + row)
+        check = np.concatenate([words.checks(first, end), np.zeros(own.sum(), np.int64)])
+        return [
+            pa.array(np.concatenate([key, line[own]])), pa.array(check), pa.array(np.arange(len(every)) >= len(first)),
+            batch["doc_id"].take(owner), batch["text_key"].take(owner), pa.array(start.astype(np.int64)), pa.array(stop.astype(np.int64)),
+        ]
 
-
-def _with_keys(rows: DataFrame, keys: DataFrame, n: int) -> DataFrame:
-    """Rows whose key is among `keys` (key and others), which are broadcast if they are few."""
-    side = keys.withColumnRenamed("key", "__key")
-    return rows.join(F.broadcast(side) if n <= BROADCAST_KEYS else side, F.col("key") == F.col("__key")).drop("__key")
+    return _scan(docs, "key long, check long, line boolean, doc_id long, text_key long, start long, stop long", work)
 
 
 def jaccard_at_least(a: Column, b: Column, threshold: float = THRESHOLD) -> Column:
@@ -266,81 +288,88 @@ def jaccard_at_least(a: Column, b: Column, threshold: float = THRESHOLD) -> Colu
     return both >= threshold * (F.size(a) + F.size(b) - both)
 
 
-def near_paragraphs(docs: DataFrame) -> DataFrame:
+def near_paragraphs(docs: DataFrame, bands) -> DataFrame:
     """(key, component) of the paragraphs that are near another one, equal ones being one node."""
-    lines = line_bands(docs).groupBy("key").agg(F.count("*").alias("n"), F.first("bands").alias("bands"))
-    rows = lines.select("key", "n", F.posexplode("bands").alias("band", "at"))
-    cells = durable(_colliding(rows))
-    keys = durable(cells.select("key").distinct())
-    values = _with_keys(line_shingles(docs), keys, keys.count()).groupBy("key").agg(F.first("shingles").alias("value"))
-    values = values.select(F.col("key").alias("__key"), F.array_distinct("value").alias("value"))
-    members = cells.join(values, F.col("key") == F.col("__key")).select("cell", F.col("key").alias("node"), "n", "value")
-    return components(cell_links(members, jaccard_at_least)).withColumnRenamed("node", "key")
+    lines = durable(candidate_lines(docs, bands))
+    few = lines.count() <= BROADCAST_LINES
+    side = lambda name, out: (F.broadcast if few else lambda x: x)(lines.select(F.col("key").alias(name), F.col("shingles").alias(out)))
 
+    def verified(pairs: DataFrame) -> DataFrame:
+        return pairs.join(side("u", "a"), "u").join(side("v", "b"), "v").where(jaccard_at_least(F.col("a"), F.col("b"))).select("u", "v")
 
-def _colliding(rows: DataFrame) -> DataFrame:
-    """Rows of the cells that hold two keys or more."""
-    cell = F.struct("band", "at")
-    many = F.count("*").over(Window.partitionBy("band", "at"))
-    return rows.withColumn("many", many).where("many > 1").select(cell.alias("cell"), "key", "n")
+    members = lines.select(F.explode("cells").alias("cell"), F.col("key").alias("node"))
+    return components(cell_links(members, verified)).withColumnRenamed("node", "key")
 
 
-def equal_keys(docs: DataFrame) -> tuple[DataFrame, np.ndarray, np.ndarray]:
-    """Keys of repeated lines, groups and windows, and the filters for repeated groups and for anchors of different groups."""
-    send = docs.sparkSession.sparkContext.broadcast
-    counts = group_keys(docs).groupBy("anchor", "key").agg(F.count("*").alias("n"))
-    # both sides keep n, so that the scan and its shuffle are shared
-    kinds = counts.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("n").alias("n")).where("kinds > 1 and n > 1")
-    counts = kinds.select(F.col("anchor").alias("key"), F.lit(True).alias("mixed")).unionByName(counts.where("n > 1").select("key", F.lit(False).alias("mixed")))
-    found = durable(counts)
-    filters = []
-    for mixed in (False, True):
-        own = found.where(F.col("mixed") == mixed)
-        filters.append(send(key_filter(own, own.count())))
-    windows = window_keys(docs, filters[1]).groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    return found.where("not mixed").select("key").unionByName(windows), *filters
+def _with_firsts(rows: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Rows of the units in `firsts`. Few units are broadcast; of many, those of very many rows are, and the others are shuffled."""
+    side = firsts.withColumnsRenamed({"component": "__c", "check": "__k", "line": "__l"})
+    on = (F.col("component") == F.col("__c")) & (F.col("check") == F.col("__k")) & (F.col("line") == F.col("__l"))
+    if firsts.count() <= BROADCAST_UNITS:
+        return rows.join(F.broadcast(side), on)
+    hot, cold = side.where(F.col("n") >= HOT_UNIT), side.where(F.col("n") < HOT_UNIT)
+    if hot.count() > BROADCAST_UNITS:
+        return rows.join(side, on)
+    return rows.join(F.broadcast(hot), on).unionByName(rows.join(F.broadcast(hot), on, "left_anti").join(cold, on))
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """Occurrences of repeated units: doc_id, start, stop (code points, end exclusive), words, component, removed, kept_in.
+    """Occurrences of repeated units: doc_id, text_key, n_rows, start, stop (code points, end exclusive), component, removed, kept_in.
 
-    kept_in is the doc_id of the component's first occurrence, in order of doc_id and start. An
-    occurrence that overlaps the first one of its own text starts where that one stops. What is
-    covered is exact; a few windows inside of repeated groups are rows too, by chance of the filter. Nulls: a
-    null text has no units; a null doc_id goes last and is kept null. Repeated rows repeat their
-    units; other columns are ignored; an empty table gives no rows.
+    Rows of equal doc_id and text are told apart as the first of them (n_rows 1) and all others
+    (n_rows their number), of which everything repeated is removed. kept_in is the doc_id of the
+    component's first occurrence, in order of doc_id, text_key (a hash of the text) and start. An
+    occurrence that overlaps the first one of its own text starts where that one stops.
+
+    Nulls: a null text has no units; a null doc_id goes last and is kept null. Other columns are
+    ignored; an empty table gives no rows.
     """
-    near = durable(near_paragraphs(docs))
-    keys, whole, mixed = equal_keys(docs)
-    equal = keys.select("key", F.lit(None).cast("long").alias("component"))
-    units = durable(equal.unionByName(near.select("key", "component")).groupBy("key").agg(F.coalesce(F.max("component"), F.col("key")).alias("component")))
-    rows = _with_keys(unit_places(docs, whole, mixed), units, units.count())  # read twice by way of one shuffle, much smaller than a checkpoint
-    first = rows.groupBy(F.col("component").alias("__c")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "start", "stop")).alias("first"))
-    rows = rows.join(first, F.col("component") == F.col("__c"))
-    own = F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+    whole, mixed, bands = repeated_marks(docs)
+    near = durable(near_paragraphs(docs, bands))
+    n_near = near.count()
+    found = durable(units(docs, whole, mixed, docs.sparkSession.sparkContext.broadcast(key_filter(near, n_near))))
+    lines = near.select(F.col("key").alias("__key"), "component")
+    lines = found.where("line").join(F.broadcast(lines) if n_near <= BROADCAST_UNITS else lines, F.col("key") == F.col("__key")).drop("key", "__key")
+    rows = lines.unionByName(found.where("not line").withColumnRenamed("key", "component"))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "start", "stop")
+    firsts = rows.groupBy("component", "check", "line").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
+    rows = _with_firsts(rows, durable(firsts))
+    # equal rows of the table have equal units
+    same = ["doc_id", "text_key", "start", "stop", "component", "first"]
+    rows = rows.groupBy(*same).agg(F.count("*").alias("__many"))
+    others = F.struct((F.col("__many") - 1).alias("n_rows"), F.lit(True).alias("other"))
+    one = F.struct(F.lit(1).cast("long").alias("n_rows"), F.lit(False).alias("other"))
+    rows = rows.withColumn("__rows", F.explode(F.when(F.col("__many") > 1, F.array(one, others)).otherwise(F.array(one))))
+    own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key")) & ~F.col("__rows.other")
     removed = ~(own & (F.col("start") == F.col("first.start")))
     meets = own & (F.col("start") > F.col("first.start")) & (F.col("start") < F.col("first.stop")) & (F.col("stop") > F.col("first.stop"))
     start = F.when(meets, F.col("first.stop")).otherwise(F.col("start"))
-    return rows.select("doc_id", start.alias("start"), "stop", "words", "component", removed.alias("removed"), F.col("first.doc_id").alias("kept_in"))
+    return rows.select("doc_id", "text_key", "__rows.n_rows", start.alias("start"), "stop", "component", removed.alias("removed"), F.col("first.doc_id").alias("kept_in"))
+
 
+def removals(rows: DataFrame) -> DataFrame:
+    """Occurrences to one row for each of doc_id, text_key and n_rows: n_units, n_removed, spans without overlaps, kept_in.
 
-def merged(spans: Column) -> Column:
-    """Sorted (start, stop) without overlaps."""
-    joined = F.aggregate(
-        F.array_sort(spans),
-        F.array().cast("array<struct<start:bigint,stop:bigint>>"),
-        lambda a, s: F.when((F.size(a) > 0) & (F.element_at(a, F.greatest(F.size(a), F.lit(1)))["stop"] >= s["start"]), F.concat(F.slice(a, 1, F.size(a) - 1), F.array(F.struct(F.element_at(a, -1)["start"].alias("start"), F.greatest(F.element_at(a, -1)["stop"], s["stop"]).alias("stop"))))).otherwise(F.concat(a, F.array(s))),
-    )
-    return joined
+    Spans are merged along the sorted occurrences of a text, whose number its length bounds.
+    """
+    keys = ["doc_id", "text_key", "n_rows"]
+    order = Window.partitionBy(*keys).orderBy("start", "stop", "component")
+    reach = F.max(F.when(F.col("removed"), F.col("stop"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(F.col("removed"), (F.coalesce(reach, F.lit(-1)) < F.col("start")).cast("int")).otherwise(0)
+    rows = rows.withColumn("__begins", begins).withColumn("__span", F.sum("__begins").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = rows.groupBy(*keys, "__span").agg(
+        F.count("*").alias("n"), F.count_if("removed").alias("gone"), F.collect_set("kept_in").alias("kept"),
+        F.min(F.when(F.col("removed"), F.col("start"))).alias("start"), F.max(F.when(F.col("removed"), F.col("stop"))).alias("stop"),
+    )
+    span = F.when(F.col("start").isNotNull(), F.struct("start", "stop"))
+    return spans.groupBy(*keys).agg(
+        F.sum("n").alias("n_units"), F.sum("gone").alias("n_removed"), F.array_sort(F.collect_list(span)).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("kept")))).alias("kept_in"),
+    )
 
 
 def op6_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each document with a repeated unit: its spans to remove and the documents that keep them."""
-    rows = repeats(read(spark, sf_dir, "documents"))
-    span = F.struct("start", "stop")
-    by_doc = rows.groupBy("doc_id").agg(
-        F.count("*").alias("n_units"), F.count_if("removed").alias("n_removed"),
-        F.collect_list(F.when(F.col("removed"), span)).alias("spans"), F.array_sort(F.collect_set("kept_in")).alias("kept_in"),
-    )
-    text = F.array_join(F.transform(merged(F.col("spans")), lambda s: F.concat_ws("-", s["start"], s["stop"])), ",")
-    return by_doc.select("doc_id", "n_units", "n_removed", text.alias("removed_spans"), "kept_in")
+    found = removals(repeats(read(spark, sf_dir, "documents")))
+    text = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"], s["stop"])), ",")
+    return found.select("doc_id", "n_rows", "n_units", "n_removed", text.alias("removed_spans"), "kept_in")

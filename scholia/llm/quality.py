@@ -230,23 +230,27 @@ def _signs(rows: DataFrame, robust: DataFrame, n_groups: int) -> DataFrame:
     return _factor(both).select("grp", *ESTIMATE)
 
 
-def estimates(rows: DataFrame, n_groups: int, most_steps: int = MOST_STEPS) -> DataFrame:
-    """MCD location and scatter of each group (grp, x0..x3), reweighted; `n` is the number of the group's rows.
-
-    Of the three starts the one that ends with the least determinant is taken. Its scatter is made
-    consistent for normal rows; the rows within WEIGHT_QUANTILE of it give the final estimate.
-    """
+def raw_estimates(rows: DataFrame, n_groups: int, most_steps: int = MOST_STEPS) -> DataFrame:
+    """MCD of each group (grp, x0..x3): of the three starts the one that ends with the least determinant."""
     params, before = durable(_starts(rows, n_groups)), None
     for _ in range(most_steps):
         params = durable(_core(rows, params, n_groups))
         # sums of rounded numbers, so that the order of rows doesn't matter
-        now = params.agg(F.sum(F.round(F.col("logdet") * 1000).cast("long")), F.count("*")).first()
-        if before is not None and (now[0] is None or now[0] >= before):
+        now = params.agg(F.sum(F.round(F.col("logdet") * 1000).cast("long"))).first()[0]
+        if now is None or before is not None and now >= before:
             break
-        before = now[0]
+        before = now
     best = Window.partitionBy("grp").orderBy("logdet", "start")
-    raw = params.withColumn("__r", F.row_number().over(best)).where("__r = 1").drop("__r", "start")
-    near = distance(beside(rows, raw, ["grp"], n_groups, how="inner"), "__d2")
+    return params.withColumn("__r", F.row_number().over(best)).where("__r = 1").drop("__r", "start")
+
+
+def estimates(rows: DataFrame, n_groups: int) -> DataFrame:
+    """Location and scatter of each group (grp, x0..x3), by MCD and one reweighting; `n` is the number of the group's rows.
+
+    The MCD's scatter is made consistent for normal rows; the rows within WEIGHT_QUANTILE of it give
+    the final estimate.
+    """
+    near = distance(beside(rows, raw_estimates(rows, n_groups), ["grp"], n_groups, how="inner"), "__d2")
     near = near.where(F.col("__d2") <= WEIGHT_QUANTILE * consistency(CORE_QUANTILE)).select("grp", *[f"x{i}" for i in range(P)])
     factor = consistency(WEIGHT_QUANTILE)
     final = _factor(near.groupBy("grp").agg(*_sums()).select("grp", "n", *[v.alias(k) for k, v in _moments("n", factor).items()])).select("grp", *ESTIMATE).drop("n")

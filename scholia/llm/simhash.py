@@ -1,7 +1,7 @@
 """SimHash near-duplicates by segment-popcount embedding.
 
-A fingerprint's 32 segments of 2 bits are mapped to their bit counts. The Manhattan distance of
-two such vectors is at most the Hamming distance of the fingerprints, so fingerprints within 4
+A fingerprint's 32 segments of 2 bits are mapped to their bit counts. The Manhattan distance of two
+such vectors is at most the Hamming distance of the fingerprints, so fingerprints within 4
 bits have vectors within 4. The vectors' coordinates are dealt into 7 blocks (more for very many
 fingerprints); vectors within 4 agree in all but 4 of them or more, so a grid on each choice of
 the others brings every such pair into a common cell. Pairs of a cell are verified on the
@@ -62,10 +62,15 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
 
 
 def embedding(fp: Column) -> Column:
-    """Bit counts of the 32 segments, two bits each, in one long."""
+    """Bit counts of the 32 segments of two bits in one long, each as 00, 01 or 11, so that the Manhattan distance of two is the number of differing bits."""
     odd = F.lit(0x5555555555555555)
     high, low = F.shiftrightunsigned(fp, 1).bitwiseAND(odd), fp.bitwiseAND(odd)
-    return F.shiftleft(high.bitwiseAND(low), 1).bitwiseOR(high.bitwiseXOR(low))
+    return F.shiftleft(high.bitwiseAND(low), 1).bitwiseOR(high.bitwiseOR(low))
+
+
+def manhattan(a: Column, b: Column) -> Column:
+    """Distance of two embeddings, at most the number of differing bits of the fingerprints."""
+    return F.bit_count(a.bitwiseXOR(b))
 
 
 def blocks_for(n: int) -> int:
@@ -84,13 +89,24 @@ def _grids(blocks: int, bits: int) -> list[int]:
 
 
 def links(fps: DataFrame, n: int, bits: int = BITS) -> DataFrame:
-    """Links (u, v) whose components are those of all pairs of the n rows of `fps` (fp distinct, n) within `bits` bits.
+    """Links (u, v) whose components are those of all pairs of the n rows of `fps` (fp, distinct) within `bits` bits.
 
-    A cell is named by a hash of grid and place; cells that meet in it only add candidates.
+    A cell is named by a hash of grid and place; cells that meet in it only add candidates. Pairs of
+    a cell are held against the Manhattan bound, then verified. A crowded cell is dealt by one in
+    bits + 1 of the coordinates at a time: of vectors within `bits` one such share is equal.
     """
-    grids = F.array(*[F.xxhash64(F.lit(g), F.col("emb").bitwiseAND(F.lit(m))) for g, m in enumerate(_grids(blocks_for(n), bits))])
-    members = fps.withColumn("emb", embedding(F.col("fp"))).select(F.explode(grids).alias("cell"), F.col("fp").alias("node"), "n")
-    return cell_links(members, lambda a, b: F.bit_count(a.bitwiseXOR(b)) <= bits, "node")
+    emb = embedding(F.col("fp"))
+    grids = F.array(*[F.xxhash64(F.lit(g), emb.bitwiseAND(F.lit(m))) for g, m in enumerate(_grids(blocks_for(n), bits))])
+    members = fps.select(F.explode(grids).alias("cell"), F.col("fp").alias("node"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        u, v = F.col("u"), F.col("v")
+        return pairs.where(manhattan(embedding(u), embedding(v)) <= bits).where(F.bit_count(u.bitwiseXOR(v)) <= bits)
+
+    shares = [sum(3 << (2 * i) for i in range(32) if i % (bits + 1) == k) for k in range(bits + 1)]
+    shares = [m - (1 << 64) if m >> 63 else m for m in shares]
+    finer = lambda node: F.array(*[F.xxhash64(F.lit(k), embedding(node).bitwiseAND(F.lit(m))) for k, m in enumerate(shares)])
+    return cell_links(members, verified, finer)
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = BITS) -> DataFrame:
@@ -103,8 +119,8 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = BIT
     if none). Repeated rows stay; other columns are ignored; an empty table gives no rows.
     """
     rows = durable(fingerprints(docs, words))
-    fps = durable(rows.groupBy("fp").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")))
-    comps = components(links(fps.select("fp", "n"), fps.count(), bits))
+    fps = durable(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    comps = components(links(fps.select("fp"), fps.count(), bits))
     nodes = fps.join(comps, F.col("fp") == F.col("node"), "left").withColumn("component", F.coalesce("component", "fp"))
     ids = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
     named = nodes.select(F.col("fp").alias("__fp"), F.col("component").alias("__c")).join(ids, F.col("__c") == F.col("component")).select("__fp", "component", "component_id")

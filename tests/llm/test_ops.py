@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -124,18 +125,35 @@ def test_quality_statistics_and_distances(docs, spark, data):
         if r["doc_id"] is not None:
             assert tuple(r[n] for n in names) == brute_statistics(source[r["doc_id"]])
     assert quality.judge(empty(spark)).count() == 0
-    rows = local(quality.judge(spark.read.parquet(f"{data}/documents.parquet")))
-    for grp in {r["grp"] for r in rows if r["grp"]}:
-        own = [r for r in rows if r["grp"] == grp]
-        sh = lambda r, a, b: (r[a] / max(r[b], 1)) ** 0.5
-        x = np.array([[np.log(max(r["word_chars"], 1) / max(r["n_words"], 1)), sh(r, "n_symbols", "word_chars"), sh(r, "n_dup_lines", "n_lines"), sh(r, "n_repeat_words", "n_words")] for r in own])
+
+
+def group_rows(spark, x):
+    """A group's vectors as the estimators take them, and the vectors as they are rounded."""
+    whole = np.rint(np.asarray(x) * quality.SCALE).astype(int)
+    return spark.createDataFrame([("g", *map(int, r)) for r in whole], "grp string, x0 long, x1 long, x2 long, x3 long"), whole / quality.SCALE
+
+
+def test_scatter_is_consistent_for_normal_rows(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(3000, 4)) @ np.diag([0.5, 1.0, 2.0, 1.5]) @ (np.eye(4) + 0.5 * np.tri(4))
+    x[:300] += 40
+    rows, x = group_rows(spark, x)
+    near = quality.distance(rows.join(quality.estimates(rows, 1), "grp"), "d").select("d", "x0").collect()
+    d = np.sort([r["d"] for r in near])
+    assert abs(np.median(d[:2700]) - 3.357) < 0.25 and d[2699] < 45 and d[2700] > 100
+    assert abs((d[:2700] > quality.CUTOFF).mean() - 0.001) < 0.002
+
+
+def test_determinant_is_as_small_as_that_of_any_subset(spark):
+    rng = np.random.default_rng(4)
+    for shift in (0.0, 6.0):
+        x = rng.normal(size=(15, 4))
+        x[:3] += shift
+        rows, x = group_rows(spark, x)
+        got = quality.raw_estimates(rows, 1).first()
         floor = np.diag([f**2 for f in quality.FLOORS.values()])
-        dist = np.array([r["distance"] for r in own])
-        # a concentration step from the final distances doesn't lead to a smaller determinant than a plain estimate has
-        core = x[np.argsort(dist)[: int(np.ceil(len(x) * quality.CORE))]]
-        d2 = lambda s: np.einsum("ij,jk,ik->i", x - s.mean(0), np.linalg.inv(np.cov(s.T, bias=True) + floor), x - s.mean(0))
-        assert np.linalg.det(np.cov(core.T, bias=True) + floor) <= np.linalg.det(np.cov(x.T, bias=True) + floor) * 1.01
-        assert np.median(np.abs(d2(core) - dist)) < 0.1
+        dets = [np.linalg.slogdet(np.cov(x[list(c)].T, bias=True) + floor)[1] for c in itertools.combinations(range(15), got["n"])]
+        assert got["n"] >= 15 * quality.CORE and got["logdet"] <= min(dets) + 0.7, (got["logdet"], min(dets))
 
 
 def test_passages_find_what_brute_force_finds(docs, spark):
@@ -225,7 +243,7 @@ def test_dense_clusters_of_fingerprints(spark, n):
     centers = [rng.getrandbits(64) for _ in range(4)]
     values = {c ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 5))) for c in centers for _ in range(80)} | {rng.getrandbits(64) for _ in range(100)}
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
-    got = {r["node"] % (1 << 64): r["component"] for r in local(graph.components(simhash.links(spark.createDataFrame([(v, 1) for v in signed], "fp long, n long"), n)))}
+    got = {r["node"] % (1 << 64): r["component"] for r in local(graph.components(simhash.links(spark.createDataFrame([(v,) for v in signed], "fp long"), n)))}
     up = {v: v for v in values}
 
     def find(v):
@@ -293,7 +311,6 @@ def test_packing(docs, spark):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(packing.tokenizer_path())
-    tokenizer.encode_special_tokens = True
     source = dict(enumerate(texts()))
     rows = local(packing.pack_documents(docs, 512))
     by = collections.defaultdict(list)
