@@ -18,12 +18,16 @@ from pyspark.sql import functions as F
 
 from .util import beside, durable, read
 
+#: Comments, declarations and tags; a quoted value may have any length and hold '>'. A quote that
+#: is never closed ends nothing: the tag then ends at the next '>' (and from the MOST_BROKEN-th such
+#: tag of a page on, quotes no longer count, so that reading stays linear).
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*+>"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]{0,4096}+\"|'[^']{0,4096}+')*+)>"
-    r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*+)[^>]*+>",
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+|[\"'])*+)>",
     re.S,
 )
+PLAIN_TAG = re.compile(r"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>[^>]*+)>")
+MOST_BROKEN = 64
 ATTR = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 TELLING = re.compile(r"class|id|role|hidden|style", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -49,8 +53,12 @@ OUTSIDE = frozenset(["header"])
 MAIN = frozenset(["article", "main"])
 CONTAINERS = frozenset("div section ul ol dl table figure details fieldset center".split())
 NO_TEMPLATES = INLINE | MAIN | RAW | {"#", "html", "head", "body"}
-#: A subtree is a site's template if it is on so many of a host's different pages.
-LEAST_PAGES, LEAST_SHARE = 5, 0.1
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: A subtree is a site's template if it is on so many of a host's different pages, however many the
+#: host has; in an article, where pages may quote each other, on twice as many.
+LEAST_PAGES, LEAST_IN_ARTICLE = 5, 10
+#: Templates up to which a host's set of them is sent to its pages.
+BROADCAST_TEMPLATES = 200_000
 
 
 class Page:
@@ -95,7 +103,7 @@ class Page:
             names = set(re.split(r"[^a-z0-9]+", f"{own.get('class', '')} {own.get('id', '')}".lower()))
             named = bool(names & NAMED or (names & OUTSIDE and not inside)) or own.get("role", "").lower() in ROLES
             named = named or "hidden" in own or own.get("aria-hidden", "").lower() == "true" or bool(re.search(r"display\s*:\s*none", own.get("style", "")))
-            named = named and tag not in ("html", "body")
+            named = named and tag not in ("html", "body") and not (inside and tag in HEADINGS)
         self.tags.append(tag)
         self.parents.append(parent)
         self.dropped.append(drop or named)
@@ -129,21 +137,31 @@ class Page:
         return 0
 
     def _read(self, html: str) -> None:
-        at, n = 0, len(html)
+        at, n, broken, last = 0, len(html), 0, html.rfind(">")
+        begin = 0
         while at < n:
-            m = TOKEN.search(html, at)
-            self._text(html[at : m.start()] if m else html[at:])
+            start = html.find("<", at)
+            m = None
+            if 0 <= start <= last or html.startswith("<!--", start):
+                m = TOKEN.match(html, start) if broken < MOST_BROKEN else None
+                if not m:
+                    m = PLAIN_TAG.match(html, start)
+                    broken += m is not None
+            elif start < 0 or start > last:
+                break
             if not m:
-                return
-            at = m.end()
-            tag = (m["tag"] or m["tag2"] or "").lower()
+                at = start + 1
+                continue
+            self._text(html[begin:start])
+            begin = at = m.end()
+            tag = (m["tag"] or "").lower()
             if not tag:
                 continue
             if tag not in INLINE:
                 self.block += 1
             elif tag == "br":
                 self._text(" ")
-            if m["end"] or m["end2"]:
+            if m["end"]:
                 if tag in INLINE:
                     # only an inline element inside the innermost block is closed by it
                     found = next((k for k in range(len(self._stack) - 1, 0, -1) if self.tags[self._stack[k]] == tag or self.tags[self._stack[k]] not in INLINE), 0)
@@ -161,7 +179,10 @@ class Page:
             self._open(tag, m["attrs"] or "")
             if tag in RAW:
                 end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)", re.I).search(html, at)
-                at = end.start() if end else n
+                stop = end.start() if end else n
+                self._text(html[at:stop])
+                begin = at = stop
+        self._text(html[begin:])
 
     def marks(self, templates: frozenset[int] = frozenset()) -> tuple[list[bool], list[bool], bool]:
         """By element: whether it is dropped, by itself or from above, and whether it lies in an article; whether there is one."""
@@ -170,7 +191,7 @@ class Page:
         for k, tag in enumerate(self.tags):
             up = self.parents[k]
             drop = self.dropped[k] and not (self.holds[k] and tag not in DROPPED)
-            drop = drop or (bool(templates) and not self.holds[k] and self.counts(k) and self.digests[k] in templates)
+            drop = drop or (bool(templates) and not self.holds[k] and self.counts(k) and self.digest(k) in templates)
             gone.append(drop or (up >= 0 and gone[up]))
             if tag in MAIN and not gone[k] and (kind is None or tag == "article"):
                 kind = tag
@@ -180,14 +201,21 @@ class Page:
         return gone, inside, kind is not None
 
     def counts(self, k: int) -> bool:
-        """Whether an element may be a template: a block of a page, but of an article's only what holds other blocks."""
+        """Whether an element may be a template: a block of a page, but of an article's only what holds other blocks.
+
+        Paragraphs of articles are text, even if many pages share them (a licence, a passage).
+        """
         tag = self.tags[k]
         if self.within[k]:
             return tag in CONTAINERS and bool(self.parts[k])
         return bool(self.parts[k]) and tag not in NO_TEMPLATES
 
+    def digest(self, k: int) -> int:
+        """The subtree's digest; its lowest bit tells those within an article, which have a bar of their own."""
+        return self.digests[k] & ~1 | self.within[k]
+
     def subtrees(self) -> set[int]:
-        return {self.digests[k] for k in range(len(self.tags)) if not self.holds[k] and self.counts(k)}
+        return {self.digest(k) for k in range(len(self.tags)) if not self.holds[k] and self.counts(k)}
 
     def text(self, templates: frozenset[int] = frozenset()) -> str:
         gone, inside, main = self.marks(templates)
@@ -212,18 +240,16 @@ def templates(pages: DataFrame) -> DataFrame:
             hosts, digests, roots = [], [], []
             for host, html in zip(batch["host"].to_pylist(), batch["html"], strict=True):
                 page = Page(html.as_py() or "")
-                for d in (0, *page.subtrees()):  # 0 counts the page itself
+                for d in page.subtrees():
                     hosts.append(host)
                     digests.append(d)
                     roots.append(page.digests[0])
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(digests, pa.int64()), pa.array(roots, pa.int64())], ["host", "digest", "root"])
 
     seen = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(run, "host string, digest long, root long").distinct()
-    counts = seen.groupBy("host", "digest").agg(F.count("*").alias("n")).where((F.col("n") >= LEAST_PAGES))
-    counts = durable(counts)
-    total = counts.where("digest = 0").select(F.col("host").alias("__host"), F.col("n").alias("pages"))
-    shared = counts.where("digest <> 0").join(total, F.col("host") == F.col("__host"))
-    return shared.where(F.col("n") >= F.col("pages") * LEAST_SHARE).select("host", "digest")
+    within = F.col("digest").bitwiseAND(F.lit(1).cast("long")) == 1
+    counts = seen.groupBy("host", "digest").agg(F.count("*").alias("n"))
+    return counts.where((F.col("n") >= LEAST_PAGES) & (~within | (F.col("n") >= LEAST_IN_ARTICLE))).select("host", "digest")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -233,11 +259,14 @@ def main_text(pages: DataFrame) -> DataFrame:
     blocks are joined by two newlines. A null or empty html gives an empty text, a null url belongs
     to the host ''. Repeated rows stay; pages of equal content count once among a host's. Other
     columns are ignored; an empty table gives no rows.
+
+    A site's templates go to its pages by a broadcast if there are few in all; otherwise pages are
+    joined with their hosts' sets, and adaptive execution splits a host of very many pages.
     """
     found = durable(templates(pages))
     lists = found.groupBy("host").agg(F.collect_set("digest").alias("templates"))
     rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    rows = beside(rows, lists, ["host"], found.count()).select("page_id", "url", "html", "templates")
+    rows = beside(rows, lists, ["host"], found.count(), BROADCAST_TEMPLATES).select("page_id", "url", "html", "templates")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[tuple, frozenset] = {}
