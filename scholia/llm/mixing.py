@@ -5,6 +5,9 @@ source's weight; the integral up to t, scaled to the source's target, is the cum
 D(t) for its words. Documents of a source are read in a keyed order, again from the start when
 all are used; the read that begins after c words is placed at the time t with D(t) = c, and
 reads are range-sorted by that position.
+
+Time runs over each source's own demand: at time t the share D(t) of every source's target is
+taken. How many words are taken at a time follows the schedules, it isn't held even.
 """
 
 from __future__ import annotations
@@ -16,6 +19,10 @@ from .util import beside, durable, fraction, n_words, read, running_total
 
 #: Rows dealt into one bucket of the prefix sums.
 BUCKET_ROWS = 256
+#: Copies of a row numbered at once.
+COPIES = 4096
+#: Rows of a plan up to which it is broadcast (about 80 bytes each).
+BROADCAST_READS = 500_000
 #: A source is read this many times at most.
 MAX_READS = 3
 
@@ -31,7 +38,7 @@ def source_plan(sizes: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0),
     """
     # UTF-8 keeps code point order, and Spark compares strings by their bytes
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    ranked = sizes.withColumn("__i", (F.row_number().over(by_name) - 1) % len(weights))
+    ranked = sizes.withColumn("rank", F.row_number().over(by_name)).withColumn("__i", (F.col("rank") - 1) % len(weights))
     ranked = ranked.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("__i") + 1).cast("int"))).drop("__i")
     ranked = ranked.withColumn("__cap", F.col("source_size") * F.lit(float(max_reads)))
     by_level = Window.orderBy((F.col("__cap") / F.col("weight")).asc(), F.col("source").asc_nulls_last())
@@ -49,7 +56,7 @@ def source_plan(sizes: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0),
     )
     share = F.coalesce(F.col("__free.__level") * F.col("weight"), F.col("__cap"))
     target = F.when(F.col("__is_capped"), F.col("__cap")).otherwise(share)
-    return ranked.withColumn("target", F.least(target, F.col("__cap"))).select("source", "n_docs", "source_size", "weight", "target")
+    return ranked.withColumn("target", F.least(target, F.col("__cap"))).select("source", "rank", "n_docs", "source_size", "weight", "target")
 
 
 def linear_schedule(start: Column, end: Column) -> Column:
@@ -88,27 +95,34 @@ def invert_demand(segments: Column, share: Column) -> Column:
 def mix(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), seed: int = 17, max_reads: int = MAX_READS, tilt: float = 0.5, whole: bool = False) -> DataFrame:
     """One row for each row of `docs` (doc_id, source, text): what the mix reads of it and when.
 
-    Columns: doc_id, source, size, source_size, target, taken, positions (array of times in 0..1,
-    one for each read), first_position (null if it is never read); range-sorted by first_position.
+    Columns: doc_id, source, text_key (a hash of the text), copies (rows equal in these three), size,
+    source_size, target, taken, positions (array of times in 0..1, one for each read), first_position
+    (null if it is never read); range-sorted by first_position.
 
-    Schedules: every other source (by weight rank parity) rises from 1-tilt to 1+tilt times its
+    Schedules: sources of odd rank in the order of their names rise from 1-tilt to 1+tilt times their
     weight, the others fall; the integral stays the weight. With whole=False the last read of a
     source stops where its target is met, so taken words equal the rounded target; with whole=True
     a read is taken entirely if its middle lies before the target, so the error is half a document.
 
     Nulls: a null or blank text has size 0 and is never read; a null source is a source, ordered
-    last; a null doc_id is ordered like a value. Repeated rows count as often as they occur; rows
-    that are equal in id and size are interchangeable. An empty table gives no rows. Other columns
-    are ignored.
+    last; a null doc_id is an id like others. Rows that are equal in id, source and text are ordered
+    as one row of that many times the size and dealt out again, so neither copies nor null ids crowd
+    a bucket; reruns agree, however the table is partitioned. An empty table gives no rows. Other
+    columns are ignored.
     """
-    key = F.xxhash64(F.col("doc_id"), F.lit(seed))
-    narrow = durable(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")))
-    sizes = durable(source_plan(narrow.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("size").alias("source_size")), weights, max_reads))
+    narrow = docs.select("doc_id", "source", F.xxhash64("text").alias("text_key"), n_words(F.col("text")).alias("size"))
+    narrow = durable(narrow.groupBy("doc_id", "source", "text_key", "size").agg(F.count("*").alias("__many")).withColumn("__all", F.col("size") * F.col("__many")))
+    sizes = durable(source_plan(narrow.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("__all").alias("source_size")), weights, max_reads))
     n_sources, most = sizes.agg(F.count("*"), F.coalesce(F.max("n_docs"), F.lit(0))).first()
     rows = beside(narrow, sizes, ["source"], n_sources)
     deal = F.ceil(F.col("n_docs") / BUCKET_ROWS)
-    rows = rows.withColumn("__key", key).withColumn("__bucket", F.floor(fraction(F.col("__key")) * deal))
-    rows = running_total(rows, ["source"], "__bucket", [F.col("__key"), F.col("doc_id"), F.col("size")], "size", "__before", -(-most // BUCKET_ROWS))
+    rows = rows.withColumn("__key", F.xxhash64("doc_id", "text_key", F.lit(seed))).withColumn("__bucket", F.floor(fraction(F.col("__key")) * deal))
+    rows = running_total(rows, ["source"], "__bucket", [F.col("__key"), F.col("doc_id"), F.col("text_key"), F.col("size")], "__all", "__before", -(-most // BUCKET_ROWS))
+    # equal rows follow each other; numbers of many of them are made in blocks, so that no array is long
+    rows = rows.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__many") - 1) / COPIES))))
+    last = F.least(F.col("__many") - F.col("__block") * COPIES, F.lit(COPIES)) - 1
+    rows = rows.withColumn("__nth", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    rows = rows.withColumn("__before", F.col("__before") + F.col("size") * (F.col("__block") * COPIES + F.col("__nth")))
     quota = F.round("target").cast("long")
     begins = F.transform(F.sequence(F.lit(0), F.lit(max_reads - 1)), lambda j: F.col("__before") + j * F.col("source_size"))
     if whole:
@@ -117,29 +131,43 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), seed: int
     else:
         begins = F.filter(begins, lambda c: (c < quota) & (F.col("size") > 0))
         taken = F.aggregate("__begins", F.lit(0).cast("long"), lambda a, c: a + F.least(quota - c, F.col("size")))
-    side = F.when(F.col("weight").cast("long") % 2 == 0, F.lit(-tilt)).otherwise(F.lit(tilt))
+    side = F.when(F.col("rank") % 2 == 1, F.lit(tilt)).otherwise(F.lit(-tilt))
     segments = demand_segments(linear_schedule(F.col("weight") * (1 - side), F.col("weight") * (1 + side)))
     rows = rows.withColumn("__begins", begins).withColumn("taken", taken.cast("long")).withColumn("__segments", segments)
     rows = rows.withColumn("positions", F.transform("__begins", lambda c: invert_demand(F.col("__segments"), c / F.greatest(F.col("target"), F.lit(1e-9)))))
     rows = rows.withColumn("first_position", F.when(F.size("positions") > 0, F.element_at("positions", 1)))
-    placed = rows.select("doc_id", "source", "size", "source_size", "target", "taken", "positions", "first_position")
+    placed = rows.select("doc_id", "source", "text_key", F.col("__many").alias("copies"), "size", "source_size", "target", "taken", "positions", "first_position")
     return placed.repartitionByRange(F.col("first_position").asc_nulls_last(), F.col("doc_id")).sortWithinPartitions(F.col("first_position").asc_nulls_last(), "doc_id")
 
 
 def op1_mix_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(read(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", "first_position")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "first_position", "positions")
 
 
 def mix_texts(docs: DataFrame, **options) -> DataFrame:
     """The documents that the mix reads, each as often as it is read, range-sorted by position.
 
-    Whole reads are taken, so texts stay whole. The plan is matched by doc_id; rows that share an
-    id (nulls are one id) take its reads one row after the other.
+    Whole reads are taken, so texts stay whole. The plan is brought to the texts by doc_id, source
+    and a hash of the text: rows equal in these have equal texts, and each stands for all their
+    reads divided among them, so texts are moved once, by the sort. Nulls, repeated rows and empty
+    tables are as in `mix`; all columns of `docs` are kept.
     """
-    plan = mix(docs, whole=True, **options).groupBy("doc_id").agg(F.collect_list("positions").alias("__reads"))
-    plan = plan.withColumnRenamed("doc_id", "__id")
-    rows = docs.join(plan, docs["doc_id"].eqNullSafe(plan["__id"]))
-    nth = F.row_number().over(Window.partitionBy("__id").orderBy(F.lit(1)))
-    rows = rows.withColumn("__nth", nth).withColumn("__at", F.explode(F.element_at("__reads", F.col("__nth"))))
-    return rows.repartitionByRange("__at", "doc_id").sortWithinPartitions("__at", "doc_id").select(*docs.columns)
+    plan = durable(mix(docs, whole=True, **options).where(F.size("positions") > 0).select("doc_id", "source", "text_key", "copies", "positions"))
+    rows = docs.withColumn("__text_key", F.xxhash64("text"))
+
+    def beside_texts(rows: DataFrame, plan: DataFrame, how: str = "inner") -> DataFrame:
+        side = plan.withColumnsRenamed({"doc_id": "__id", "source": "__source", "text_key": "__key"})
+        side = F.broadcast(side) if plan.count() <= BROADCAST_READS else side
+        on = rows["doc_id"].eqNullSafe(F.col("__id")) & rows["source"].eqNullSafe(F.col("__source")) & (F.col("__text_key") == F.col("__key"))
+        return rows.join(side, on, how)
+
+    some = beside_texts(rows, plan.where("copies = 1"))
+    copied = plan.where("copies > 1")
+    if not copied.isEmpty():
+        keys = copied.select("doc_id", "source", "text_key").distinct()
+        one = beside_texts(rows, keys, "left_semi").dropDuplicates(["doc_id", "source", "__text_key"])
+        some = some.unionByName(beside_texts(one, copied))
+    some = some.withColumn("__reads", F.col("positions"))
+    placed = some.withColumn("__at", F.explode("__reads"))
+    return placed.repartitionByRange("__at", "doc_id").sortWithinPartitions("__at", "doc_id").select(*docs.columns)
