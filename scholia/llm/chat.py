@@ -50,9 +50,18 @@ def format_preferences(turns: DataFrame) -> DataFrame:
     rows are turns like others. An empty table gives no rows. Every result holds whole
     conversations, so a pair's turns have to fit in one row.
     """
-    one = F.struct(F.col("turn"), F.coalesce("role", F.lit("user")).alias("role"), _safe(F.col("text")).alias("text"))
-    side = lambda s: F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == s, one))), lambda t: F.struct(t["role"], t["text"]))
-    pairs = turns.where(F.col("side").isin("chosen", "rejected")).groupBy("pair_id").agg(side("chosen").alias("a"), side("rejected").alias("b"))
+    side = lambda s: _turns(F.col("side") == s)
+    return format_pairs(turns.where(F.col("side").isin("chosen", "rejected")).groupBy("pair_id").agg(side("chosen").alias("a"), side("rejected").alias("b")))
+
+
+def _turns(which: Column) -> Column:
+    """Turns (role, text) of a group's rows, in order."""
+    one = F.struct(F.col("turn"), _safe(F.coalesce("role", F.lit("user"))).alias("role"), _safe(F.col("text")).alias("text"))
+    return F.transform(F.array_sort(F.collect_list(F.when(which, one))), lambda t: F.struct(t["role"], t["text"]))
+
+
+def format_pairs(pairs: DataFrame) -> DataFrame:
+    """(pair_id, a, b), arrays of turns (role, text) of the chosen and the rejected conversation, to what `format_preferences` gives."""
     equal = F.zip_with("a", "b", lambda x, y: F.coalesce(x == y, F.lit(False)))
     first = F.array_position(equal, False).cast("int")
     pairs = pairs.withColumn("n_shared", F.when(first == 0, F.size("a")).otherwise(first - 1))
@@ -68,18 +77,19 @@ def format_preferences(turns: DataFrame) -> DataFrame:
 
 
 def op4_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations 2k and 2k+1 are the chosen and the rejected one of pair k."""
-    table = read(spark, sf_dir, "conversations")
-    side = F.when(F.pmod("conv_id", F.lit(2)) == 0, "chosen").otherwise("rejected")
-    return format_preferences(table.select(F.floor(F.col("conv_id") / 2).alias("pair_id"), side.alias("side"), "turn", "role", "text"))
+    """Each conversation is the chosen one of a pair; the rejected one has the same turns, but the words of the last one in reverse order."""
+    pairs = read(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("pair_id")).agg(_turns(F.lit(True)).alias("a"))
+    last = F.element_at("a", -1)
+    other = F.struct(last["role"].alias("role"), F.array_join(F.reverse(F.split(last["text"], " ")), " ").alias("text"))
+    return format_pairs(pairs.withColumn("b", F.concat(F.slice("a", 1, F.size("a") - 1), F.array(other))))
 
 
 _TURNS = """
-    SELECT pair_id, side, turn, role, text, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS shown,
-           row_number() OVER (PARTITION BY pair_id, side ORDER BY turn NULLS FIRST, role, text) AS nth
-    FROM (SELECT CAST(floor(conv_id / 2.0) AS BIGINT) AS pair_id, CASE WHEN conv_id % 2 = 0 THEN 'a' ELSE 'b' END AS side, turn,
-                 coalesce(role, 'user') AS role, replace(coalesce(text, ''), '<|', '< |') AS text
-          FROM conversations)
+    SELECT *, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS shown
+    FROM (SELECT pair_id, side, role, nth, CASE WHEN side = 'b' AND nth = n THEN array_to_string(list_reverse(string_split(text, ' ')), ' ') ELSE text END AS text
+          FROM (SELECT conv_id AS pair_id, replace(coalesce(role, 'user'), '<|', '< |') AS role, replace(coalesce(text, ''), '<|', '< |') AS text,
+                       row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS nth, count(*) OVER (PARTITION BY conv_id) AS n
+                FROM conversations), (SELECT unnest(['a', 'b']) AS side))
 """
 OP4_SQL = f"""
 WITH t AS ({_TURNS}),
