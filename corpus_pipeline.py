@@ -22,12 +22,19 @@ def _without(docs: DataFrame, out: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and aren't outliers of their language and source."""
+    """Documents that pass the base rules and aren't outliers of their language and source.
+
+    A null or blank text goes; repeated rows have one verdict; an empty table stays empty.
+    """
     return _without(docs, quality.judge(docs).where("not kept"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the least doc_id, null last; of equal rows one."""
+    """One document of each group of near-duplicates: the least doc_id, null last; of equal rows one.
+
+    Near are texts within 4 bits by their four-word shingles, as in op7 (README: how many pairs at a
+    five-word Jaccard of 0.8 that finds). Null and blank texts are one group.
+    """
     groups = durable(simhash.near_duplicates(docs))
     first = groups.groupBy(F.col("component").alias("__c")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first"), F.count("*").alias("n"))
     rows = groups.join(first.where("n > 1"), F.col("component") == F.col("__c"))
@@ -39,19 +46,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with surrogates for personal data; n_chars follows."""
+    """Texts with surrogates for personal data; n_chars follows. Null texts stay null, repeated rows stay."""
     new = pii.replace(docs)
     length = F.when(F.col("n_entities") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return new.withColumn("n_chars", length).select(*docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the curriculum reads them, in its order."""
+    """Documents as often as the curriculum reads them, in its order; null and blank texts are never read."""
     return mixing.mix_texts(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents with their sequence and offset."""
+    """Pieces of the documents with their sequence and offset; a null text is the end id alone."""
     return packing.pack_documents(docs)
 
 
