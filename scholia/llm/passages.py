@@ -6,13 +6,14 @@ MinHashed into bands; paragraphs that share a band are verified by exact Jaccard
 Equal passages are found wherever they begin and end: every window of LEAST_WORDS words that occurs
 twice is in a unit that matches, so a repeated stretch is covered from its first word to its last.
 The windows of a text are dealt into groups by their anchor, the least hash of ANCHOR_WORDS words in
-each, so equal windows have equal anchors. A group (about six windows) whose anchor has no other
-group is one unit; windows are units of their own where one anchor has different groups, as at the
-edges of a stretch. Of each component of matching units the first occurrence is kept and the
-others are removed.
-
-Texts are read three times. The first reading only counts hashes of anchors and bands; the next two
-write what these counts leave: candidate paragraphs with their shingles, and units with their places.
+each, so equal windows have equal anchors. A group (about eight windows) that repeats as a whole is
+one unit. Where one anchor has different groups, as at the edges of a stretch, their windows are
+units too, but only those of each different group's first occurrence: its others go as a whole. Of
+each component of matching units the first occurrence is kept and the others are removed.
+
+Texts are read four times. The first reading only counts hashes of anchors and bands; the others
+write what these counts leave: candidate paragraphs with their shingles, groups with their places,
+and the windows of some of them.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ from .util import durable, read
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 LEAST_WORDS = 20
-#: Words whose hash can be the anchor of a window.
-ANCHOR_WORDS = 10
+#: Words whose hash can be the anchor of a window; fewer make larger groups, which changes no result.
+ANCHOR_WORDS = 6
 #: Most bits of a set of keys that is sent to the workers, as a power of two. A fuller set lets more
 #: rows through to the exact join, it never holds one back.
 FILTER_BITS = 27
@@ -123,16 +124,6 @@ class Words:
         count = np.diff(np.append(first, len(window)))
         return anchor[first], window[first], window[first] + count
 
-    def units(self, whole: np.ndarray, mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First and end words of the groups whose anchor may be in the filter `whole`, and of the windows whose anchor may be in `mixed`."""
-        anchor, first, end = self.groups()
-        mark = self.marks(anchor, anchor + ANCHOR_WORDS, 0)
-        own, split = maybe_in(whole, mark), maybe_in(mixed, mark)
-        count = (end - first)[split]
-        offsets = np.cumsum(count) - count
-        at = np.repeat(first[split] - offsets, count) + np.arange(count.sum())
-        return np.concatenate([first[own], at]), np.concatenate([end[own] + LEAST_WORDS - 1, at + LEAST_WORDS])
-
     def keys(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
         return _ranges(self.hashes, first, end, _Q, _Q_BACK).view(np.int64) if len(first) else np.zeros(0, np.int64)
 
@@ -264,23 +255,63 @@ def candidate_lines(docs: DataFrame, bands) -> DataFrame:
     return one.select("key", "cells", F.array_distinct("shingles").alias("shingles"))
 
 
+PLACES = "key long, check long, kind int, doc_id long, text_key long, at long"
+#: Kinds of units: groups whose anchor has no other group, groups of other anchors, near lines, windows.
+WHOLE, MIXED, LINE, WINDOW = range(4)
+
+
+def _rows(batch: pa.RecordBatch, row: int, words: Words, units: list[tuple[np.ndarray, np.ndarray, int]]) -> list[pa.Array]:
+    """Units (first words, end words, kind) with their hashes and places; `at` is start and length, 32 bits each."""
+    first, end = (np.concatenate([u[k] for u in units]) for k in (0, 1))
+    kind = np.concatenate([np.full(len(u[0]), u[2], np.int32) for u in units])
+    text, start, stop = words.places(first, end) if len(first) else (first, first, end)
+    owner = pa.array(text.astype(np.int64) + row)
+    check = np.where(kind == LINE, 0, words.checks(first, end))
+    at = (start.astype(np.int64) << 32) | (stop - start).astype(np.int64)
+    return [pa.array(words.keys(first, end)), pa.array(check), pa.array(kind), batch["doc_id"].take(owner), batch["text_key"].take(owner), pa.array(at)]
+
+
 def units(docs: DataFrame, whole, mixed, near) -> DataFrame:
-    """Places of the units that may repeat: key, check, line (whether it is a near line), doc_id, text_key, start, stop."""
+    """Groups that may repeat, and near lines: key, check, kind, doc_id, text_key, at."""
 
     def work(batch: pa.RecordBatch, row: int, words: Words) -> list[pa.Array]:
-        (a, b), (first, end) = words.lines(), words.units(whole.value, mixed.value)
-        key, line = words.keys(first, end), words.keys(a, b)
-        own = maybe_in(near.value, line)
-        every, stop = np.concatenate([first, a[own]]), np.concatenate([end, b[own]])
-        text, start, stop = words.places(every, stop) if len(every) else (every, every, stop)
-        owner = pa.array(text.astype(np.int64) + row)
-        check = np.concatenate([words.checks(first, end), np.zeros(own.sum(), np.int64)])
-        return [
-            pa.array(np.concatenate([key, line[own]])), pa.array(check), pa.array(np.arange(len(every)) >= len(first)),
-            batch["doc_id"].take(owner), batch["text_key"].take(owner), pa.array(start.astype(np.int64)), pa.array(stop.astype(np.int64)),
-        ]
+        (a, b), (anchor, first, end) = words.lines(), words.groups()
+        mark = words.marks(anchor, anchor + ANCHOR_WORDS, 0)
+        line, one, some = maybe_in(near.value, words.keys(a, b)), maybe_in(whole.value, mark), maybe_in(mixed.value, mark)
+        one &= ~some
+        end = end + LEAST_WORDS - 1
+        return _rows(batch, row, words, [(first[one], end[one], WHOLE), (first[some], end[some], MIXED), (a[line], b[line], LINE)])
+
+    return _scan(docs, PLACES, work)
+
+
+#: A number of a place (d being the doc_id, 0 if null) for filters, in SQL and in Python.
+PLACE_SQL = "text_key ^ shiftleft(at, 20) ^ shiftrightunsigned(at, 13) ^ shiftleft(d, 7) ^ shiftleft(d, 41)"
+
 
-    return _scan(docs, "key long, check long, line boolean, doc_id long, text_key long, start long, stop long", work)
+def _place_number(d: np.ndarray, text_key: np.ndarray, at: np.ndarray) -> np.ndarray:
+    n = np.uint64
+    return (text_key ^ (at << n(20)) ^ (at >> n(13)) ^ (d << n(7)) ^ (d << n(41))).view(np.int64)
+
+
+def windows(docs: DataFrame, mixed, firsts) -> DataFrame:
+    """Windows of the groups of mixed anchors whose place may be in the filter `firsts`."""
+
+    def work(batch: pa.RecordBatch, row: int, words: Words) -> list[pa.Array]:
+        anchor, first, end = words.groups()
+        some = maybe_in(mixed.value, words.marks(anchor, anchor + ANCHOR_WORDS, 0))
+        first, end = first[some], end[some]
+        if len(first):
+            _, __, ___, doc, text, at = _rows(batch, row, words, [(first, end + LEAST_WORDS - 1, MIXED)])
+            doc, text, at = (x.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64) for x in (doc, text, at))
+            own = maybe_in(firsts.value, _place_number(doc, text, at))
+            first, end = first[own], end[own]
+        count = end - first
+        offsets = np.cumsum(count) - count
+        at = np.repeat(first - offsets, count) + np.arange(count.sum())
+        return _rows(batch, row, words, [(at, at + LEAST_WORDS, WINDOW)])
+
+    return _scan(docs, PLACES, work)
 
 
 def jaccard_at_least(a: Column, b: Column, threshold: float = THRESHOLD) -> Column:
@@ -301,58 +332,74 @@ def near_paragraphs(docs: DataFrame, bands) -> DataFrame:
     return components(cell_links(members, verified)).withColumnRenamed("node", "key")
 
 
+def _firsts(rows: DataFrame) -> DataFrame:
+    """component, check, n, kind and the first place of each unit."""
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "at")
+    return rows.groupBy("component", "check").agg(F.count("*").alias("n"), F.max("kind").alias("kind"), F.min(place).alias("first"))
+
+
 def _with_firsts(rows: DataFrame, firsts: DataFrame) -> DataFrame:
     """Rows of the units in `firsts`. Few units are broadcast; of many, those of very many rows are, and the others are shuffled."""
-    side = firsts.withColumnsRenamed({"component": "__c", "check": "__k", "line": "__l"})
-    on = (F.col("component") == F.col("__c")) & (F.col("check") == F.col("__k")) & (F.col("line") == F.col("__l"))
+    side = firsts.select(F.col("component").alias("__c"), F.col("check").alias("__k"), "n", "first")
+    on = (F.col("component") == F.col("__c")) & (F.col("check") == F.col("__k"))
+    out = ["doc_id", "text_key", "at", "component", "first"]
     if firsts.count() <= BROADCAST_UNITS:
-        return rows.join(F.broadcast(side), on)
+        return rows.join(F.broadcast(side), on).select(*out)
     hot, cold = side.where(F.col("n") >= HOT_UNIT), side.where(F.col("n") < HOT_UNIT)
     if hot.count() > BROADCAST_UNITS:
-        return rows.join(side, on)
-    return rows.join(F.broadcast(hot), on).unionByName(rows.join(F.broadcast(hot), on, "left_anti").join(cold, on))
+        return rows.join(side, on).select(*out)
+    known = rows.join(F.broadcast(hot), on, "left")
+    # one reading of the rows for both kinds: those of no hot unit go on to the shuffle
+    return known.where("first is not null").select(*out).unionByName(known.where("first is null").drop("first", "n", "__c", "__k").join(cold, on).select(*out))
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """Occurrences of repeated units: doc_id, text_key, n_rows, start, stop (code points, end exclusive), component, removed, kept_in.
+    """Occurrences of repeated units: doc_id, text_key, copy, n_rows, start, stop (code points, end exclusive), component, removed, kept_in.
 
     Rows of equal doc_id and text are told apart as the first of them (n_rows 1) and all others
-    (n_rows their number), of which everything repeated is removed. kept_in is the doc_id of the
+    (copy true, n_rows their number), of which everything repeated is removed. kept_in is the doc_id of the
     component's first occurrence, in order of doc_id, text_key (a hash of the text) and start. An
     occurrence that overlaps the first one of its own text starts where that one stops.
 
     Nulls: a null text has no units; a null doc_id goes last and is kept null. Other columns are
     ignored; an empty table gives no rows.
     """
+    send = docs.sparkSession.sparkContext.broadcast
     whole, mixed, bands = repeated_marks(docs)
     near = durable(near_paragraphs(docs, bands))
     n_near = near.count()
-    found = durable(units(docs, whole, mixed, docs.sparkSession.sparkContext.broadcast(key_filter(near, n_near))))
+    found = durable(units(docs, whole, mixed, send(key_filter(near, n_near))))
     lines = near.select(F.col("key").alias("__key"), "component")
-    lines = found.where("line").join(F.broadcast(lines) if n_near <= BROADCAST_UNITS else lines, F.col("key") == F.col("__key")).drop("key", "__key")
-    rows = lines.unionByName(found.where("not line").withColumnRenamed("key", "component"))
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "start", "stop")
-    firsts = rows.groupBy("component", "check", "line").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
-    rows = _with_firsts(rows, durable(firsts))
-    # equal rows of the table have equal units
-    same = ["doc_id", "text_key", "start", "stop", "component", "first"]
-    rows = rows.groupBy(*same).agg(F.count("*").alias("__many"))
+    lines = found.where(F.col("kind") == LINE).join(F.broadcast(lines) if n_near <= BROADCAST_UNITS else lines, F.col("key") == F.col("__key")).drop("key", "__key")
+    rows = lines.unionByName(found.where(F.col("kind") != LINE).withColumnRenamed("key", "component"))
+    firsts = durable(_firsts(rows).where((F.col("n") > 1) | (F.col("kind") == MIXED)))
+    one = firsts.where(F.col("kind") == MIXED).select(F.coalesce("first.doc_id", F.lit(0)).alias("d"), "first.text_key", "first.at")
+    xor = one.select(F.expr(PLACE_SQL).alias("key"))
+    parts = durable(windows(docs, mixed, send(key_filter(xor, firsts.count()))).withColumnRenamed("key", "component"))
+    parts = _with_firsts(parts, durable(_firsts(parts).where("n > 1")))
+    rows = _with_firsts(rows, firsts.where("n > 1")).withColumn("part", F.lit(False)).unionByName(parts.withColumn("part", F.lit(True)))
+    # equal rows of the table have equal units; a group of one window is a window too
+    many = F.greatest(F.count_if("part"), F.count_if(~F.col("part")))
+    rows = rows.groupBy("doc_id", "text_key", "at", "component", "first").agg(many.alias("__many"))
     others = F.struct((F.col("__many") - 1).alias("n_rows"), F.lit(True).alias("other"))
-    one = F.struct(F.lit(1).cast("long").alias("n_rows"), F.lit(False).alias("other"))
-    rows = rows.withColumn("__rows", F.explode(F.when(F.col("__many") > 1, F.array(one, others)).otherwise(F.array(one))))
+    once = F.struct(F.lit(1).cast("long").alias("n_rows"), F.lit(False).alias("other"))
+    rows = rows.withColumn("__rows", F.explode(F.when(F.col("__many") > 1, F.array(once, others)).otherwise(F.array(once))))
+    low = lambda c: F.shiftrightunsigned(c, 32)
+    high = lambda c: F.shiftrightunsigned(c, 32) + c.bitwiseAND(F.lit((1 << 32) - 1))
+    rows = rows.withColumns({"start": low(F.col("at")), "stop": high(F.col("at")), "__start": low(F.col("first.at")), "__stop": high(F.col("first.at"))})
     own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key")) & ~F.col("__rows.other")
-    removed = ~(own & (F.col("start") == F.col("first.start")))
-    meets = own & (F.col("start") > F.col("first.start")) & (F.col("start") < F.col("first.stop")) & (F.col("stop") > F.col("first.stop"))
-    start = F.when(meets, F.col("first.stop")).otherwise(F.col("start"))
-    return rows.select("doc_id", "text_key", "__rows.n_rows", start.alias("start"), "stop", "component", removed.alias("removed"), F.col("first.doc_id").alias("kept_in"))
+    removed = ~(own & (F.col("start") == F.col("__start")))
+    meets = own & (F.col("start") > F.col("__start")) & (F.col("start") < F.col("__stop")) & (F.col("stop") > F.col("__stop"))
+    start = F.when(meets, F.col("__stop")).otherwise(F.col("start"))
+    return rows.select("doc_id", "text_key", F.col("__rows.other").alias("copy"), "__rows.n_rows", start.alias("start"), "stop", "component", removed.alias("removed"), F.col("first.doc_id").alias("kept_in"))
 
 
 def removals(rows: DataFrame) -> DataFrame:
-    """Occurrences to one row for each of doc_id, text_key and n_rows: n_units, n_removed, spans without overlaps, kept_in.
+    """Occurrences to one row for each of doc_id, text_key and copy: n_rows, n_units, n_removed, spans without overlaps, kept_in.
 
     Spans are merged along the sorted occurrences of a text, whose number its length bounds.
     """
-    keys = ["doc_id", "text_key", "n_rows"]
+    keys = ["doc_id", "text_key", "copy", "n_rows"]
     order = Window.partitionBy(*keys).orderBy("start", "stop", "component")
     reach = F.max(F.when(F.col("removed"), F.col("stop"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
     begins = F.when(F.col("removed"), (F.coalesce(reach, F.lit(-1)) < F.col("start")).cast("int")).otherwise(0)
@@ -372,4 +419,4 @@ def op6_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each document with a repeated unit: its spans to remove and the documents that keep them."""
     found = removals(repeats(read(spark, sf_dir, "documents")))
     text = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"], s["stop"])), ",")
-    return found.select("doc_id", "n_rows", "n_units", "n_removed", text.alias("removed_spans"), "kept_in")
+    return found.select("doc_id", "copy", "n_rows", "n_units", "n_removed", text.alias("removed_spans"), "kept_in")

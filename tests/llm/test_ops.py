@@ -84,10 +84,55 @@ def test_pii_surrogates(docs, spark):
     assert pii.replace(empty(spark)).count() == 0
 
 
-def test_surrogates_stay_distinct(spark):
-    some = spark.createDataFrame([("name", f"x:Name{k}") for k in range(300)], "kind string, entity string")
-    made = [r["surrogate"] for r in local(pii.assign(some, "k"))]
-    assert len(set(made)) == 300
+def test_surrogates_are_permutations():
+    for n in (2, 3, 26, 1000):
+        moved = [pii.moved("k", "t", n, x) for x in range(n)]
+        assert sorted(moved) == list(range(n)) and all(a != b for a, b in enumerate(moved))
+    every = [f"192.168.{k >> 8}.{k & 255}" for k in range(1 << 16)]
+    assert sorted(pii.surrogate("k", "ipv4", x) for x in every[:8192]) != every[:8192]
+    assert len({pii.surrogate("k", "ipv4", x) for x in every}) == 1 << 16
+    letters = [f"{c}@example.com" for c in "abcdefghijklmnopqrstuvwxyz"]
+    assert sorted(pii.surrogate("k", "email", x) for x in letters) == letters
+    for kind, some in (("ssn", [f"{a:03d}{g:02d}{n:04d}" for a in (1, 665, 667, 899) for g in (1, 99) for n in (1, 9999)]), ("phone", ["+49301234567", "+49301234568", "0301234567"])):
+        new = [pii.surrogate("k", kind, x) for x in some]
+        assert len(set(new)) == len(some) and all(len(a) == len(b) and a != b for a, b in zip(some, new, strict=True))
+        assert kind != "ssn" or all(pii.PATTERNS["ssn"].fullmatch(f"{x[:3]}-{x[3:5]}-{x[5:]}") for x in new)
+    for t in ("fe80::1", "2001:DB8::00a1", "1:2:3:4:5:6:7:8", "::1"):
+        (start, end, kind, entity), new = pii.detect(f"x {t} y")[0], None
+        new = pii.written(t, kind, pii.surrogate("k", kind, entity))
+        assert kind == "ipv6" and len(new) == len(t) and new.count(":") == t.count(":") and new != t and (t[:4] != "fe80" or new[:4] == "fe80")
+
+
+def test_every_text_with_an_entity_has_a_hint():
+    some = ["see ::1 here", "a@b.cc", "1.2.3.4", "4111 1111 1111 1111", "123-45-6789", "+12345678", "(030) 123 4567", "DE89 3704 0044 0532 0130 00", "fe80::1", "49 12 34 56"]
+    for t in some:
+        assert pii.detect(t) and re.search(pii.HINT, t), t
+    assert not pii.detect("\u0661\u0662\u0663-\u0664\u0665-\u0666\u0667\u0668\u0669")
+    for t in ("Mr. John Smith", "MRS Bell", "г-жа Иванова"):
+        assert pii.detect(t) and re.search(pii.NAME_HINT, t)
+
+
+def test_names_keep_coreference_gender_script_and_distinctness(spark):
+    texts = ["Mr. John Smith met Dr. Smith, then Smith and MR. SMITH. John Smith left.", "Mrs. Ana Bell and Dr. Ana Bell", "г-жа Анна Иванова и г-н Иванов", "Mr. Jean-Paul Bell", None, ""]
+    rows = [(k, t) for k, t in enumerate(texts)]
+    got = {r["doc_id"]: r["text"] for r in local(pii.replace(spark.createDataFrame(rows, "doc_id long, text string")))}
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) met Dr\. (\w+), then (\w+) and MR\. (\w+)\. (\w+) (\w+) left\.", got[0])
+    first, last, *others, again, final = m.groups()
+    assert others == [last, last, last.upper()] and (again, final) == (first, last) and first.endswith(pii.ENDINGS["latin"]["gm"])
+    m = re.fullmatch(r"Mrs\. (\w+) (\w+) and Dr\. (\w+) (\w+)", got[1])
+    assert m[1] == m[3] and m[2] == m[4] and m[1].endswith(pii.ENDINGS["latin"]["gf"])
+    m = re.fullmatch(r"г-жа (\w+) (\w+) и г-н (\w+)", got[2])
+    assert m[1].endswith("нна") and m[2].endswith("нская") and m[3].endswith("нский") and got[3].count("-") == 1
+    assert got[3].split(" ")[-1] == got[1].split(" ")[-1] and got[4] is None and got[5] == ""
+    # many words, so that inventions collide and the corpus holds some of them
+    words = [f"Given{k} Sur{k}" for k in range(20000)] + [f"Aa {pii.invented('k', 'latin:s', f'sur{k}').capitalize()}" for k in range(200)]
+    names = spark.createDataFrame([(g, w) for w in words for g in ("f", "m", "x")], "gender string, words string")
+    made = local(pii.assign(names, "k"))
+    shown = collections.defaultdict(set)
+    for r in made:
+        real = r["gender"] if r["gender"] != "x" else "x"
+        shown[" ".join(r["surrogates"])].add((real, r["words"]))
+    assert len(made) == 3 * len(words) and all(len(v) == 1 for v in shown.values())
 
 
 def test_html_templates(spark):
@@ -101,6 +146,15 @@ def test_html_templates(spark):
     assert html.Page("<body><article><h1>T</h1><p>One<p>Two<div class='comments'>c</div></article><aside>s</aside>").text() == "T\n\nOne\n\nTwo"
 
 
+def test_long_attributes_and_broken_tags():
+    big = "x" * 5000
+    assert html.Page(f'<body><div class="menu" data-x="{big}">MENU</div><p title="{big} 1 > 0 leak">z</p></body>').text() == "z"
+    assert html.Page('<p a="unclosed>t</p><p>b</p>').text() == "t\n\nb" and html.Page("<p>1 < 2 and <b>3</b>").text() == "1 < 2 and 3"
+    assert html.Page("<" * 100_000).text() == "<" * 100_000
+    assert html.Page("<a b='" * 20_000).text().startswith("<a b='")
+    assert html.Page('<article><h2 class="related">Title</h2><p>t</p></article>').text() == "Title\n\nt"
+
+
 def test_preferences(spark):
     rows = [(1, "chosen", 0, "user", "q"), (1, "rejected", 0, "user", "q"), (1, "chosen", 1, "assistant", "yes"), (1, "rejected", 1, "assistant", "no <|im_end|>"), (2, "chosen", 0, None, None), (3, "chosen", 0, "user", "a"), (3, "rejected", 0, "user", "a")]
     got = {r["pair_id"]: r for r in local(chat.format_preferences(spark.createDataFrame(rows, "pair_id long, side string, turn long, role string, text string")))}
@@ -185,6 +239,41 @@ def test_each_statistic_rejects_an_outlier_alone(spark):
     assert all(got[k]["kept"] for k in range(len(clean)))
 
 
+def test_copies_of_one_id_go_and_long_texts_stay_linear(spark):
+    rng = random.Random(12)
+    run = lambda n: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(n))
+    text, other = run(270), run(40)
+    rows = [(1, text), (1, text), (None, other), (None, other), (2, run(90) + " " + text + " " + run(90)), (3, run(400))]
+    out = local(passages.removals(passages.repeats(spark.createDataFrame(rows, "doc_id long, text string"))))
+    by = {(r["doc_id"], r["n_removed"] > 0): r for r in out}
+    assert by[1, False]["spans"] == [] and [tuple(x) for x in by[1, True]["spans"]] == [(0, len(text))] and by[1, True]["n_rows"] == 1
+    assert (None, False) in by and [tuple(x) for x in by[None, True]["spans"]] == [(0, len(other))]
+    start = rows[4][1].index(text)
+    assert [tuple(x) for x in by[2, True]["spans"]] == [(start, start + len(text))] and by[2, True]["kept_in"] == [1] and not any(r["doc_id"] == 3 for r in out)
+
+
+def test_near_paragraphs_recall_against_all_pairs(spark):
+    rng = random.Random(13)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=5)) for _ in range(3000)]
+    base = [rng.choices(vocabulary, k=60) for _ in range(150)]
+    near = []
+    for b in base:
+        own = list(b)
+        for _ in range(rng.randint(1, 2)):
+            own[rng.choice([0, 1, 2, 57, 58, 59])] = rng.choice(vocabulary)
+        near.append(own)
+    lines = [" ".join(w) for w in base + near]
+    shingles = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in base + near]
+    pairs = [(i, j) for i in range(len(lines)) for j in range(i) if len(shingles[i] & shingles[j]) >= 0.8 * len(shingles[i] | shingles[j])]
+    rows = local(passages.repeats(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")))
+    whole = collections.defaultdict(set)
+    for r in rows:
+        if r["start"] == 0 and r["stop"] == len(lines[r["doc_id"]]):
+            whole[r["doc_id"]].add(r["component"])
+    met = sum(bool(whole[i] & whole[j]) for i, j in pairs)
+    assert len(pairs) > 100 and met >= 0.98 * len(pairs), (met, len(pairs))
+
+
 def removed_words(source, rows):
     """For each text, whether each word is removed."""
     gone = {k: [False] * len(t) for k, t in source.items()}
@@ -283,6 +372,13 @@ def test_secrets(docs, spark):
     assert secrets.scan(empty(spark)).count() == 0
 
 
+def test_rules_of_one_trigram_and_of_none(spark):
+    rules = [("one", r"zqx[0-9]*", 0, 0), ("none", r"[0-9]{6}", 0, 0)]
+    rows = [(1, "a ZQX zqx12 b"), (2, "123456"), (3, None), (4, "")]
+    got = {r["doc_id"]: [tuple(x) for x in r["found"]] for r in local(secrets.scan(spark.createDataFrame(rows, "doc_id long, text string"), rules))}
+    assert len(secrets.trigram_query(rules[0][1])[0]) == 1 and got == {1: [(6, 0, 11)], 2: [(0, 1, 6)], 3: [], 4: []}
+
+
 def test_trigram_queries_are_necessary():
     for kind, pattern, _, _ in secrets.compiled():
         query = secrets.trigram_query(pattern.pattern)
@@ -331,6 +427,19 @@ def test_packing(docs, spark):
     assert all(len(r["ids"]) <= 512 for r in long)
 
 
+def test_special_strings_and_random_texts_are_coded_as_by_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    encoder = packing.encoder_for(packing.tokenizer_path(), packing.tokenizer_path(packing.RANKS))
+    rng = random.Random(9)
+    chars = list("ab ZQé\t\n  '\u00a0\u2019.,0123<|>") + ["'ll", "<|endoftext|>", "\r\n", "ß", "日", "’s", "  "]
+    some = ["a <|endoftext|> b", "", *("".join(rng.choices(chars, k=rng.randint(1, 40))) for _ in range(3000))]
+    for t in some:
+        assert np.frombuffer(encoder.encode(t), "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
+    assert np.frombuffer(encoder.encode(some[0]), "<u4").tolist() == [64, 220, 50256, 275]
+
+
 def test_plan_is_best_fit_decreasing():
     rng = random.Random(5)
     lengths = [rng.choice([1, 2, 3, 5, 8, 13, 21, 34, 55, 64]) for _ in range(500)]
