@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import corpus, profile, records
+from .plans import corpus, papers, profile, records, runs, texts
 
-MODULES = [profile, corpus, records]
+MODULES = [profile, corpus, records, papers, runs, texts]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# ---- fixed values: what a word, a sentence end and the first person are ----
 ASCII_WORD = r"[A-Za-z]+(?:[-'][A-Za-z]+)?"
 UNICODE_WORD = r"(?U)\b[\w\-]+\b"
 SENTENCE_GAP = r"(?<=[.!?])\s+(?=[A-Z0-9])"
@@ -35,12 +36,30 @@ def first_person(c: Column) -> Column:
 
 def doi(c: Column) -> Column:
     """Lower-case DOI without resolver prefix and closing punctuation; null for blank."""
+    # fixed values: the prefixes and closing marks that are no part of a DOI
     bare = F.regexp_replace(F.lower(F.trim(c)), r"^(?:https?://(?:dx\.)?doi\.org/|doi:\s*)", "")
     return F.nullif(F.regexp_replace(bare, r"[.,;:)\]}>]+$", ""), F.lit(""))
 
 
+# fixed values: letters whose folded form is more than their lower case
+FOLDS = {"ß": "ss", "ς": "σ", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st", "ŉ": "ʼn", "ſ": "s"}
+
+
+def casefold(c: Column) -> Column:
+    """Case folded text: lower case, and 'ss' for 'ß'."""
+    out = F.lower(c)
+    for letter, form in FOLDS.items():
+        out = F.replace(out, F.lit(letter), F.lit(form))
+    return out
+
+
+def let(value: Column, use) -> Column:
+    """`use` of a value that is computed once, however often `use` refers to it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def title_key(c: Column) -> Column:
-    return F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]", "")
+    return F.regexp_replace(casefold(c), r"[^\p{L}\p{N}]", "")
 
 
 def scaled(numerator: Column, denominator: Column, digits: int = 4) -> Column:

@@ -19,13 +19,22 @@ def ngrams(c: Column, n: int = 3) -> Column:
     return F.when(size == 0, F.array().cast("array<string>")).when(size <= n, F.array(c)).otherwise(F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(c, i, F.lit(n))))
 
 
-def overlap(expected: DataFrame, actual: DataFrame, key: str, items: str = "items") -> DataFrame:
-    """key, n_expected, n_actual, common, of multisets given as arrays; keys of either side."""
-    one = lambda df, out: df.select(key, F.explode(items).alias("item")).groupBy(key, "item").agg(F.count("*").alias(out))
-    both = one(expected, "e").join(one(actual, "a"), [key, "item"], "full").na.fill(0, ["e", "a"])
-    sums = both.groupBy(key).agg(F.sum("e").alias("n_expected"), F.sum("a").alias("n_actual"), F.sum(F.least("e", "a")).alias("common"))
-    keys = expected.select(key).unionByName(actual.select(key)).distinct()
-    return keys.join(sums, key, "left").na.fill(0, ["n_expected", "n_actual", "common"])
+def overlaps(rows: DataFrame, key: str, expected: str, actual: str, tail: str | None = None) -> DataFrame:
+    """key, n_expected, n_actual, common of two arrays of a row as multisets; with `tail` also n_tail and common_tail of a third and the second.
+
+    One reading and one explode: items are counted by document before the shuffle, since a row's
+    items are in one partition. Rows of empty arrays have zeros; `key` is unique.
+    """
+    sides = [expected, actual, *([tail] if tail else [])]
+    items = F.concat(*[_sided(c, k) for k, c in enumerate(sides)])
+    counted = rows.select(key, F.explode_outer(items).alias("x")).groupBy(key, "x.item").agg(*[F.count_if(F.col("x.side") == k).alias(f"c{k}") for k in range(len(sides))])
+    out = [F.sum("c0").alias("n_expected"), F.sum("c1").alias("n_actual"), F.sum(F.least("c0", "c1")).alias("common")]
+    out += [F.sum("c2").alias("n_tail"), F.sum(F.least("c2", "c1")).alias("common_tail")] if tail else []
+    return counted.groupBy(key).agg(*out)
+
+
+def _sided(items: str, side: int) -> Column:
+    return F.transform(items, lambda x: F.struct(x.alias("item"), F.lit(side).alias("side")))
 
 
 def f1(common: Column, expected: Column, actual: Column) -> Column:

@@ -79,6 +79,34 @@ def round_robin_sample(df: DataFrame, stratum: str, key: Column, total: int) ->
     return ranked.join(F.broadcast(plan), [stratum, "rank"])  # `total` rows at most
 
 
+def numbered(df: DataFrame, keys: list[str], bucket: str, order: list[str], out: str) -> DataFrame:
+    """Rows numbered from 1 within keys by (bucket, order), where `bucket` grows with the order.
+
+    A key of very many rows is numbered bucket by bucket; only counts of buckets are summed along it.
+    """
+    counts = df.groupBy(*keys, bucket).agg(F.count("*").alias("__n"))
+    earlier = F.sum("__n").over(Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select(*keys, bucket, F.coalesce(earlier, F.lit(0)).alias("__before"))
+    nth = F.row_number().over(Window.partitionBy(*keys, bucket).orderBy(*order))
+    return df.withColumn("__nth", nth).join(counts, [*keys, bucket]).withColumn(out, F.col("__before") + F.col("__nth")).drop("__before", "__nth")
+
+
+def running_number(df: DataFrame, key: str, out: str, parts: int = 64) -> DataFrame:
+    """Rows numbered from 1 in order of a unique key, without a window over all of them.
+
+    Rows are range-partitioned by the key; the number of rows in the earlier partitions (one row for
+    each partition) is added to a row's number in its own.
+    """
+    placed = df.repartitionByRange(parts, key).withColumn("__p", F.spark_partition_id())
+    # the key's bounds name the ranges, so that the counts hold however often the rows are read
+    bounds = placed.groupBy("__p").agg(F.min(key).alias("__low"), F.max(key).alias("__high"), F.count("*").alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__low").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bounds = F.broadcast(bounds.select("__low", "__high", before.alias("__before")))  # `parts` rows at most
+    rows = df.join(bounds, (F.col(key) >= F.col("__low")) & (F.col(key) <= F.col("__high")))
+    nth = F.row_number().over(Window.partitionBy("__low").orderBy(key))
+    return rows.withColumn(out, F.col("__before") + nth).drop("__low", "__high", "__before")
+
+
 def evenly_spaced(n: Column, most: int = 40) -> Column:
     """Up to `most` indices spread over 0..n-1, rounded half to even."""
     count = F.least(n, F.lit(most))

