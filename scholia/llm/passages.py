@@ -39,9 +39,9 @@ FILTER_BITS = 27
 RECALL = 0.998
 #: Characters worked on at once.
 CHUNK = 1 << 20
-#: Rows up to which a table of units (80 bytes each), and of paragraphs with shingles, is broadcast; beyond,
-#: both sides are shuffled, but for units of HOT_UNIT occurrences or more, which are few.
-BROADCAST_UNITS, BROADCAST_LINES = 200_000, 20_000
+#: Rows up to which a table of units (80 bytes each), and of pairs of paragraphs (16 bytes each), is broadcast;
+#: beyond, both sides are shuffled, but for units of HOT_UNIT occurrences or more, which are few.
+BROADCAST_UNITS, BROADCAST_PAIRS = 200_000, 1_000_000
 HOT_UNIT = 1000
 
 _P, _Q = np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xD6E8FEB86659FD93)
@@ -321,14 +321,18 @@ def jaccard_at_least(a: Column, b: Column, threshold: float = THRESHOLD) -> Colu
 
 def near_paragraphs(docs: DataFrame, bands) -> DataFrame:
     """(key, component) of the paragraphs that are near another one, equal ones being one node."""
-    lines = durable(candidate_lines(docs, bands))
-    few = lines.count() <= BROADCAST_LINES
-    side = lambda name, out: (F.broadcast if few else lambda x: x)(lines.select(F.col("key").alias(name), F.col("shingles").alias(out)))
+    lines = durable(candidate_lines(docs, bands)).withColumnRenamed("key", "line")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        return pairs.join(side("u", "a"), "u").join(side("v", "b"), "v").where(jaccard_at_least(F.col("a"), F.col("b"))).select("u", "v")
-
-    members = lines.select(F.explode("cells").alias("cell"), F.col("key").alias("node"))
+        pairs = durable(pairs)
+        few = pairs.count() <= BROADCAST_PAIRS
+        sent = F.broadcast if few else lambda x: x
+        # shingles are shuffled once for each pair, to those of the second line
+        own = lines.join(sent(pairs), F.col("line") == F.col("u")).select("u", "v", F.col("shingles").alias("a"))
+        other = lines.join(sent(pairs.select(F.col("v").alias("__v")).distinct()), F.col("line") == F.col("__v"), "left_semi").select(F.col("line").alias("v"), F.col("shingles").alias("b"))
+        return own.join(other, "v").where(jaccard_at_least(F.col("a"), F.col("b"))).select("u", "v")
+
+    members = lines.select(F.explode("cells").alias("cell"), F.col("line").alias("node"))
     return components(cell_links(members, verified)).withColumnRenamed("node", "key")
 
 
