@@ -16,12 +16,14 @@ GAP_JAVA = r"[\x20\x09-\x0D]+"
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint, so a lost executor costs a reread.
 
-    The folder is the one the cluster names in spark.checkpoint.dir; only where that is
-    unset (tests) is a local one chosen.
+    The folder is the one the cluster names in spark.checkpoint.dir. Only a local session, as in
+    tests, may leave it unset and gets a temporary one.
     """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+        if not named and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="scholia-checkpoint-"))
     return df.checkpoint(eager=True)
 
