@@ -11,9 +11,9 @@ one unit. Where one anchor has different groups, as at the edges of a stretch, t
 units too, but only those of each different group's first occurrence: its others go as a whole. Of
 each component of matching units the first occurrence is kept and the others are removed.
 
-Texts are read four times. The first reading only counts hashes of anchors and bands; the others
-write what these counts leave: candidate paragraphs with their shingles, groups with their places,
-and the windows of some of them.
+Texts are read five times. Two readings only count hashes, of anchors and bands, and of windows; the
+others write what these counts leave: candidate paragraphs with their shingles, groups with their
+places, and the windows of some of them.
 """
 
 from __future__ import annotations
@@ -294,21 +294,37 @@ def _place_number(d: np.ndarray, text_key: np.ndarray, at: np.ndarray) -> np.nda
     return (text_key ^ (at << n(20)) ^ (at >> n(13)) ^ (d << n(7)) ^ (d << n(41))).view(np.int64)
 
 
-def windows(docs: DataFrame, mixed, firsts) -> DataFrame:
-    """Windows of the groups of mixed anchors whose place may be in the filter `firsts`."""
+def _windows_of(batch: pa.RecordBatch, row: int, words: Words, mixed, firsts) -> np.ndarray:
+    """First words of the windows of the groups of mixed anchors whose place may be in the filter `firsts`."""
+    anchor, first, end = words.groups()
+    some = maybe_in(mixed.value, words.marks(anchor, anchor + ANCHOR_WORDS, 0))
+    first, end = first[some], end[some]
+    if len(first):
+        _, __, ___, doc, text, at = _rows(batch, row, words, [(first, end + LEAST_WORDS - 1, MIXED)])
+        doc, text, at = (x.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64) for x in (doc, text, at))
+        own = maybe_in(firsts.value, _place_number(doc, text, at))
+        first, end = first[own], end[own]
+    count = end - first
+    offsets = np.cumsum(count) - count
+    return np.repeat(first - offsets, count) + np.arange(count.sum())
+
+
+def window_keys(docs: DataFrame, mixed, firsts) -> DataFrame:
+    """Keys of those windows, to count them before their places are written."""
 
     def work(batch: pa.RecordBatch, row: int, words: Words) -> list[pa.Array]:
-        anchor, first, end = words.groups()
-        some = maybe_in(mixed.value, words.marks(anchor, anchor + ANCHOR_WORDS, 0))
-        first, end = first[some], end[some]
-        if len(first):
-            _, __, ___, doc, text, at = _rows(batch, row, words, [(first, end + LEAST_WORDS - 1, MIXED)])
-            doc, text, at = (x.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64) for x in (doc, text, at))
-            own = maybe_in(firsts.value, _place_number(doc, text, at))
-            first, end = first[own], end[own]
-        count = end - first
-        offsets = np.cumsum(count) - count
-        at = np.repeat(first - offsets, count) + np.arange(count.sum())
+        at = _windows_of(batch, row, words, mixed, firsts)
+        return [pa.array(words.keys(at, at + LEAST_WORDS))]
+
+    return _scan(docs, "key long", work)
+
+
+def windows(docs: DataFrame, mixed, firsts, repeated) -> DataFrame:
+    """Those windows whose key may be in the filter `repeated`, with their places."""
+
+    def work(batch: pa.RecordBatch, row: int, words: Words) -> list[pa.Array]:
+        at = _windows_of(batch, row, words, mixed, firsts)
+        at = at[maybe_in(repeated.value, words.keys(at, at + LEAST_WORDS))]
         return _rows(batch, row, words, [(at, at + LEAST_WORDS, WINDOW)])
 
     return _scan(docs, PLACES, work)
@@ -336,25 +352,53 @@ def near_paragraphs(docs: DataFrame, bands) -> DataFrame:
     return components(cell_links(members, verified)).withColumnRenamed("node", "key")
 
 
+def _place() -> Column:
+    """Places in order: doc_id, null last, then text_key and start."""
+    return F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "at")
+
+
 def _firsts(rows: DataFrame) -> DataFrame:
     """component, check, n, kind and the first place of each unit."""
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "at")
-    return rows.groupBy("component", "check").agg(F.count("*").alias("n"), F.max("kind").alias("kind"), F.min(place).alias("first"))
+    return rows.groupBy("component", "check").agg(F.count("*").alias("n"), F.max("kind").alias("kind"), F.min(_place()).alias("first"))
+
+
+#: What goes on of units with their first place; the check of near lines is 0.
+FOUND = ["doc_id", "text_key", "at", "component", "first", "check"]
 
 
 def _with_firsts(rows: DataFrame, firsts: DataFrame) -> DataFrame:
     """Rows of the units in `firsts`. Few units are broadcast; of many, those of very many rows are, and the others are shuffled."""
     side = firsts.select(F.col("component").alias("__c"), F.col("check").alias("__k"), "n", "first")
     on = (F.col("component") == F.col("__c")) & (F.col("check") == F.col("__k"))
-    out = ["doc_id", "text_key", "at", "component", "first"]
     if firsts.count() <= BROADCAST_UNITS:
-        return rows.join(F.broadcast(side), on).select(*out)
+        return rows.join(F.broadcast(side), on).select(*FOUND)
     hot, cold = side.where(F.col("n") >= HOT_UNIT), side.where(F.col("n") < HOT_UNIT)
     if hot.count() > BROADCAST_UNITS:
-        return rows.join(side, on).select(*out)
+        return rows.join(side, on).select(*FOUND)
     known = rows.join(F.broadcast(hot), on, "left")
     # one reading of the rows for both kinds: those of no hot unit go on to the shuffle
-    return known.where("first is not null").select(*out).unionByName(known.where("first is null").drop("first", "n", "__c", "__k").join(cold, on).select(*out))
+    return known.where("first is not null").select(*FOUND).unionByName(known.where("first is null").drop("first", "n", "__c", "__k").join(cold, on).select(*FOUND))
+
+
+def _counted_with_firsts(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """Rows of the units of two or more rows, with the first place; `counts` has the number n of each component's rows, where over one.
+
+    Units of few rows are shuffled once, to a window of at most HOT_UNIT rows; those of more are
+    combined before the shuffle and their first places are broadcast.
+    """
+    hot = counts.where(F.col("n") >= HOT_UNIT).select(F.col("component").alias("__c"), F.lit(True).alias("hot"))
+    n_hot = hot.count()
+    if n_hot > BROADCAST_UNITS:
+        return _with_firsts(rows, durable(_firsts(rows).where("n > 1")))
+    unit = Window.partitionBy("component", "check")
+    if n_hot:
+        rows = rows.join(F.broadcast(hot), F.col("component") == F.col("__c"), "left")
+    cold = rows.where("hot is null") if n_hot else rows
+    cold = cold.withColumns({"n": F.count("*").over(unit), "first": F.min(_place()).over(unit)}).where("n > 1").select(*FOUND)
+    if not n_hot:
+        return cold
+    rows = rows.where("hot").drop("hot", "__c")
+    return cold.unionByName(_with_firsts(rows, durable(_firsts(rows).where("n > 1"))))
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -379,23 +423,30 @@ def repeats(docs: DataFrame) -> DataFrame:
     firsts = durable(_firsts(rows).where((F.col("n") > 1) | (F.col("kind") == MIXED)))
     one = firsts.where(F.col("kind") == MIXED).select(F.coalesce("first.doc_id", F.lit(0)).alias("d"), "first.text_key", "first.at")
     xor = one.select(F.expr(PLACE_SQL).alias("key"))
-    parts = durable(windows(docs, mixed, send(key_filter(xor, firsts.count()))).withColumnRenamed("key", "component"))
-    parts = _with_firsts(parts, durable(_firsts(parts).where("n > 1")))
+    heads = send(key_filter(xor, firsts.count()))
+    counts = durable(window_keys(docs, mixed, heads).groupBy(F.col("key").alias("component")).agg(F.count("*").alias("n")).where("n > 1"))
+    twice = send(key_filter(counts.select(F.col("component").alias("key")), counts.count()))
+    parts = durable(windows(docs, mixed, heads, twice).withColumnRenamed("key", "component"))
+    parts = _counted_with_firsts(parts, counts)
     rows = _with_firsts(rows, firsts.where("n > 1")).withColumn("part", F.lit(False)).unionByName(parts.withColumn("part", F.lit(True)))
-    # equal rows of the table have equal units; a group of one window is a window too
-    many = F.greatest(F.count_if("part"), F.count_if(~F.col("part")))
-    rows = rows.groupBy("doc_id", "text_key", "at", "component", "first").agg(many.alias("__many"))
+    # equal rows of the table have equal units; a group of one window is a window too, and may be a line
+    line = F.col("check") == 0
+    many = F.greatest(F.count_if("part"), F.count_if(~F.col("part") & ~F.col("line")), F.count_if("line"))
+    # of the first place go on its document, and where it is if it lies in the text itself
+    own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
+    rows = rows.select("doc_id", "text_key", "at", "component", "part", line.alias("line"), F.col("first.doc_id").alias("kept_in"), F.when(own, F.col("first.at")).alias("first"))
+    rows = rows.groupBy("doc_id", "text_key", "at", "component", "kept_in", "first").agg(many.alias("__many"))
     others = F.struct((F.col("__many") - 1).alias("n_rows"), F.lit(True).alias("other"))
     once = F.struct(F.lit(1).cast("long").alias("n_rows"), F.lit(False).alias("other"))
     rows = rows.withColumn("__rows", F.explode(F.when(F.col("__many") > 1, F.array(once, others)).otherwise(F.array(once))))
     low = lambda c: F.shiftrightunsigned(c, 32)
     high = lambda c: F.shiftrightunsigned(c, 32) + c.bitwiseAND(F.lit((1 << 32) - 1))
-    rows = rows.withColumns({"start": low(F.col("at")), "stop": high(F.col("at")), "__start": low(F.col("first.at")), "__stop": high(F.col("first.at"))})
-    own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key")) & ~F.col("__rows.other")
+    rows = rows.withColumns({"start": low(F.col("at")), "stop": high(F.col("at")), "__start": low(F.col("first")), "__stop": high(F.col("first"))})
+    own = F.col("first").isNotNull() & ~F.col("__rows.other")
     removed = ~(own & (F.col("start") == F.col("__start")))
     meets = own & (F.col("start") > F.col("__start")) & (F.col("start") < F.col("__stop")) & (F.col("stop") > F.col("__stop"))
     start = F.when(meets, F.col("__stop")).otherwise(F.col("start"))
-    return rows.select("doc_id", "text_key", F.col("__rows.other").alias("copy"), "__rows.n_rows", start.alias("start"), "stop", "component", removed.alias("removed"), F.col("first.doc_id").alias("kept_in"))
+    return rows.select("doc_id", "text_key", F.col("__rows.other").alias("copy"), "__rows.n_rows", start.alias("start"), "stop", "component", removed.alias("removed"), "kept_in")
 
 
 def removals(rows: DataFrame) -> DataFrame:
@@ -404,7 +455,7 @@ def removals(rows: DataFrame) -> DataFrame:
     Spans are merged along the sorted occurrences of a text, whose number its length bounds.
     """
     keys = ["doc_id", "text_key", "copy", "n_rows"]
-    order = Window.partitionBy(*keys).orderBy("start", "stop", "component")
+    order = Window.partitionBy(*keys).orderBy("start", "stop")
     reach = F.max(F.when(F.col("removed"), F.col("stop"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
     begins = F.when(F.col("removed"), (F.coalesce(reach, F.lit(-1)) < F.col("start")).cast("int")).otherwise(0)
     rows = rows.withColumn("__begins", begins).withColumn("__span", F.sum("__begins").over(order.rowsBetween(Window.unboundedPreceding, 0)))

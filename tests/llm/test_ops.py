@@ -282,6 +282,14 @@ def removed_words(source, rows):
             gone[r["doc_id"]][r["start"] : r["stop"]] = [True] * (r["stop"] - r["start"])
     return {k: [all(gone[k][m.start() : m.end()]) for m in WORD.finditer(t)] for k, t in source.items()}
 
+def test_units_of_many_rows_go_the_same_way(docs, monkeypatch):
+    """Windows with first places by broadcast, by shuffle and by one window give one result."""
+    plain = sorted(local(passages.repeats(docs)), key=str)
+    monkeypatch.setattr(passages, "HOT_UNIT", 3)
+    assert sorted(local(passages.repeats(docs)), key=str) == plain
+    monkeypatch.setattr(passages, "BROADCAST_UNITS", 0)
+    assert sorted(local(passages.repeats(docs)), key=str) == plain
+
 
 def test_equal_passages_are_found_wherever_they_begin(spark):
     rng = random.Random(11)
