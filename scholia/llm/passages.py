@@ -39,6 +39,7 @@ FILTER_BITS = 27
 RECALL = 0.998
 #: Characters worked on at once.
 CHUNK = 1 << 20
+KEPT_POWERS = CHUNK + (1 << 18)
 #: Rows up to which a table of units (80 bytes each), and of pairs of paragraphs (16 bytes each), is broadcast;
 #: beyond, both sides are shuffled, but for units of HOT_UNIT occurrences or more, which are few.
 BROADCAST_UNITS, BROADCAST_PAIRS = 200_000, 1_000_000
@@ -69,12 +70,24 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
+def _new_powers(base: np.uint64, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[:1] = 1
     return np.cumprod(out, dtype=np.uint64)
 
 
+#: Powers of each base, kept by a worker up to KEPT_POWERS.
+_KEPT: dict[int, np.ndarray] = {}
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    if n > KEPT_POWERS:
+        return _new_powers(base, n)
+    if int(base) not in _KEPT:
+        _KEPT[int(base)] = _new_powers(base, KEPT_POWERS)
+    return _KEPT[int(base)][:n]
+
+
 def _ranges(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np.uint64, back: np.uint64) -> np.ndarray:
     """Hashes of values[start:end], by one running sum for all of them."""
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * _powers(base, len(values)), dtype=np.uint64)])
@@ -82,6 +95,15 @@ def _ranges(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np.u
     return _mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
+def _letters(codes: np.ndarray) -> np.ndarray:
+    """Hashes of code points, A-Z as a-z."""
+    lower = np.where((codes >= 65) & (codes <= 90), codes + 32, codes).astype(np.uint64)
+    return _mix(lower + np.uint64(1))
+
+
+_COMMON = _letters(np.arange(1 << 12, dtype=np.uint32))
+
+
 class Words:
     """The words of some texts, side by side: hashes of lower-cased words, places, lines and sentences."""
 
@@ -90,8 +112,8 @@ class Words:
         space = (codes == 32) | ((codes >= 9) & (codes <= 13))
         edge = np.diff(np.concatenate([[True], space, [True]]).astype(np.int8))
         self.starts, self.ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-        lower = np.where((codes >= 65) & (codes <= 90), codes + 32, codes).astype(np.uint64)
-        self.hashes = _ranges(_mix(lower + np.uint64(1)), self.starts, self.ends, _P, _P_BACK) if len(self.starts) else np.zeros(0, np.uint64)
+        letters = _COMMON[codes] if len(codes) and codes.max() < len(_COMMON) else _letters(codes)
+        self.hashes = _ranges(letters, self.starts, self.ends, _P, _P_BACK) if len(self.starts) else np.zeros(0, np.uint64)
         self.line = np.cumsum(codes == 10)[self.starts] if len(self.starts) else np.zeros(0, np.int64)
         self.begins = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])[:-1]
         self.text = np.searchsorted(self.begins, self.starts, "right") - 1
@@ -193,12 +215,17 @@ def _portions(batch: pa.RecordBatch) -> Iterator[tuple[int, Words]]:
         yield row, Words(texts)
 
 
-def _scan(docs: DataFrame, schema: str, work) -> DataFrame:
-    """Rows of `work(batch, first row, words)`; doc_id and text_key (a hash of the text) are in the batch."""
+def _scan(docs: DataFrame, schema: str, work, only=None) -> DataFrame:
+    """Rows of `work(batch, first row, words)`; doc_id and text_key (a hash of the text) are in the batch.
+
+    Texts whose text_key can't be in the filter `only` have nothing to give and are passed over.
+    """
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if only is not None:
+                batch = batch.filter(pa.array(maybe_in(only.value, batch["text_key"].to_numpy(zero_copy_only=False))))
             for row, words in _portions(batch):
                 yield pa.RecordBatch.from_arrays(work(batch, row, words), names)
 
@@ -309,17 +336,17 @@ def _windows_of(batch: pa.RecordBatch, row: int, words: Words, mixed, firsts) ->
     return np.repeat(first - offsets, count) + np.arange(count.sum())
 
 
-def window_keys(docs: DataFrame, mixed, firsts) -> DataFrame:
-    """Keys of those windows, to count them before their places are written."""
+def window_keys(docs: DataFrame, mixed, firsts, only) -> DataFrame:
+    """Keys of those windows in texts of the filter `only`, to count them before their places are written."""
 
     def work(batch: pa.RecordBatch, row: int, words: Words) -> list[pa.Array]:
         at = _windows_of(batch, row, words, mixed, firsts)
         return [pa.array(words.keys(at, at + LEAST_WORDS))]
 
-    return _scan(docs, "key long", work)
+    return _scan(docs, "key long", work, only)
 
 
-def windows(docs: DataFrame, mixed, firsts, repeated) -> DataFrame:
+def windows(docs: DataFrame, mixed, firsts, repeated, only) -> DataFrame:
     """Those windows whose key may be in the filter `repeated`, with their places."""
 
     def work(batch: pa.RecordBatch, row: int, words: Words) -> list[pa.Array]:
@@ -327,7 +354,7 @@ def windows(docs: DataFrame, mixed, firsts, repeated) -> DataFrame:
         at = at[maybe_in(repeated.value, words.keys(at, at + LEAST_WORDS))]
         return _rows(batch, row, words, [(at, at + LEAST_WORDS, WINDOW)])
 
-    return _scan(docs, PLACES, work)
+    return _scan(docs, PLACES, work, only)
 
 
 def jaccard_at_least(a: Column, b: Column, threshold: float = THRESHOLD) -> Column:
@@ -424,9 +451,11 @@ def repeats(docs: DataFrame) -> DataFrame:
     one = firsts.where(F.col("kind") == MIXED).select(F.coalesce("first.doc_id", F.lit(0)).alias("d"), "first.text_key", "first.at")
     xor = one.select(F.expr(PLACE_SQL).alias("key"))
     heads = send(key_filter(xor, firsts.count()))
-    counts = durable(window_keys(docs, mixed, heads).groupBy(F.col("key").alias("component")).agg(F.count("*").alias("n")).where("n > 1"))
+    owners = one.select(F.col("text_key").alias("key")).distinct()
+    only = send(key_filter(owners, owners.count()))
+    counts = durable(window_keys(docs, mixed, heads, only).groupBy(F.col("key").alias("component")).agg(F.count("*").alias("n")).where("n > 1"))
     twice = send(key_filter(counts.select(F.col("component").alias("key")), counts.count()))
-    parts = durable(windows(docs, mixed, heads, twice).withColumnRenamed("key", "component"))
+    parts = durable(windows(docs, mixed, heads, twice, only).withColumnRenamed("key", "component"))
     parts = _counted_with_firsts(parts, counts)
     rows = _with_firsts(rows, firsts.where("n > 1")).withColumn("part", F.lit(False)).unionByName(parts.withColumn("part", F.lit(True)))
     # equal rows of the table have equal units; a group of one window is a window too, and may be a line
