@@ -44,6 +44,8 @@ KEPT_POWERS = CHUNK + (1 << 18)
 #: beyond, both sides are shuffled, but for units of HOT_UNIT occurrences or more, which are few.
 BROADCAST_UNITS, BROADCAST_PAIRS = 200_000, 1_000_000
 HOT_UNIT = 1000
+#: Pairs of a cell of bands beyond which only lines that share a rare shingle are compared.
+MOST_PAIRS = 1000
 
 _P, _Q = np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xD6E8FEB86659FD93)
 _P_BACK, _Q_BACK = (np.uint64(pow(int(x), -1, 1 << 64)) for x in (_P, _Q))
@@ -259,7 +261,7 @@ def repeated_marks(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def candidate_lines(docs: DataFrame, bands) -> DataFrame:
-    """key, cells and shingles of the different lines that may share a band with another one."""
+    """key, cells and shingles of the different lines that may share a band with another one, and n, how often each occurs."""
 
     def work(_, __, words: Words) -> list[pa.Array]:
         first, end = words.lines()
@@ -268,18 +270,18 @@ def candidate_lines(docs: DataFrame, bands) -> DataFrame:
             met = maybe_in(bands.value, at.ravel()).reshape(at.shape)
             own = met.any(axis=1)
             # of equal lines of a portion one is enough
-            key = words.keys(first, end)
-            own &= np.isin(np.arange(len(key)), np.unique(key, return_index=True)[1])
-            first, end, at, met = first[own], end[own], at[own], met[own]
+            _, one, count = np.unique(words.keys(first, end), return_index=True, return_counts=True)
+            one, count = one[own[one]], count[own[one]]
+            first, end, at, met = first[one], end[one], at[one], met[one]
         if not len(first):
-            return [pa.array([], pa.int64()), pa.array([], pa.list_(pa.int64())), pa.array([], pa.list_(pa.int64()))]
+            return [pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.list_(pa.int64())), pa.array([], pa.list_(pa.int64()))]
         shingles, offsets = words.shingles(first, end)
         cells = _lists(at[met], np.concatenate([[0], np.cumsum(met.sum(axis=1))]))
-        return [pa.array(words.keys(first, end)), cells, _lists(shingles.view(np.int64), offsets)]
+        return [pa.array(words.keys(first, end)), pa.array(count), cells, _lists(shingles.view(np.int64), offsets)]
 
-    rows = _scan(docs, "key long, cells array<long>, shingles array<long>", work)
-    one = rows.groupBy("key").agg(F.first("cells").alias("cells"), F.first("shingles").alias("shingles"))
-    return one.select("key", "cells", F.array_distinct("shingles").alias("shingles"))
+    rows = _scan(docs, "key long, n long, cells array<long>, shingles array<long>", work)
+    one = rows.groupBy("key").agg(F.sum("n").alias("n"), F.first("cells").alias("cells"), F.first("shingles").alias("shingles"))
+    return one.select("key", "n", "cells", F.array_distinct("shingles").alias("shingles"))
 
 
 PLACES = "key long, check long, kind int, doc_id long, text_key long, at long"
@@ -362,6 +364,22 @@ def jaccard_at_least(a: Column, b: Column, threshold: float = THRESHOLD) -> Colu
     return both >= threshold * (F.size(a) + F.size(b) - both)
 
 
+def rare_shingles(lines: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, size, parts, heads): the rarest shingles of these lines, the number of lines that have one being the order.
+
+    Two sets of sizes m <= n at a Jaccard similarity of t share t n members at least, and 2 t / (1 + t) m:
+    so in any common order one of the first m - ceil(2 t / (1 + t) m) + 1 (heads) of the one is among
+    the first n - ceil(t n) + 1 (parts) of the other.
+    """
+    own = lines.join(nodes, F.col("line") == F.col("node"), "left_semi").select(F.col("line").alias("node"), F.explode("shingles").alias("shingle"))
+    counts = own.groupBy(F.col("shingle").alias("__s")).agg(F.count("*").alias("k"))
+    order = F.array_sort(F.collect_list(F.struct("k", "shingle")))
+    ordered = own.join(counts, F.col("shingle") == F.col("__s")).groupBy("node").agg(order.alias("all"))
+    n = F.size("all")
+    first = lambda share: (n - F.ceil(n * share - 1e-9) + 1).cast("int")
+    return ordered.select("node", n.alias("size"), F.slice("all", F.lit(1), first(THRESHOLD))["shingle"].alias("parts"), first(2 * THRESHOLD / (1 + THRESHOLD)).alias("heads"))
+
+
 def near_paragraphs(docs: DataFrame, bands) -> DataFrame:
     """(key, component) of the paragraphs that are near another one, equal ones being one node."""
     lines = durable(candidate_lines(docs, bands)).withColumnRenamed("key", "line")
@@ -375,8 +393,8 @@ def near_paragraphs(docs: DataFrame, bands) -> DataFrame:
         other = lines.join(sent(pairs.select(F.col("v").alias("__v")).distinct()), F.col("line") == F.col("__v"), "left_semi").select(F.col("line").alias("v"), F.col("shingles").alias("b"))
         return own.join(other, "v").where(jaccard_at_least(F.col("a"), F.col("b"))).select("u", "v")
 
-    members = lines.select(F.explode("cells").alias("cell"), F.col("line").alias("node"))
-    return components(cell_links(members, verified)).withColumnRenamed("node", "key")
+    members = lines.select(F.explode("cells").alias("cell"), F.col("line").alias("node"), "n")
+    return components(cell_links(members, verified, parts_of=lambda nodes: rare_shingles(lines, nodes), share=THRESHOLD / (1 + THRESHOLD), most_pairs=MOST_PAIRS)).withColumnRenamed("node", "key")
 
 
 def _place() -> Column:

@@ -473,3 +473,22 @@ def test_pipeline_stages(spark, data):
     assert sorted(r["doc_id"] for r in local(single)) == sorted(comps)
     assert c.run(spark, data).agg(F.count("*")).first()[0] > 0
     assert [k for k, _ in c.STAGES] == ["quality_rules", "near_duplicates", "personal_data", "source_mix", "best_fit_packing"]
+
+
+def test_crowded_bands_give_the_links_of_all_pairs(spark, monkeypatch):
+    """Variants of one line, most of them too far apart: rare shingles and their bounds lose no link."""
+    rng = random.Random(3)
+    base = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(60)]
+    lines = []
+    for k in range(150):
+        own = base[: rng.randint(45, 60)]
+        for at in rng.sample(range(len(own)), rng.choice([0, 1, 1, 2, 3])):
+            own[at] = f"w{k}x{at}"
+        lines.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    _, _, bands = passages.repeated_marks(docs)
+    links = lambda: {(r["key"], r["component"]) for r in passages.near_paragraphs(docs, bands).collect()}
+    monkeypatch.setattr(passages, "MOST_PAIRS", 1 << 40)
+    plain = links()
+    monkeypatch.setattr(passages, "MOST_PAIRS", 0)
+    assert links() == plain and 20 < len(plain)
