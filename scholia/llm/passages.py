@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +47,8 @@ BROADCAST_UNITS, BROADCAST_PAIRS = 200_000, 1_000_000
 HOT_UNIT = 1000
 #: Pairs of a cell of bands beyond which only lines that share a rare shingle are compared.
 MOST_PAIRS = 1000
+#: Counters of shingles, a power of two, that are sent to the workers. Fewer make a worse order, which loses no link.
+COUNTERS = 1 << 20
 
 _P, _Q = np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xD6E8FEB86659FD93)
 _P_BACK, _Q_BACK = (np.uint64(pow(int(x), -1, 1 << 64)) for x in (_P, _Q))
@@ -365,19 +368,32 @@ def jaccard_at_least(a: Column, b: Column, threshold: float = THRESHOLD) -> Colu
 
 
 def rare_shingles(lines: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, size, parts, heads): the rarest shingles of these lines, the number of lines that have one being the order.
+    """(node, size, parts, heads): the rarest shingles of these lines, by counts that shingles of equal last bits share.
 
     Two sets of sizes m <= n at a Jaccard similarity of t share t n members at least, and 2 t / (1 + t) m:
     so in any common order one of the first m - ceil(2 t / (1 + t) m) + 1 (heads) of the one is among
     the first n - ceil(t n) + 1 (parts) of the other.
     """
-    own = lines.join(nodes, F.col("line") == F.col("node"), "left_semi").select(F.col("line").alias("node"), F.explode("shingles").alias("shingle"))
-    counts = own.groupBy(F.col("shingle").alias("__s")).agg(F.count("*").alias("k"))
-    order = F.array_sort(F.collect_list(F.struct("k", "shingle")))
-    ordered = own.join(counts, F.col("shingle") == F.col("__s")).groupBy("node").agg(order.alias("all"))
-    n = F.size("all")
-    first = lambda share: (n - F.ceil(n * share - 1e-9) + 1).cast("int")
-    return ordered.select("node", n.alias("size"), F.slice("all", F.lit(1), first(THRESHOLD))["shingle"].alias("parts"), first(2 * THRESHOLD / (1 + THRESHOLD)).alias("heads"))
+    own = durable(lines.join(nodes, F.col("line") == F.col("node"), "left_semi").select(F.col("line").alias("node"), "shingles"))
+    slot = F.col("shingle").bitwiseAND(F.lit(COUNTERS - 1).cast("long")).alias("slot")
+    found = own.select(F.explode("shingles").alias("shingle")).groupBy(slot).agg(F.count("*").alias("k")).toArrow()
+    counts = np.zeros(COUNTERS, np.int64)
+    counts[found["slot"].to_numpy()] = found["k"].to_numpy()
+    counts = own.sparkSession.sparkContext.broadcast(counts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = pc.list_value_length(batch["shingles"]).to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = batch["shingles"].flatten().to_numpy()
+            row = np.repeat(np.arange(len(n)), n)
+            flat = flat[np.lexsort((flat, counts.value[flat & (COUNTERS - 1)], row))]
+            first = lambda share: n - np.ceil(n * share - 1e-9).astype(np.int64) + 1
+            own, heads = first(THRESHOLD), first(2 * THRESHOLD / (1 + THRESHOLD))
+            parts = flat[np.arange(len(flat)) - (np.cumsum(n) - n)[row] < own[row]]
+            parts = _lists(parts, np.concatenate([[0], np.cumsum(own)]))
+            yield pa.RecordBatch.from_arrays([batch["node"], pa.array(n), parts, pa.array(heads)], ["node", "size", "parts", "heads"])
+
+    return own.mapInArrow(run, "node long, size long, parts array<long>, heads long")
 
 
 def near_paragraphs(docs: DataFrame, bands) -> DataFrame:
