@@ -38,9 +38,10 @@ ANCHOR_WORDS = 6
 #: rows through to the exact join, it never holds one back.
 FILTER_BITS = 27
 RECALL = 0.998
-#: Characters worked on at once.
-CHUNK = 1 << 20
-KEPT_POWERS = CHUNK + (1 << 18)
+#: Characters worked on at once, and rows filtered at once: more take more memory of a worker and no less time.
+CHUNK = 1 << 17
+SLICE_ROWS = 1000
+KEPT_POWERS = CHUNK + (1 << 15)
 #: Rows up to which a table of units (80 bytes each), and of pairs of paragraphs (16 bytes each), is broadcast;
 #: beyond, both sides are shuffled, but for units of HOT_UNIT occurrences or more, which are few.
 BROADCAST_UNITS, BROADCAST_PAIRS = 200_000, 1_000_000
@@ -228,11 +229,13 @@ def _scan(docs: DataFrame, schema: str, work, only=None) -> DataFrame:
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if only is not None:
-                batch = batch.filter(pa.array(maybe_in(only.value, batch["text_key"].to_numpy(zero_copy_only=False))))
-            for row, words in _portions(batch):
-                yield pa.RecordBatch.from_arrays(work(batch, row, words), names)
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(at, SLICE_ROWS)
+                if only is not None:
+                    batch = batch.filter(pa.array(maybe_in(only.value, batch["text_key"].to_numpy(zero_copy_only=False))))
+                for row, words in _portions(batch):
+                    yield pa.RecordBatch.from_arrays(work(batch, row, words), names)
 
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text").mapInArrow(run, schema)
 

@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -461,6 +462,16 @@ def test_plan_is_best_fit_decreasing():
     assert made == len(room) and sum(r[2] for r in runs) == 500
 
 
+def test_texts_are_worked_on_in_little_memory():
+    batch = passages.pa.RecordBatch.from_arrays([passages.pa.array([" ".join(f"w{(k * i) % 997}" for i in range(400)) for k in range(2500)])], ["text"])
+    tracemalloc.start()
+    for _, words in passages._portions(batch):
+        passages.bands_of(words, *words.lines())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 << 20
+
+
 def test_pipeline_stages(spark, data):
     import corpus_pipeline as c
 
