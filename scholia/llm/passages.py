@@ -159,6 +159,15 @@ class Words:
         """A second hash, so that equal units agree in 128 bits."""
         return _ranges(self.hashes, first, end, _P, _P_BACK).view(np.int64) if len(first) else np.zeros(0, np.int64)
 
+    def overlapping(self, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Which of these stretches overlap an equal one that begins before them in their own text."""
+        keys = self.keys(first, end)
+        order = np.argsort(keys, kind="stable")
+        a, b = order[:-1], order[1:]
+        out = np.zeros(len(first), bool)
+        out[b] = (keys[a] == keys[b]) & (self.text[first[a]] == self.text[first[b]]) & (first[b] < end[a])
+        return out
+
     def marks(self, first: np.ndarray, end: np.ndarray, kind: int) -> np.ndarray:
         """Keys whose lowest bit tells anchors (0) from bands (1)."""
         return (self.keys(first, end) & ~np.int64(1)) | np.int64(kind)
@@ -176,21 +185,35 @@ class Words:
         return text, self.starts[first] - self.begins[text], self.ends[end - 1] - self.begins[text]
 
 
-def key_filter(keys: DataFrame, n: int) -> np.ndarray:
-    """Bits of a set of n keys (column key), of bounded size; the keys' lowest bit doesn't count."""
+#: Bits of a key in a filter word are named by these of its own bits and the five above; the word, by its low bits.
+FILTER_SHIFTS = (58, 52, 46)
+
+
+def key_filter(keys: DataFrame, n: int) -> tuple[np.ndarray, tuple[int, ...]]:
+    """Bits of a set of n keys (column key), of bounded size, and the shifts in use; the keys' lowest bit doesn't count.
+
+    A key has up to three bits of one word; fewer where the words are so full that more would let more through.
+    """
     slots = 1 << min((64 * n + (1 << 15)).bit_length(), FILTER_BITS) - 6
+    shifts = FILTER_SHIFTS[: max(1, round(0.69 * 64 * slots / max(n, 1)))]
     slot = F.shiftrightunsigned("key", 1).bitwiseAND(F.lit(slots - 1).cast("long"))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned("key", 58).cast("int"))
+    bit = F.lit(0).cast("long")
+    for s in shifts:
+        bit = bit.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned("key", s).bitwiseAND(F.lit(63)).cast("int")))
     found = keys.select(slot.alias("slot"), bit.alias("bit")).groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow()
     out = np.zeros(slots, np.int64)
     out[found["slot"].to_numpy()] = found["bits"].to_numpy()
-    return out.view(np.uint64)
+    return out.view(np.uint64), shifts
 
 
-def maybe_in(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+def maybe_in(known: tuple[np.ndarray, tuple[int, ...]], keys: np.ndarray) -> np.ndarray:
     """False only for keys that aren't in the set."""
+    bits, shifts = known
     k = keys.view(np.uint64)
-    return (bits[((k >> np.uint64(1)) & np.uint64(len(bits) - 1)).astype(np.int64)] >> (k >> np.uint64(58))) & np.uint64(1) == 1
+    words = bits[((k >> np.uint64(1)) & np.uint64(len(bits) - 1)).astype(np.int64)]
+    for s in shifts:
+        words = words & -((words >> ((k >> np.uint64(s)) & np.uint64(63))) & np.uint64(1))
+    return words != 0
 
 
 _SEEDS = _mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64) * _P)
@@ -256,8 +279,8 @@ def marks(docs: DataFrame) -> DataFrame:
     return _scan(docs, "mark long, of long", work)
 
 
-def repeated_marks(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Filters of the anchors that repeat with one group, of those with different groups, and of the bands of different lines."""
+def repeated_marks(docs: DataFrame) -> tuple:
+    """Broadcast filters of the anchors that repeat with one group, of those with different groups, and of the bands of different lines."""
     counts = marks(docs).groupBy("mark").agg(F.count("*").alias("n"), F.min("of").alias("low"), F.max("of").alias("high"))
     is_band, mixed = F.col("mark").bitwiseAND(F.lit(1).cast("long")) == 1, F.col("low") != F.col("high")
     found = durable(counts.where((F.col("n") > 1) & (mixed | ~is_band)).select(F.col("mark").alias("key"), is_band.alias("band"), mixed.alias("mixed")))
@@ -313,32 +336,54 @@ def units(docs: DataFrame, whole, mixed, near) -> DataFrame:
         (a, b), (anchor, first, end) = words.lines(), words.groups()
         mark = words.marks(anchor, anchor + ANCHOR_WORDS, 0)
         line, one, some = maybe_in(near.value, words.keys(a, b)), maybe_in(whole.value, mark), maybe_in(mixed.value, mark)
-        one &= ~some
         end = end + LEAST_WORDS - 1
+        some |= (one | some) & words.overlapping(first, end)
+        one &= ~some
         return _rows(batch, row, words, [(first[one], end[one], WHOLE), (first[some], end[some], MIXED), (a[line], b[line], LINE)])
 
     return _scan(docs, PLACES, work)
 
 
-#: A number of a place (d being the doc_id, 0 if null) for filters, in SQL and in Python.
-PLACE_SQL = "text_key ^ shiftleft(at, 20) ^ shiftrightunsigned(at, 13) ^ shiftleft(d, 7) ^ shiftleft(d, 41)"
+#: A number of a place (d being the doc_id, 0 if null) for filters, in SQL and in Python. Places of one
+#: text differ in few bits, so these are hashed; otherwise all would crowd one word of a filter.
+PLACE_SQL = "xxhash64(text_key ^ shiftleft(at, 20) ^ shiftrightunsigned(at, 13) ^ shiftleft(d, 7) ^ shiftleft(d, 41))"
+_PRIMES = [np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
+
+
+def xxhash_longs(x: np.ndarray) -> np.ndarray:
+    """Spark's xxhash64 of each long."""
+    n, (a, b, c, d, e) = np.uint64, _PRIMES
+    turned = lambda v, k: (v << n(k)) | (v >> n(64 - k))
+    h = turned(turned(x * b, 31) * a ^ (np.full(1, 50, np.uint64) + e), 27) * a + d
+    h = (h ^ (h >> n(33))) * b
+    h = (h ^ (h >> n(29))) * c
+    return h ^ (h >> n(32))
 
 
 def _place_number(d: np.ndarray, text_key: np.ndarray, at: np.ndarray) -> np.ndarray:
     n = np.uint64
-    return (text_key ^ (at << n(20)) ^ (at >> n(13)) ^ (d << n(7)) ^ (d << n(41))).view(np.int64)
+    return xxhash_longs(text_key ^ (at << n(20)) ^ (at >> n(13)) ^ (d << n(7)) ^ (d << n(41))).view(np.int64)
 
 
 def _windows_of(batch: pa.RecordBatch, row: int, words: Words, mixed, firsts) -> np.ndarray:
-    """First words of the windows of the groups of mixed anchors whose place may be in the filter `firsts`."""
+    """First words of the windows of the groups of mixed anchors whose place may be in the filter `firsts`.
+
+    And of groups that overlap an equal one before them, as in "a b a b a b": there the group's first
+    occurrence stays, and what it leaves of this one begins after the first window, not after the group.
+    """
     anchor, first, end = words.groups()
-    some = maybe_in(mixed.value, words.marks(anchor, anchor + ANCHOR_WORDS, 0))
-    first, end = first[some], end[some]
+    again = words.overlapping(first, end + LEAST_WORDS - 1)
+    some = again | maybe_in(mixed.value, words.marks(anchor, anchor + ANCHOR_WORDS, 0))
+    # the equal ones before them, whose anchor may have no other group
+    some |= np.isin(keys := words.keys(first, end + LEAST_WORDS - 1), keys[again]) if again.any() else False
+    first, end, again = first[some], end[some], again[some]
     if len(first):
         _, __, ___, doc, text, at = _rows(batch, row, words, [(first, end + LEAST_WORDS - 1, MIXED)])
         doc, text, at = (x.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64) for x in (doc, text, at))
         own = maybe_in(firsts.value, _place_number(doc, text, at))
-        first, end = first[own], end[own]
+        # of those that overlap, the first window is enough: they begin later by as many windows as a group has
+        end = np.where(own, end, first + 1)
+        first, end = first[own | again], end[own | again]
     count = end - first
     offsets = np.cumsum(count) - count
     return np.repeat(first - offsets, count) + np.arange(count.sum())

@@ -462,6 +462,35 @@ def test_plan_is_best_fit_decreasing():
     assert made == len(room) and sum(r[2] for r in runs) == 500
 
 
+def test_repeats_that_overlap_themselves_leave_the_first_window(spark):
+    """Stretches of a short period, alone and met again: what brute force over all windows removes, at any shift."""
+    rng = random.Random(23)
+    run = lambda n: ["".join(rng.choices("abcdefghij", k=6)) for _ in range(n)]
+    lists = [run(7) + run(period) * 30 + run(5) for period in range(1, 24)]
+    lists += [run(4) + lists[k][:50] + run(6) for k in (4, 11)]
+    source = {k: " ".join(w) for k, w in enumerate(lists)}
+    gone, seen = removed_words(source, local(passages.repeats(spark.createDataFrame(list(source.items()), "doc_id long, text string")))), {}
+    want = {k: [False] * len(w) for k, w in enumerate(lists)}
+    for k, w in enumerate(lists):
+        for i in range(len(w) - passages.LEAST_WORDS + 1):
+            first, at = seen.setdefault(tuple(w[i : i + passages.LEAST_WORDS]), (k, i))
+            for j in range(i, i + passages.LEAST_WORDS) if (first, at) != (k, i) else ():
+                want[k][j] |= first != k or j >= at + passages.LEAST_WORDS
+    assert gone == want
+
+
+def test_filters_let_few_others_through(spark):
+    keys, others = (np.random.default_rng(k).integers(-(1 << 63), (1 << 63) - 1, 50_000) for k in (1, 2))
+    known = passages.key_filter(spark.createDataFrame([(int(k),) for k in keys], "key long"), len(keys))
+    assert passages.maybe_in(known, keys).all() and passages.maybe_in(known, others).mean() < 0.003
+    # places of one text don't crowd a word, and both sides number them alike
+    at = [(5, 77, (k << 32) | 120) for k in range(500)]
+    doc, text, start = (np.array(x).astype(np.uint64) for x in zip(*at, strict=True))
+    numbers = passages._place_number(doc, text, start)
+    assert [r[0] for r in spark.createDataFrame(at, "d long, text_key long, at long").selectExpr(passages.PLACE_SQL).collect()] == numbers.tolist()
+    assert len(set(((numbers >> 1) & 511).tolist())) > 250
+
+
 def test_texts_are_worked_on_in_little_memory():
     batch = passages.pa.RecordBatch.from_arrays([passages.pa.array([" ".join(f"w{(k * i) % 997}" for i in range(400)) for k in range(2500)])], ["text"])
     tracemalloc.start()
