@@ -92,12 +92,12 @@ def invert_demand(segments: Column, share: Column) -> Column:
     return seg["t"] + seg["span"] * F.least(x, F.lit(1.0))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), seed: int = 17, max_reads: int = MAX_READS, tilt: float = 0.5, whole: bool = False) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), seed: int = 17, max_reads: int = MAX_READS, tilt: float = 0.5, whole: bool = False, ordered: bool = True) -> DataFrame:
     """One row for each row of `docs` (doc_id, source, text): what the mix reads of it and when.
 
     Columns: doc_id, source, text_key (a hash of the text), copies (rows equal in these three), size,
     source_size, target, taken, positions (array of times in 0..1, one for each read), first_position
-    (null if it is never read); range-sorted by first_position.
+    (null if it is never read); range-sorted by first_position, unless ordered=False.
 
     Schedules: sources of odd rank in the order of their names rise from 1-tilt to 1+tilt times their
     weight, the others fall; the integral stays the weight. With whole=False the last read of a
@@ -112,7 +112,10 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), seed: int
     """
     narrow = docs.select("doc_id", "source", F.xxhash64("text").alias("text_key"), n_words(F.col("text")).alias("size"))
     narrow = durable(narrow.groupBy("doc_id", "source", "text_key", "size").agg(F.count("*").alias("__many")).withColumn("__all", F.col("size") * F.col("__many")))
-    sizes = durable(source_plan(narrow.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("__all").alias("source_size")), weights, max_reads))
+    sizes = source_plan(narrow.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("__all").alias("source_size")), weights, max_reads)
+    side = F.when(F.col("rank") % 2 == 1, F.lit(tilt)).otherwise(F.lit(-tilt))
+    # integrated once for a source; in the rows' own plan they would be written out for each use
+    sizes = durable(sizes.withColumn("__segments", demand_segments(linear_schedule(F.col("weight") * (1 - side), F.col("weight") * (1 + side)))))
     n_sources, most = sizes.agg(F.count("*"), F.coalesce(F.max("n_docs"), F.lit(0))).first()
     rows = beside(narrow, sizes, ["source"], n_sources)
     deal = F.ceil(F.col("n_docs") / BUCKET_ROWS)
@@ -131,12 +134,12 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), seed: int
     else:
         begins = F.filter(begins, lambda c: (c < quota) & (F.col("size") > 0))
         taken = F.aggregate("__begins", F.lit(0).cast("long"), lambda a, c: a + F.least(quota - c, F.col("size")))
-    side = F.when(F.col("rank") % 2 == 1, F.lit(tilt)).otherwise(F.lit(-tilt))
-    segments = demand_segments(linear_schedule(F.col("weight") * (1 - side), F.col("weight") * (1 + side)))
-    rows = rows.withColumn("__begins", begins).withColumn("taken", taken.cast("long")).withColumn("__segments", segments)
+    rows = rows.withColumn("__begins", begins).withColumn("taken", taken.cast("long"))
     rows = rows.withColumn("positions", F.transform("__begins", lambda c: invert_demand(F.col("__segments"), c / F.greatest(F.col("target"), F.lit(1e-9)))))
     rows = rows.withColumn("first_position", F.when(F.size("positions") > 0, F.element_at("positions", 1)))
     placed = rows.select("doc_id", "source", "text_key", F.col("__many").alias("copies"), "size", "source_size", "target", "taken", "positions", "first_position")
+    if not ordered:
+        return placed
     return placed.repartitionByRange(F.col("first_position").asc_nulls_last(), F.col("doc_id")).sortWithinPartitions(F.col("first_position").asc_nulls_last(), "doc_id")
 
 
@@ -153,7 +156,7 @@ def mix_texts(docs: DataFrame, **options) -> DataFrame:
     reads divided among them, so texts are moved once, by the sort. Nulls, repeated rows and empty
     tables are as in `mix`; all columns of `docs` are kept.
     """
-    plan = durable(mix(docs, whole=True, **options).where(F.size("positions") > 0).select("doc_id", "source", "text_key", "copies", "positions"))
+    plan = durable(mix(docs, whole=True, ordered=False, **options).where(F.size("positions") > 0).select("doc_id", "source", "text_key", "copies", "positions"))
     rows = docs.withColumn("__text_key", F.xxhash64("text"))
 
     def beside_texts(rows: DataFrame, plan: DataFrame, how: str = "inner") -> DataFrame:

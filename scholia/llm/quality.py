@@ -81,6 +81,11 @@ def _starts_of_repeats(ordered: Column) -> Column:
     return F.filter(marked, lambda x: x["twice"])["i"]
 
 
+def _joined(hashes: str, by: int) -> Column:
+    """For each element its hash with the one `by` places on; the last `by` have none and are to be cut off."""
+    return F.zip_with(hashes, F.slice(hashes, by + 1, F.greatest(F.size(hashes), F.lit(1))), lambda a, b: F.xxhash64(a, b))
+
+
 def statistics(docs: DataFrame) -> DataFrame:
     """doc_id, lang, source, text_key (hash of the text) and the base statistics of each row; a null text has no words."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -88,14 +93,19 @@ def statistics(docs: DataFrame) -> DataFrame:
         "doc_id", "lang", "source", F.xxhash64("text").alias("text_key"), text.alias("__text"), F.transform(words_of(text), lambda w: F.xxhash64(w)).alias("__words")
     )
     n = F.size("__words")
-    windows = F.when(n >= WINDOW_WORDS, F.transform(F.sequence(F.lit(1), n - (WINDOW_WORDS - 1)), lambda i: F.xxhash64(F.slice("__words", i, WINDOW_WORDS)))).otherwise(F.array().cast("array<bigint>"))
+    # hashes of eight words from those of four, these from those of two: three hashes a window and no copies
+    hashed = hashed.withColumn("__windows", F.col("__words"))
+    by = 1
+    while by < WINDOW_WORDS:
+        hashed, by = hashed.withColumn("__windows", _joined("__windows", by)), 2 * by
+    windows = F.slice("__windows", 1, F.greatest(n - (WINDOW_WORDS - 1), F.lit(0)))
     bare = F.translate("__text", SPACE, "")
     lines = F.filter(F.split("__text", "\n"), lambda x: F.length(F.btrim(x, F.lit(SPACE))) > 0)
     return hashed.withColumn("__windows", windows).select(
         "doc_id", "lang", "source", "text_key",
         n.cast("long").alias("n_words"),
         F.length(bare).cast("long").alias("word_chars"),
-        (F.length("__text") - F.length(F.translate("__text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.regexp_count("__text", F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
         repeat_words(F.col("__windows")).cast("long").alias("n_repeat_words"),
         F.size(lines).cast("long").alias("n_lines"),

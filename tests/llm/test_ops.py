@@ -501,6 +501,15 @@ def test_texts_are_worked_on_in_little_memory():
     assert peak < 30 << 20
 
 
+def test_plans_do_nothing_again_for_each_row(docs):
+    """Schedules are integrated by source, windows hashed without slices, and a plan that is only joined isn't sorted."""
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(" not in plan(quality.statistics(docs))
+    assert "aggregate(" not in plan(mixing.mix(docs, whole=True))
+    free = mixing.mix(docs, ordered=False)
+    assert "RepartitionByExpression" not in plan(free) and sorted(local(free), key=str) == sorted(local(mixing.mix(docs)), key=str)
+
+
 def test_pipeline_stages(spark, data):
     import corpus_pipeline as c
 
