@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, html, media, mixing, packing, passages, pii, quality, secrets, simhash
+from . import chat, html, infill, media, mixing, packing, passages, pii, quality, secrets, simhash
 
 QUERIES = {
     "op1_mix_curriculum": mixing.op1_mix_curriculum,
@@ -15,5 +15,6 @@ QUERIES = {
     "op8_trigram_secrets": secrets.op8_trigram_secrets,
     "op9_avi_shots": media.op9_avi_shots,
     "op10_best_fit_pack": packing.op10_best_fit_pack,
+    "op13_infill": infill.op13_infill,
 }
-ORACLES = {"op4_preference_format": chat.OP4_SQL}
+ORACLES = {"op4_preference_format": chat.OP4_SQL, "op13_infill": infill.OP13_SQL}
