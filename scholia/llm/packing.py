@@ -28,9 +28,11 @@ BUCKET_ROWS = 256
 #: Texts of these characters are coded by ranks, with words split by `SPLIT`, which takes the same
 #: words as the tokenizer's own pattern with less backtracking; libraries may differ on the classes
 #: of other characters, so any other text goes to the tokenizer, and so does a text that holds the
-#: string of one of the tokenizer's added tokens.
+#: string of one of the tokenizer's added tokens, or a run of white space so long that a pattern
+#: with a look ahead could run out of stack on it.
 PLAIN = re.compile(r"[\t-\r\x20-\x7E\u00A1-\u024F\u2010-\u2027\u2030-\u205E]*")
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
+LONG_GAP = re.compile(r"\s{5000}")
 RANKS = "byte_bpe_50k.tiktoken"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -51,7 +53,7 @@ class Encoder:
         self.plain = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=order, special_tokens={}).encode_ordinary
 
     def encode(self, text: str) -> bytes:
-        ranked = PLAIN.fullmatch(text) and not (self.special and self.special.search(text))
+        ranked = PLAIN.fullmatch(text) and not (self.special and self.special.search(text)) and not LONG_GAP.search(text)
         ids = self.plain(text) if ranked else self.tokenizer.encode(text, add_special_tokens=False).ids
         return array("I", ids).tobytes()
 
