@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import alignment, chat, html, infill, media, mixing, packing, passages, pii, quality, secrets, simhash
+from . import alignment, chat, html, infill, media, mixing, packing, passages, pii, quality, secrets, simhash, toxicity
 
 QUERIES = {
     "op1_mix_curriculum": mixing.op1_mix_curriculum,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_trigram_secrets": secrets.op8_trigram_secrets,
     "op9_avi_shots": media.op9_avi_shots,
     "op10_best_fit_pack": packing.op10_best_fit_pack,
+    "op11_toxic_clauses": toxicity.op11_toxic_clauses,
     "op12_token_alignment": alignment.op12_token_alignment,
     "op13_infill": infill.op13_infill,
 }
