@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import candidates, corpus, papers, profile, records, runs, texts
+from .plans import articles, candidates, corpus, papers, profile, records, runs, texts
 
-MODULES = [profile, candidates, corpus, records, papers, runs, texts]
+MODULES = [profile, articles, candidates, corpus, records, papers, runs, texts]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
