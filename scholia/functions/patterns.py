@@ -94,3 +94,10 @@ DOMAIN = (
     r"(?i)biomech|bone|implant|scaffold|porous|topolog|additive|3d\s*print|femur|femoral|spine|spinal|vertebr|interbody|cage|orthop|fracture|trabecular|titanium|lattice|"
     r"tpms|osseointegr|mechanobiolog|finite\s+element|prosthe|hip|joint|fatigue|stress\s+shielding|musculoskeletal|osteogen|fixation|pelvi|mandib"
 )
+# ---- fixed values: what an overlay of a card may not write, and a locator of a chunk ----
+PROTECTED_KEYS = (
+    "card_id", "paper_id", "pmcid", "source_record_sha256", "source_hash", "packet_sha256", "packet_path", "source_record", "record_path", "record_id",
+    "selection_reason", "primary_stratum", "stratum", "strata", "reading_order", "selection_identity", "source_identity", "status",
+)
+PROTECTED_ROOTS = ("reading", "selection", "provenance", "source", "identity", "bibliography")
+LOCATOR = r"(?<![A-Za-z0-9])S\d{3}:C\d{2}(?![A-Za-z0-9])"
