@@ -101,3 +101,17 @@ PROTECTED_KEYS = (
 )
 PROTECTED_ROOTS = ("reading", "selection", "provenance", "source", "identity", "bibliography")
 LOCATOR = r"(?<![A-Za-z0-9])S\d{3}:C\d{2}(?![A-Za-z0-9])"
+# ---- fixed values: the contract of a completed card ----
+PACKET_HEADING = r"(?m)^\s*#{3,}\s+(S\d{3}:C\d{2})(?:\s|$)"
+PACKET_SOURCE_HASH = r"(?mi)^-\s*Source SHA-256:\s*`([0-9a-f]{64})`\s*$"
+CONFIDENCE = ("high", "moderate", "low")
+READER_FIELDS = ("reader_role", "reader_model", "reasoning_effort", "read_at", "adjudication_status")
+PRIMARY_READER = "luna_primary"
+READER_PROVENANCE = {"reader_model": "gpt-5.6-luna", "reasoning_effort": "max"}
+STUDY_TEXTS = ("article_kind", "research_problem", "exact_gap", "objective_or_hypothesis", "study_design")
+STUDY_LISTS = ("method_spine", "primary_outcomes")
+BOUNDARY = ("measured", "predicted", "inferred", "recommended")
+QUALITY_FIELDS = (
+    "research_question_design_alignment", "methods_transparency", "validation_credibility", "outcome_uncertainty_reporting", "comparator_fairness",
+    "conclusion_proportionality", "overall_credibility",
+)
