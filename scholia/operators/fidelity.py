@@ -2,28 +2,30 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
-TOKEN = r"(?U)\w+|[^\w\s]"
-
-
-def tokens(c: Column) -> Column:
-    """Words and single punctuation marks, lower-cased."""
-    return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(TOKEN), F.lit(0))
-
+from scholia.functions import text as T
 
 def ngrams(c: Column, n: int = 3) -> Column:
     """Character n-grams; a shorter text is one n-gram, an empty one none."""
-    size = F.length(c)
-    return F.when(size == 0, F.array().cast("array<string>")).when(size <= n, F.array(c)).otherwise(F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(c, i, F.lit(n))))
+
+    def grams(text: Column) -> Column:
+        all_ = lambda chars: F.transform(F.slice(chars, 1, F.size(chars) - n + 1), lambda x, i: F.concat(x, *[F.get(chars, i + k) for k in range(1, n)]))
+        return F.when(F.length(text) == 0, F.array().cast("array<string>")).when(F.length(text) <= n, F.array(text)).otherwise(T.let(F.split(text, ""), all_))
+
+    return T.let(c, grams)
 
 
 def overlaps(rows: DataFrame, key: str, expected: str, actual: str, tail: str | None = None) -> DataFrame:
     """key, n_expected, n_actual, common of two arrays of a row as multisets; with `tail` also n_tail and common_tail of a third and the second.
 
-    One reading and one explode: items are counted by document before the shuffle, since a row's
-    items are in one partition. Rows of empty arrays have zeros; `key` is unique.
+    Rows of empty arrays have zeros; `key` is unique. Rows that are dealt by `key` already, as after
+    repartition(key), aren't dealt again: their items stay where the row is.
     """
     sides = [expected, actual, *([tail] if tail else [])]
     items = F.concat(*[_sided(c, k) for k, c in enumerate(sides)])
@@ -37,6 +39,10 @@ def _sided(items: str, side: int) -> Column:
     return F.transform(items, lambda x: F.struct(x.alias("item"), F.lit(side).alias("side")))
 
 
+def _numbered(texts: Column, kind: str, side: int) -> Column:
+    return F.transform(texts, lambda x, k: F.struct(F.lit(kind).alias("kind"), F.lit(side).alias("side"), k.alias("idx"), x.alias("text")))
+
+
 def f1(common: Column, expected: Column, actual: Column) -> Column:
     """Recall and precision are 1 only if both sides are empty; 0 if both are 0."""
     recall = F.when(expected > 0, common / expected).otherwise((actual == 0).cast("double"))
@@ -44,8 +50,169 @@ def f1(common: Column, expected: Column, actual: Column) -> Column:
     return F.when(recall + precision == 0, F.lit(0.0)).otherwise(2 * recall * precision / (recall + precision))
 
 
-def concordance(positions: Column) -> Column:
-    """Share of pairs in rising order, 1 without pairs."""
+def recall(common: Column, expected: Column, actual: Column) -> Column:
+    return F.when(expected > 0, common / expected).otherwise((actual == 0).cast("double"))
+
+
+# ---- the score of a converted document ----
+
+# fixed values: tokens and identifiers that the score goes by
+SCORED_TOKEN = r"(?iU)[A-Za-z]+(?:[-'][A-Za-z0-9]+)*|\d+(?:\.\d+)?(?:e[+-]?\d+)?|[^\W\s]"
+DOI = r"(?i)10\.\d{4,9}/[-._;()/:A-Z0-9]+"
+MEASURE = (
+    r"(?iu)(?<![\p{L}\p{N}_])[+-]?(?:\d+(?:\.\d+)?|\.\d+)(?:\s*(?:±|\+/-)\s*\d+(?:\.\d+)?)?\s*"
+    r"(?:%|mm(?:\^?[23]|²|³)?|cm(?:\^?[23]|²|³)?|µm|μm|um|nm|mpa|gpa|kpa|pa|kn(?:[·*]?mm|/mm)?|mn|n(?:[·*]?mm|/mm)?|hz|khz|mhz|s|min|h|day|days|week|weeks|"
+    r"month|months|year|years|°c|°|kg|mg|µg|μg|ug|g|ml|µl|μl|ul|m)(?U:\b)"
+)
+CITATION = r"\[(?:\d+(?:\s*[-–—,;]\s*\d+)*)\]|\([A-Z][A-Za-z-]+(?:\s+(?:(?:and|&)\s+[A-Z][A-Za-z-]+|et\s+al\.))?,?\s+\d{4}[a-z]?\s*\)"
+#: Points of the parts, 80 in all.
+POINTS = {"tokens": 15.0, "trigrams": 10.0, "identifiers": 15.0, "headings": 5.0, "heading_order": 2.5, "reading_order": 2.5, "tables": 15.0, "formulas": 10.0, "captions": 5.0}
+HEADING_MATCH, MOST_ANCHORS, ANCHOR_TOKENS, SENTENCE_TOKENS, TAIL = 0.55, 40, 10, 12, 40
+KINDS = ("token", "trigram", "doi", "measure", "citation")
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def _nfkc(texts: pd.Series) -> pd.Series:
+    """Compatibility forms composed, which no built-in function does."""
+    return texts.map(lambda ts: [unicodedata.normalize("NFKC", t or "") for t in ts])
+
+
+def _normal(c: Column) -> Column:
+    """Composed text without soft hyphens, words joined over line ends, one space for white space."""
+    joined = F.regexp_replace(F.replace(c, F.lit("\u00ad"), F.lit("")), r"(?U)(?<=\w)-\s*\n\s*(?=\w)", "")
+    return F.btrim(F.regexp_replace(joined, r"(?U)\s+", " "))
+
+
+def _scored_tokens(normal: Column) -> Column:
+    return F.transform(F.regexp_extract_all(normal, F.lit(SCORED_TOKEN), F.lit(0)), F.lower)
+
+
+def _identifiers(text: Column) -> dict[str, Column]:
+    """DOIs, measures and citations, each in its normal form."""
+    found = lambda p: F.regexp_extract_all(text, F.lit(p), F.lit(0))
+    bare = lambda p: F.transform(found(p), lambda x: F.replace(F.regexp_replace(F.lower(x), r"(?U)\s+", ""), F.lit("μ"), F.lit("µ")))
+    return {"doi": F.transform(found(DOI), lambda x: F.regexp_replace(F.lower(x), r"[.,;:)\]}]+$", "")), "measure": bare(MEASURE), "citation": bare(CITATION)}
+
+
+def rising(positions: Column) -> Column:
+    """Share of pairs of places in strictly rising order; null without pairs."""
     n = F.size(positions)
-    pairs = F.flatten(F.transform(positions, lambda x, i: F.transform(F.slice(positions, i + 2, F.greatest(n, F.lit(1))), lambda y: (x <= y).cast("long"))))
-    return F.when(n < 2, F.lit(1.0)).otherwise(F.aggregate(pairs, F.lit(0).cast("long"), lambda a, v: a + v) / F.size(pairs))
+    good = F.aggregate(F.transform(positions, lambda x, i: F.size(F.filter(F.slice(positions, i + 2, F.greatest(n, F.lit(1))), lambda y: y > x))), F.lit(0), lambda a, v: a + v)
+    return F.when(n >= 2, good / (n * (n - 1) / 2))
+
+
+def item_pairs(items: DataFrame, key: str) -> DataFrame:
+    """key, kind, i, f1 and j of every expected item with every actual one of its kind that shares a part with it.
+
+    `items` has key, kind, side (0 expected, 1 actual), idx and parts (an array, a multiset). Items
+    without parts agree with each other alone. Rows dealt by key stay where they are.
+    """
+    some = F.when(F.size("parts") > 0, F.col("parts")).otherwise(F.array(F.lit("")))
+    rows = items.select(key, "kind", "side", "idx", F.greatest(F.size("parts"), F.lit(1)).alias("size"), F.explode(some).alias("part"))
+    counted = rows.groupBy(key, "kind", "side", "idx", "size", "part").agg(F.count("*").alias("n"))
+    side = lambda k: F.collect_list(F.when(F.col("side") == k, F.struct("idx", "size", "n")))
+    met = counted.groupBy(key, "kind", "part").agg(side(0).alias("e"), side(1).alias("a")).where((F.size("e") > 0) & (F.size("a") > 0))
+    crossed = met.select(key, "kind", F.explode("e").alias("e"), "a").select(key, "kind", "e", F.explode("a").alias("a"))
+    common = crossed.groupBy(key, "kind", F.col("e.idx").alias("i"), F.col("a.idx").alias("j"), F.col("e.size").alias("n"), F.col("a.size").alias("m")).agg(F.sum(F.least("e.n", "a.n")).alias("common"))
+    return common.select(key, "kind", "i", "j", f1(F.col("common"), F.col("n"), F.col("m")).alias("f1"))
+
+
+def heading_places(choices: Column) -> Column:
+    """Places of the actual headings that expected ones take in turn: the free one of the highest F1, the last of equals.
+
+    `choices` is an array of arrays of (f1, j), one for each expected heading that has any, in order.
+    """
+
+    def take(taken: Column, own: Column) -> Column:
+        best = F.array_max(F.filter(own, lambda x: ~F.array_contains(taken, x["j"])))
+        return F.when(best.isNotNull(), F.concat(taken, F.array(best["j"]))).otherwise(taken)
+
+    return F.aggregate(choices, F.array().cast("array<int>"), take)
+
+
+def item_match(total: Column, n: Column, m: Column) -> Column:
+    """Mean of the expected items' best F1 (their sum is `total`), less up to a quarter for a differing count."""
+    whole = total / n * (0.75 + 0.25 * F.least(n, m) / F.greatest(n, m))
+    return F.when(n == 0, F.greatest(F.lit(0.0), 1 - 0.25 * m)).when(m == 0, F.lit(0.0)).otherwise(whole)
+
+
+def reading_order(sentences: Column, text: Column) -> Column:
+    """Share of the anchors that are found in a text, times their order; 1 without long sentences.
+
+    Anchors are the first tokens of long sentences (token arrays), MOST_ANCHORS of them evenly spaced.
+    """
+    long = F.filter(sentences, lambda t: F.size(t) >= SENTENCE_TOKENS)
+
+    def anchors(long: Column) -> Column:
+        at = F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(MOST_ANCHORS - 1)), lambda i: F.bround(i * (F.size(long) - 1) / (MOST_ANCHORS - 1), 0).cast("int")))
+        return F.when(F.size(long) > MOST_ANCHORS, F.transform(at, lambda k: F.get(long, k))).otherwise(long)
+
+    places = lambda some: F.transform(some, lambda t: F.instr(text, F.array_join(F.slice(t, 1, ANCHOR_TOKENS), " ")))
+    in_order = lambda found: F.coalesce(rising(found), (F.size(found) == 1).cast("double"))
+    share = lambda at: T.let(F.filter(at, lambda p: p > 0), lambda found: F.size(found) / F.size(at) * in_order(found))
+    whole = lambda long: F.when(F.size(long) == 0, F.lit(1.0)).otherwise(T.let(anchors(long), lambda some: T.let(places(some), share)))
+    return T.let(long, whole)
+
+
+def scores(pairs: DataFrame, key: str) -> DataFrame:
+    """The score of 80 points, its parts, and whether text or identifiers are at risk, for each row of `pairs`.
+
+    `pairs` has key (unique), expected and actual: structs of body and the arrays headings, tables,
+    formulas and captions. Rows are dealt by key once; tokens, trigrams and identifiers are then counted
+    as rows of items beside their document, and so are the parts of headings, tables, formulas and captions.
+    """
+    sides = ("expected", "actual")
+    lists = ("headings", "tables", "formulas", "captions")
+    dealt = pairs.select(key, *sides).repartition(key)
+    raw = F.concat(*[F.array(F.coalesce(F.col(f"{s}.body"), F.lit(""))) for s in sides], *[F.coalesce(F.col(f"{s}.{k}"), F.array()) for s in sides for k in lists])
+    gaps = F.split(F.coalesce("expected.body", F.lit("")), r"(?U)(?<=[.!?])\s+")
+    rows = dealt.select(key, *sides, _nfkc(raw).alias("all"), _nfkc(gaps).alias("sentences")).withColumn("all", F.transform("all", _normal))
+    ends, at = {}, F.lit(3)
+    for s in sides:
+        for k in lists:
+            n = F.size(F.coalesce(F.col(f"{s}.{k}"), F.array()))
+            ends[s, k] = F.slice("all", at, n)
+            at = at + n
+    body = {s: F.get("all", F.lit(i)) for i, s in enumerate(sides)}
+    parts = {s: {"token": _scored_tokens(body[s]), "trigram": ngrams(F.lower(body[s]), 3), **_identifiers(F.coalesce(f"{s}.body", F.lit("")))} for s in sides}
+    rows = rows.select(key, "all", "sentences", *sides, *[c.alias(f"{s}_{k}") for s in sides for k, c in parts[s].items()])
+    item = lambda k, side, name: F.transform(name, lambda x: F.struct(F.lit(k).alias("kind"), F.lit(side).alias("side"), x.alias("item")))
+    tail = F.slice("expected_token", F.greatest(F.size("expected_token") - TAIL + 1, F.lit(1)), TAIL)
+    every = F.concat(*[item(k, i, f"{s}_{k}") for i, s in enumerate(sides) for k in KINDS], item("token", 2, tail))
+    counted = rows.select(key, F.explode_outer(every).alias("x")).groupBy(key, "x.kind", "x.item").agg(*[F.count_if(F.col("x.side") == i).alias(f"c{i}") for i in range(3)])
+    of = lambda k, c: F.coalesce(F.sum(F.when(F.col("kind") == k, c)), F.lit(0))
+    sums = [of(k, c).alias(f"{k}_{n}") for k in KINDS for n, c in (("e", F.col("c0")), ("a", F.col("c1")), ("both", F.least("c0", "c1")))]
+    sums += [of("token", F.col("c2")).alias("tail_e"), of("token", F.least("c2", "c1")).alias("tail_both")]
+    sums = counted.groupBy(F.col(key).alias("of")).agg(*sums)
+    listed = F.concat(*[_numbered(ends[s, k], k, i) for i, s in enumerate(sides) for k in lists])
+    items = rows.select(key, F.explode(listed).alias("x")).select(key, "x.kind", "x.side", "x.idx", F.when(F.col("x.kind") == "formulas", ngrams(F.lower("x.text"), 2)).otherwise(_scored_tokens(F.col("x.text"))).alias("parts"))
+    near = F.collect_list(F.when((F.col("kind") == "headings") & (F.col("f1") >= HEADING_MATCH), F.struct("f1", "j")))
+    best = item_pairs(items, key).groupBy(key, "kind", "i").agg(F.max("f1").alias("best"), near.alias("near"))
+    chosen = F.array_sort(F.collect_list(F.when(F.size("near") > 0, F.struct("i", "near"))))
+    best = best.groupBy(F.col(key).alias("best_of")).agg(chosen.alias("chosen"), *[F.sum(F.when(F.col("kind") == k, F.col("best"))).alias(f"{k}_best") for k in lists[1:]])
+    missing, extra = F.array_except("expected_doi", "actual_doi"), F.array_except("actual_doi", "expected_doi")
+    facts = [
+        reading_order(F.transform("sentences", lambda x: _scored_tokens(_normal(x))), F.lower(body["actual"])).alias("reading_order"),
+        F.exists(extra, lambda x: (F.length(x) >= 8) & x.startswith("10.") & F.exists(missing, lambda e: e.startswith(x) | x.startswith(e))).alias("cut"),
+        *[F.size(ends[s, k]).alias(f"{s}_{k}_n") for s in sides for k in lists],
+    ]
+    c, n = F.col, F.size("places")
+    heads_e, heads_a = c("expected_headings_n"), c("actual_headings_n")
+    both, expected, actual = ((lambda part: lambda k: c(f"{k}_{part}"))(part) for part in ("both", "e", "a"))
+    total = lambda part: c("doi_" + part) + c("measure_" + part) + c("citation_" + part)
+    hr, hp = n / heads_e, F.when(heads_a > 0, n / heads_a).otherwise(0.0)
+    head_f1 = F.when(heads_e == 0, F.when(heads_a > 0, 0.75).otherwise(1.0)).when(n == 0, 0.0).otherwise(2 * hr * hp / (hr + hp))
+    head_order = F.when(heads_e == 0, 1.0).otherwise(F.coalesce(rising(c("places")), ((heads_e <= 1) & (n > 0)).cast("double")))
+    shares = {
+        "tokens": f1(both("token"), expected("token"), actual("token")), "trigrams": f1(both("trigram"), expected("trigram"), actual("trigram")),
+        "identifiers": f1(total("both"), total("e"), total("a")), "headings": head_f1, "heading_order": head_order,
+        "reading_order": c("reading_order"), **{k: item_match(F.coalesce(f"{k}_best", F.lit(0.0)), c(f"expected_{k}_n"), c(f"actual_{k}_n")) for k in lists[1:]},
+    }
+    token_recall, tail_recall = recall(both("token"), expected("token"), actual("token")), F.when(expected("token") > 0, c("tail_both") / c("tail_e")).otherwise(1.0)
+    truncated = (actual("token") == 0) | (actual("token") / F.greatest(expected("token"), F.lit(1)) < 0.75) | ((tail_recall < 0.25) & (token_recall < 0.85))
+    lost = lambda k: (expected(k) >= 4) & (recall(both(k), expected(k), actual(k)) < 0.75)
+    risk = ((total("e") > 0) & (recall(total("both"), total("e"), total("a")) < 0.75)) | lost("doi") | lost("measure") | lost("citation") | c("cut")
+    score = sum((POINTS[k] * v for k, v in shares.items()), F.lit(0.0))
+    done = rows.select(key, *facts).join(sums, c(key) == c("of")).join(best, c(key) == c("best_of"), "left")
+    done = done.withColumn("places", heading_places(F.coalesce("chosen.near", F.array().cast("array<array<struct<f1: double, j: int>>>"))))
+    return done.select(key, F.round(score, 6).alias("score"), *[F.round(v, 6).alias(k) for k, v in shares.items()], truncated.alias("truncated"), risk.alias("risk"))

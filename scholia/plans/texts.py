@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholia.functions import text as T
-from scholia.operators import documents, fidelity
+from scholia.operators import fidelity, markdown
 from scholia.sources.tables import read
 
 QUERIES: dict = {}
@@ -43,7 +43,7 @@ def _words(c: str):
 
 @query(f"WITH {_SIDES} SELECT doc_id, e AS n_expected, p AS n_actual, common, CASE WHEN e + p = 0 THEN 1.0::DOUBLE ELSE floor(2 * common / (e + p) * 1e6 + 0.5) / 1e6 END AS f1 FROM m")
 def token_f1(s, d):
-    o = fidelity.overlaps(_pairs(s, d).select("doc_id", _words("a").alias("a"), _words("b").alias("b")), "doc_id", "a", "b")
+    o = fidelity.overlaps(_pairs(s, d).repartition("doc_id").select("doc_id", _words("a").alias("a"), _words("b").alias("b")), "doc_id", "a", "b")
     total = F.col("n_expected") + F.col("n_actual")
     return o.select("doc_id", "n_expected", "n_actual", "common", F.when(total == 0, F.lit(1.0)).otherwise(T.scaled(2 * F.col("common"), total, 6)).alias("f1"))
 
@@ -51,7 +51,7 @@ def token_f1(s, d):
 @query(f"WITH {_SIDES} SELECT doc_id, p = 0 OR p / greatest(e, 1) < 0.75 OR (l > 0 AND tail / l < 0.25 AND common / greatest(e, 1) < 0.85) AS truncated FROM m")
 def truncation_flags(s, d):
     """No words, too few of them, or the last forty lost along with more than 15 percent of all."""
-    rows = _pairs(s, d).select("doc_id", _words("a").alias("a"), _words("b").alias("b"))
+    rows = _pairs(s, d).repartition("doc_id").select("doc_id", _words("a").alias("a"), _words("b").alias("b"))
     o = fidelity.overlaps(rows.withColumn("tail", F.slice("a", F.greatest(F.size("a") - 39, F.lit(1)), 40)), "doc_id", "a", "b", "tail")
     e, p = F.greatest("n_expected", F.lit(1)), F.col("n_actual")
     lost = (F.col("n_tail") > 0) & (F.col("common_tail") / F.greatest("n_tail", F.lit(1)) < 0.25) & (F.col("common") / e < 0.85)
@@ -63,7 +63,7 @@ _GRAM = "CASE WHEN length({0}) = 0 THEN [] WHEN length({0}) <= 3 THEN [{0}] ELSE
 
 @query(f"WITH x AS (SELECT item_id, lower(text) AS a, lower(regexp_replace(text, '[aeiou]{{2}}', '', 'g')) AS b FROM benchmark), t AS (SELECT item_id, 0 AS side, unnest({_GRAM.format('a')}) AS g FROM x UNION ALL SELECT item_id, 1, unnest({_GRAM.format('b')}) FROM x), c AS (SELECT item_id, g, count(*) FILTER (side = 0) AS e, count(*) FILTER (side = 1) AS p FROM t GROUP BY item_id, g) SELECT item_id, CAST(sum(e) AS BIGINT) AS n_expected, CAST(sum(p) AS BIGINT) AS n_actual, CAST(sum(least(e, p)) AS BIGINT) AS common FROM c GROUP BY item_id")
 def trigram_f1(s, d):
-    t = read(s, d, "benchmark").select("item_id", F.lower("text").alias("a"), F.lower(F.regexp_replace("text", "[aeiou]{2}", "")).alias("b"))
+    t = read(s, d, "benchmark").repartition("item_id").select("item_id", F.lower("text").alias("a"), F.lower(F.regexp_replace("text", "[aeiou]{2}", "")).alias("b"))
     return fidelity.overlaps(t.select("item_id", fidelity.ngrams(F.col("a")).alias("a"), fidelity.ngrams(F.col("b")).alias("b")), "item_id", "a", "b")
 
 
@@ -104,7 +104,7 @@ def document_fidelity(s, d):
     doc = lambda c, more: F.struct(F.col(c).alias("body"), heads(F.col(c)).alias("headings"), more.alias("tables"), none.alias("formulas"), none.alias("captions"))
     lines = lambda c: F.filter(F.split(c, "\n"), lambda x: F.contains(x, F.lit("|")))
     p = _pairs(s, d)
-    return documents.scores(p.select("doc_id", doc("a", lines(F.col("a"))).alias("expected"), doc("b", lines(F.col("b"))).alias("actual")), "doc_id")
+    return fidelity.scores(p.select("doc_id", doc("a", lines(F.col("a"))).alias("expected"), doc("b", lines(F.col("b"))).alias("actual")), "doc_id")
 
 
 def _markdown(s, d) -> DataFrame:
@@ -113,20 +113,27 @@ def _markdown(s, d) -> DataFrame:
     return read(s, d, "documents").select("doc_id", F.array_join(F.transform(F.split("text", "\n"), kind), "\n\n").alias("md"), (F.col("doc_id") % 12).cast("int").alias("pages"))
 
 
+def _blocks(s, d) -> DataFrame:
+    return _markdown(s, d).withColumn("found", markdown.blocks(F.col("md")))
+
+
 @query(None)
 def markdown_blocks(s, d):
-    return documents.markdown_blocks(_markdown(s, d), "doc_id", "md")
+    """One row for each block of each document."""
+    rows = _blocks(s, d).select("doc_id", F.posexplode("found.blocks").alias("ord", "b"))
+    return rows.select("doc_id", "ord", "b.kind", "b.first_line", "b.last_line", "b.level", F.length("b.text").alias("chars"))
 
 
 @query(None)
 def markdown_gate(s, d):
-    return documents.gates(_markdown(s, d), "doc_id", "md", "pages")
+    """Reasons to hold each document back, joined by ';'."""
+    return _blocks(s, d).select("doc_id", F.array_join(markdown.gate(F.col("md"), F.col("found"), F.col("pages")), ";").alias("reasons"))
 
 
 @query("SELECT kind, count(*) AS n FROM (SELECT unnest(list_transform(l, lambda x, i: CASE WHEN (i - 1) % 11 = 0 THEN 'heading' WHEN (i - 1) % 13 = 5 THEN 'markdown_table' WHEN (i - 1) % 17 = 7 THEN 'display_math' WHEN (i - 1) % 19 = 3 THEN 'caption' WHEN trim(x, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) = '' THEN 'none' ELSE 'text' END)) AS kind FROM (SELECT string_split(text, chr(10)) AS l FROM documents)) WHERE kind <> 'none' GROUP BY kind")
 def markdown_kinds(s, d):
     """How many blocks of each kind the documents have as Markdown."""
-    return documents.markdown_blocks(_markdown(s, d), "doc_id", "md").groupBy("kind").agg(F.count("*").alias("n"))
+    return markdown_blocks(s, d).groupBy("kind").agg(F.count("*").alias("n"))
 
 
 _BIB = "'@article{{k' || {0} || ',' || chr(10) || '  title = {{' || split_part(text, chr(10), 1) || '}},' || chr(10) || '  year={{' || (1990 + {0} % 30) || '}}' || chr(10) || '}}' || chr(10) || '@book{{b' || {0} || ',' || chr(10) || ' title = \"T ' || {0} || '\"' || chr(10) || '}}'"

@@ -3,36 +3,69 @@
 import hashlib
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from scholia.functions import text as T
-from scholia.operators import documents, fidelity, identity, select
+from scholia.operators import fidelity, identity, markdown, select
 from scholia.plans import corpus, papers
 
 BODY = " ".join(f"The specimen number {k} was loaded to {k}.5 MPa and it failed after {k} cycles as shown in [{k}] there, see 10.1000/abc.{k}." for k in range(1, 12))
 PAPER = {"body": BODY, "headings": ["Introduction", "Materials and methods", "Results", "Discussion"], "tables": ["a | b", "c d | e"], "formulas": ["x = y + z"], "captions": ["Figure 1. A plot"]}
 
 
-def test_score_of_a_document():
-    same = documents.score(PAPER, PAPER)
+PARTS = "struct<body string, headings array<string>, tables array<string>, formulas array<string>, captions array<string>>"
+
+
+def scored(spark, *pairs):
+    order = list(PAPER)
+    rows = [(k, tuple(e[n] for n in order), tuple(a[n] for n in order)) for k, (e, a) in enumerate(pairs)]
+    got = fidelity.scores(spark.createDataFrame(rows, f"k int, expected {PARTS}, actual {PARTS}"), "k").collect()
+    return [r.asDict() for r in sorted(got, key=lambda r: r["k"])]
+
+
+def test_scores_of_documents(spark):
+    nothing = {"body": None, "headings": [], "tables": [], "formulas": [], "captions": []}
+    same, turned, no_tables, formula, units, half, empty, void, more, twice, cut = scored(
+        spark, (PAPER, PAPER), (PAPER, PAPER | {"headings": PAPER["headings"][::-1]}), (PAPER, PAPER | {"tables": []}), (PAPER, PAPER | {"formulas": ["qqq"]}),
+        (PAPER, PAPER | {"body": BODY.replace(".5 MPa", ".7 MPa").replace("[", "(")}), (PAPER, PAPER | {"body": BODY[: len(BODY) // 2]}), (PAPER, PAPER | {"body": ""}), (nothing, nothing),
+        (nothing, nothing | {"headings": ["x"], "tables": ["a"]}), (PAPER | {"headings": ["Same", "Other"]}, PAPER | {"headings": ["Same", "Other", "Same"]}),
+        (nothing | {"body": "see 10.1000/abc.def"}, nothing | {"body": "see 10.1000/abc"}),
+    )
     assert same["score"] > 77.4 and not same["risk"] and not same["truncated"]
-    assert documents.score(PAPER, PAPER | {"headings": PAPER["headings"][::-1]})["heading_order"] == 0.0
-    assert documents.score(PAPER, PAPER | {"tables": []})["tables"] == 0 and documents.score(PAPER, PAPER | {"formulas": ["qqq"]})["formulas"] < 0.75
-    assert documents.score(PAPER, PAPER | {"body": BODY.replace(".5 MPa", ".7 MPa").replace("[", "(")})["risk"]
-    assert documents.score(PAPER, PAPER | {"body": BODY[: len(BODY) // 2]})["truncated"] and documents.score(PAPER, PAPER | {"body": ""})["truncated"]
-    assert documents.cut_dois(["10.1000/abc.def"], ["10.1000/abc"]) == [("10.1000/abc.def", "10.1000/abc")]
-    assert documents.agreement([], []) == (1.0, 1.0, 1.0) and documents.agreement(["a"], []) == (0.0, 0.0, 0.0)
-    assert documents.best_matches([], ["a"]) == 0.75 and documents.heading_scores([], ["x"]) == (0.75, 1.0)
-    # of equal matches the last heading is taken
-    assert documents.heading_scores(["Same", "Other"], ["Same", "Other", "Same"])[1] == 0.0
-
-
-def test_concordance_against_all_pairs():
+    assert turned["heading_order"] == 0.0 and turned["headings"] == 1.0
+    assert no_tables["tables"] == 0 and formula["formulas"] < 0.75 and units["risk"]
+    assert half["truncated"] and empty["truncated"] and empty["tokens"] == 0.0
+    assert void["tokens"] == void["identifiers"] == void["headings"] == void["tables"] == 1.0 and void["truncated"] and not void["risk"]
+    assert more["headings"] == 0.75 and more["heading_order"] == 1.0 and more["tables"] == 0.75
+    assert twice["heading_order"] == 0.0  # of equal matches the last heading is taken
+    assert cut["risk"] and cut["identifiers"] == 0.0
+
+
+def test_item_pairs_count_shared_parts(spark):
+    rng = random.Random(8)
+    items = [(k, "t", side, i, rng.choices("abc", k=rng.randint(0, 4))) for k in range(4) for side in (0, 1) for i in range(3)]
+    got = {(r["k"], r["i"], r["j"]): r["f1"] for r in fidelity.item_pairs(spark.createDataFrame(items, "k int, kind string, side int, idx int, parts array<string>"), "k").collect()}
+    for k, _, _, i, e in (x for x in items if x[2] == 0):
+        for _, _, _, j, a in (x for x in items if x[0] == k and x[2] == 1):
+            common = sum(min(e.count(c), a.count(c)) for c in set(e))
+            want = 1.0 if not e and not a else 2 * common / (len(e) + len(a)) if common else None
+            assert got.get((k, i, j)) == (want if want is None else pytest.approx(want))
+
+
+def test_rising_pairs_against_all_pairs(spark):
     rng = random.Random(3)
-    for _ in range(50):
-        p = [rng.randint(0, 9) for _ in range(rng.randint(0, 12))]
+    lists = [[rng.randint(0, 9) for _ in range(rng.randint(0, 12))] for _ in range(50)]
+    got = [r[0] for r in spark.createDataFrame([(k, x) for k, x in enumerate(lists)], "k int, p array<int>").orderBy("k").select(fidelity.rising(F.col("p"))).collect()]
+    for p, share in zip(lists, got, strict=True):
         pairs = [(a, b) for i, a in enumerate(p) for b in p[i + 1 :]]
-        assert documents.concordance(p) == (len(pairs), sum(a < b for a, b in pairs))
+        assert share == (sum(a < b for a, b in pairs) / len(pairs) if pairs else None)
+
+
+def test_ngrams(spark):
+    texts = ["", "ab", "abc", "a🙂cdé"]
+    got = [r[0] for r in spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").orderBy("k").select(fidelity.ngrams(F.col("t"))).collect()]
+    assert got == [[], ["ab"], ["abc"], ["a🙂c", "🙂cd", "cdé"]]
 
 
 def test_overlaps_are_those_of_multisets(spark):
@@ -41,16 +74,25 @@ def test_overlaps_are_those_of_multisets(spark):
     assert got == {1: (3, 3, 2, 1, 1), 2: (0, 0, 0, 0, 0), 3: (1, 0, 0, 1, 0)}
 
 
+def marked(spark, *texts):
+    rows = spark.createDataFrame([(k, t, n) for k, (t, n) in enumerate(texts)], "k int, md string, pages int").withColumn("found", markdown.blocks(F.col("md")))
+    return rows.withColumn("reasons", markdown.gate(F.col("md"), F.col("found"), F.col("pages"))).orderBy("k").collect()
+
+
 def test_markdown_blocks_and_gate(spark):
     text = "# Title\n\nSome text\nover lines.\n\n<table>\n<tr></tr>\n</table>\n\n$$\nx\n$$\n\n<details>\nheat map\n</details>\n\n## Figure 2. Cap\n\n| a | b |\n| - | - |\n\n![x](y)\n\n$$ open"
-    found, errors = documents.blocks(text)
-    assert [b[0] for b in found] == ["heading", "text", "html_table", "display_math", "image_ocr", "caption", "markdown_table", "image", "display_math"]
-    assert errors == ["unclosed_display_math"] and found[1][1:3] == (3, 4) and documents.blocks(None) == ([], []) and documents.blocks("") == ([], [])
     good = "# One\n\n" + "Word " * 400 + "\n\n# Two\n\nMore text.\n\n# References\n\n[1] A"
-    assert documents.gate(good, 2) == [] and documents.gate(good, 10) == ["thin_pages"] and "no_references" in documents.gate(good.replace("# References", "# End"), 2)
-    assert "damaged_heading" in documents.gate(good.replace("# Two", "# Tw�"), 2) and "repeated_paragraphs" in documents.gate(good + ("\n\n" + "again " * 50) * 4, 2)
-    rows = spark.createDataFrame([(1, text, 1), (2, None, None)], "doc_id long, md string, pages int")
-    assert documents.markdown_blocks(rows, "doc_id", "md").count() == 9 and documents.gates(rows, "doc_id", "md", "pages").count() == 2
+    first, none, blank, fine, thin, unlisted, damaged, repeated, one_line = marked(
+        spark, (text, 1), (None, None), ("", 1), (good, 2), (good, 10), (good.replace("# References", "# End"), 2), (good.replace("# Two", "# Tw\ufffd"), 2), (good + ("\n\n" + "again " * 50) * 4, 2), ("$$ x $$\nText\n## H\n| a | b |\n| c | d |", 1)
+    )
+    found = first["found"]["blocks"]
+    assert [b["kind"] for b in found] == ["heading", "text", "html_table", "display_math", "image_ocr", "caption", "markdown_table", "image", "display_math"]
+    assert first["found"]["open"] == "display_math" and (found[1]["first_line"], found[1]["last_line"]) == (3, 4) and "unclosed_display_math" in first["reasons"]
+    assert found[0]["level"] == 1 and found[1]["text"] == "Some text\nover lines."
+    assert none["found"]["blocks"] == blank["found"]["blocks"] == [] and none["found"]["open"] is None
+    assert fine["reasons"] == [] and thin["reasons"] == ["thin_pages"] and "no_references" in unlisted["reasons"]
+    assert "damaged_heading" in damaged["reasons"] and "repeated_paragraphs" in repeated["reasons"]
+    assert [(b["kind"], b["first_line"], b["last_line"]) for b in one_line["found"]["blocks"]] == [("display_math", 1, 1), ("text", 2, 2), ("heading", 3, 3), ("markdown_table", 4, 5)]
 
 
 def test_stratified_selection_against_a_loop(spark, data):
