@@ -1,7 +1,7 @@
 """Keyed state with timers: work on what changed, retries of what is blocked for a while, leases that end by themselves.
 
 Time is processing time, so timers fire without new events; state and timers are in the checkpoint
-and go on after a restart. Sessions need a state store that has timers: `use_store`.
+and go on after a restart, for which a clock runs beside the events. Sessions need a state store that has timers: `use_store`.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from .leases import FRESH, STATE, step
@@ -34,6 +35,15 @@ def retry_delay_ms(interval_s: float, least_s: float = LEAST_RETRY_S) -> int:
     return int(1000 * max(least_s, RETRY_INTERVALS * interval_s))
 
 
+def ticking(events: DataFrame) -> DataFrame:
+    """The same stream with a clock that has no rows but makes a batch at every trigger.
+
+    Timers fire in batches, and after a restart the first batch would wait for new events.
+    """
+    clock = events.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).load().where("value < 0")
+    return events.unionByName(clock.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema]))
+
+
 class _Work(StatefulProcessor):
     """State of an id: the fingerprint that was last given out, and whether it is blocked for a while."""
 
@@ -86,7 +96,7 @@ def work(events: DataFrame, interval_s: float, least_s: float = LEAST_RETRY_S, d
     dynamic reason gives it out again after a delay, once for each such event, unless a change or `done`
     comes first; with other reasons it waits for a change. What isn't heard of for `ttl_ms` is forgotten.
     """
-    return events.groupBy("id").transformWithStateInPandas(_Work(retry_delay_ms(interval_s, least_s), dynamic, ttl_ms), WORK, "Append", "ProcessingTime")
+    return ticking(events).groupBy("id").transformWithStateInPandas(_Work(retry_delay_ms(interval_s, least_s), dynamic, ttl_ms), WORK, "Append", "ProcessingTime")
 
 
 class _Leases(StatefulProcessor):
@@ -133,4 +143,4 @@ def leased(events: DataFrame, ttl_ms: int = WEEK_MS) -> DataFrame:
     let go by its timer, without an event of its item; a completed item never opens again
     within `ttl_ms` of the last event, after which it is forgotten.
     """
-    return events.groupBy("item").transformWithStateInPandas(_Leases(ttl_ms), TURN, "Append", "ProcessingTime")
+    return ticking(events).groupBy("item").transformWithStateInPandas(_Leases(ttl_ms), TURN, "Append", "ProcessingTime")
