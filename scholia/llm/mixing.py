@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .util import beside, durable, fraction, n_words, read, running_total
+from .util import apart, beside, durable, fraction, n_words, read, running_total
 
 #: Rows dealt into one bucket of the prefix sums.
 BUCKET_ROWS = 256
@@ -156,6 +156,7 @@ def mix_texts(docs: DataFrame, **options) -> DataFrame:
     reads divided among them, so texts are moved once, by the sort. Nulls, repeated rows and empty
     tables are as in `mix`; all columns of `docs` are kept.
     """
+    names, docs = docs.columns, apart(docs, ("doc_id", "source", "text"))
     plan = durable(mix(docs, whole=True, ordered=False, **options).where(F.size("positions") > 0).select("doc_id", "source", "text_key", "copies", "positions"))
     rows = docs.withColumn("__text_key", F.xxhash64("text"))
 
@@ -173,4 +174,4 @@ def mix_texts(docs: DataFrame, **options) -> DataFrame:
         some = some.unionByName(beside_texts(one, copied))
     some = some.withColumn("__reads", F.col("positions"))
     placed = some.withColumn("__at", F.explode("__reads"))
-    return placed.repartitionByRange("__at", "doc_id").sortWithinPartitions("__at", "doc_id").select(*docs.columns)
+    return placed.repartitionByRange("__at", "doc_id").sortWithinPartitions("__at", "doc_id").select(*docs.columns).toDF(*names)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .util import durable, read
+from .util import apart, durable, read
 
 #: The key of tests and of the registered query; a deployment gives its own.
 KEY = "surrogates"
@@ -390,7 +390,9 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     name are read for names and joined with theirs, by MD5, so copies of a text share them; all
     other texts are rewritten where they lie. Repeated rows stay, an empty table gives no rows.
     """
-    columns = [c for c in docs.columns if c not in ("n_entities", "entity_spans")]
+    names = [c for c in docs.columns if c not in ("n_entities", "entity_spans")]
+    docs = apart(docs.select(*names), ("text",))
+    columns = docs.columns
     titled = F.coalesce(F.regexp_like(F.col("text"), F.lit(NAME_HINT)), F.lit(False))
     text_key = F.md5(F.col("text").cast("binary"))
     pairs = durable(names_of(docs.where(titled).select(text_key.alias("text_key"), "text")))
@@ -424,7 +426,7 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
             arrays = [pa.array(texts, pa.string()) if c == "text" else batch[c] for c in columns]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(counts, pa.int64()), pa.array(spans, pa.string())], [*columns, "n_entities", "entity_spans"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).toDF(*names, "n_entities", "entity_spans")
 
 
 def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,8 @@ def durable(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-        if not named and not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not named and master != "local" and not master.startswith("local["):  # local-cluster has other processes
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="scholia-checkpoint-"))
     return df.checkpoint(eager=True)
@@ -32,6 +33,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def apart(df: DataFrame, used: tuple[str, ...]) -> DataFrame:
+    """The same rows with all columns but `used` under names that no operator uses; `toDF` with the old names brings them back."""
+    return df.toDF(*[c if c in used else f"__extra_{k}" for k, c in enumerate(df.columns)])
+
+
 def n_words(text: Column) -> Column:
     """Number of words, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_JAVA)), F.lit(0)).cast("long")
