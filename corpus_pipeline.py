@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholia.llm import mixing, packing, pii, quality, simhash
-from scholia.llm.util import durable
+from scholia.llm.util import apart, durable
 
 #: Keys of rows up to which they are broadcast (24 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 100_000
+#: Columns that the first two stages read; others may have any name.
+USED = ("doc_id", "text", "lang", "source")
 
 
 def _without(docs: DataFrame, out: DataFrame) -> DataFrame:
@@ -26,7 +28,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     A null or blank text goes; repeated rows have one verdict; an empty table stays empty.
     """
-    return _without(docs, quality.judge(docs).where("not kept"))
+    names, docs = docs.columns, apart(docs, USED)
+    return _without(docs, quality.judge(docs).where("not kept")).toDF(*names)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,6 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Near are texts within 4 bits by their four-word shingles, as in op7 (README: how many pairs at a
     five-word Jaccard of 0.8 that finds). Null and blank texts are one group.
     """
+    names, docs = docs.columns, apart(docs, USED)
     groups = durable(simhash.near_duplicates(docs))
     first = groups.groupBy(F.col("component").alias("__c")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first"), F.count("*").alias("n"))
     rows = groups.join(first.where("n > 1"), F.col("component") == F.col("__c"))
@@ -42,7 +46,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     rows = rows.select("doc_id", "text_key", stays.alias("stays"))
     left = _without(docs, rows.where("not stays"))
     repeated = not rows.where("stays").groupBy("doc_id", "text_key").count().where("count > 1").isEmpty()
-    return left.dropDuplicates(["doc_id", "text"]) if repeated else left
+    return (left.dropDuplicates(["doc_id", "text"]) if repeated else left).toDF(*names)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
