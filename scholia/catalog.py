@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import articles, candidates, cards, contracts, corpus, papers, profile, records, runs, texts
+from .plans import articles, candidates, cards, contracts, corpus, indexed, papers, profile, records, runs, texts
 
-MODULES = [profile, articles, candidates, cards, contracts, corpus, records, papers, runs, texts]
+MODULES = [profile, articles, candidates, cards, contracts, corpus, indexed, records, papers, runs, texts]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
