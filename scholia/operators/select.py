@@ -75,11 +75,11 @@ def round_robin_sample(df: DataFrame, stratum: str, key: Column, total: int) ->
     """Rows in order of sha256(key) within strata, dealt by `round_robin_positions`; adds rank and position."""
     sizes = {r[stratum]: r["n"] for r in df.groupBy(stratum).agg(F.count("*").alias("n")).collect()}
     plan = df.sparkSession.createDataFrame(round_robin_positions(sizes, total) or [("", 0, 0)], f"`{stratum}` string, rank int, position int")
-    ranked = rank_within(df, [stratum], [F.sha2(key, 256)])
+    ranked = rank_within(df, [stratum], [F.sha2(key, 256)]).where(F.col("rank") <= total)  # cut before strata are gathered
     return ranked.join(F.broadcast(plan), [stratum, "rank"])  # `total` rows at most
 
 
-def numbered(df: DataFrame, keys: list[str], bucket: str, order: list[str], out: str) -> DataFrame:
+def numbered(df: DataFrame, keys: list[str], bucket: str, order: list[str | Column], out: str) -> DataFrame:
     """Rows numbered from 1 within keys by (bucket, order), where `bucket` grows with the order.
 
     A key of very many rows is numbered bucket by bucket; only counts of buckets are summed along it.

@@ -150,7 +150,10 @@ def coverage_matrix(s, d):
 def rank_in_stratum(s, d):
     lab = read(s, d, "labels").select("doc_id", "quality")
     rows = docs(s, d).select("doc_id", "lang", "n_chars").join(lab, "doc_id")
-    return select.rank_within(rows, ["lang"], [F.desc("quality"), F.desc("n_chars"), F.col("doc_id")]).select("doc_id", "lang", F.col("rank").cast("long").alias("rank"))
+    # buckets of quality and 64 characters, so that no language is sorted in one task
+    rows = rows.withColumn("bucket", F.floor(-(F.col("quality") * F.lit(float(1 << 32)) + F.col("n_chars")) / 64))
+    order = [F.desc("quality"), F.desc("n_chars"), F.col("doc_id")]
+    return select.numbered(rows, ["lang"], "bucket", order, "rank").select("doc_id", "lang", F.col("rank").cast("long").alias("rank"))
 
 
 def quota_select(s, d):

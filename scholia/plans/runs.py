@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from scholia.functions import patterns as V
 from scholia.functions import text as T
 from scholia.operators import identity, select
+from scholia.operators.components import kept
 from scholia.sources.tables import read
 
 QUERIES: dict = {}
@@ -196,9 +197,11 @@ def _latest(s, d) -> DataFrame:
 
 @query(f"SELECT t.tool, c.c_custkey AS sample, r.run, coalesce(r.status, 'missing') AS status FROM (SELECT DISTINCT tool FROM {RUNS}) t, (SELECT c_custkey FROM customer) c LEFT JOIN {_LATEST} r ON r.tool = t.tool AND r.sample = c.c_custkey")
 def tools_by_papers(s, d):
-    """Every tool with every paper and its latest run; the side of the tools has a handful of rows."""
-    tools = runs(s, d).select("tool").distinct()
-    grid = read(s, d, "customer").select(F.col("c_custkey").alias("sample")).withColumn("tools", F.lit(1)).join(F.broadcast(tools.withColumn("tools", F.lit(1))), "tools").drop("tools")
+    """Every tool with every paper and its latest run; the tools are broadcast if there are few."""
+    tools = kept(runs(s, d).select("tool").distinct())
+    few = tools.withColumn("tools", F.lit(1))
+    few = F.broadcast(few) if tools.count() <= 10_000 else few
+    grid = read(s, d, "customer").select(F.col("c_custkey").alias("sample")).withColumn("tools", F.lit(1)).join(few, "tools").drop("tools")
     return grid.join(_latest(s, d).select("tool", "sample", "run", "status"), ["tool", "sample"], "left").select("tool", "sample", "run", F.coalesce("status", F.lit("missing")).alias("status"))
 
 

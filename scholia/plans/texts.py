@@ -93,7 +93,11 @@ def truncated_dois(s, d):
     e, p = x.select("g", "e").distinct(), x.select("g", "p").distinct()
     missing = e.join(p.withColumnRenamed("p", "e"), ["g", "e"], "left_anti")
     extra = p.join(e.withColumnRenamed("e", "p"), ["g", "p"], "left_anti")
-    return extra.join(missing, "g").where(F.startswith("e", "p") | F.startswith("p", "e")).groupBy("g", F.col("p").alias("predicted")).agg(F.min("e").alias("expected"))
+    starts = lambda c: F.explode(F.transform(F.sequence(F.lit(1), F.length(c)), lambda n: F.substring(c, 1, n)))
+    # each side meets the other at the equal beginning, so groups aren't crossed
+    longer = missing.where(F.length("e") > 0).select("g", "e", starts("e").alias("p")).join(extra, ["g", "p"]).select("g", "p", "e")
+    shorter = extra.where(F.length("p") > 0).select("g", "p", starts("p").alias("e")).join(missing, ["g", "e"]).select("g", "p", "e")
+    return longer.unionByName(shorter).groupBy("g", F.col("p").alias("predicted")).agg(F.min("e").alias("expected"))
 
 
 @query(None)
