@@ -64,11 +64,15 @@ def article_kind(title: Column, kind: Column, headings: Column) -> Column:
 
 def design_features(text: Column, section_types: Column) -> Column:
     """Features whose cues occur as raw substrings, in order; a paper with methods and results and a computational cue is a modelling one; else unclassified."""
-    low = F.lower(text)
-    found = [F.when(any_of(low, cues), F.lit(k)) for k, cues in V.FEATURES.items()]
-    both = F.array_contains(section_types, "methods") & F.array_contains(section_types, "results") & any_of(low, V.FEATURES["finite_element_or_computational"])
-    out = F.array_compact(F.array(*found, F.when(both, F.lit("methods_results_modeling"))))
-    return F.when(F.size(out) == 0, F.array(F.lit("unclassified"))).otherwise(out)
+
+    def named(low: Column) -> Column:
+        found = [F.when(any_of(low, cues), F.lit(k)) for k, cues in V.FEATURES.items()]
+        both = F.array_contains(section_types, "methods") & F.array_contains(section_types, "results") & any_of(low, V.FEATURES["finite_element_or_computational"])
+        return F.array_compact(F.array(*found, F.when(both, F.lit("methods_results_modeling"))))
+
+    # the text is made and lowered once, not for each cue
+    out = T.let(F.lower(text), named)
+    return T.let(out, lambda x: F.when(F.size(x) == 0, F.array(F.lit("unclassified"))).otherwise(x))
 
 
 def exclusion_reasons(title: Column, kind: Column, body_words: Column, abstract_words: Column) -> Column:

@@ -1,6 +1,6 @@
 """Operators with sequential rules, on made-up rows."""
 
-from scholia.operators import fidelity, select
+from scholia.operators import fidelity, papers, select
 from pyspark.sql import functions as F
 
 
@@ -24,3 +24,11 @@ def test_shard_is_the_whole_digest_modulo_n(spark):
 
     got = spark.sql("select 'PMC7' as k").select(select.shard(F.col("k"), 11)).first()[0]
     assert got == int(hashlib.sha256(b"pmc7").hexdigest(), 16) % 11
+
+
+def test_features_lower_a_text_once(spark):
+    rows = spark.createDataFrame([(1, "A Finite Element model", ["methods", "results"]), (2, "nothing", ["methods"]), (3, None, ["other"])], "k int, t string, s array<string>")
+    out = rows.select("k", papers.design_features(F.concat_ws(" ", "t"), F.col("s")).alias("f"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("lower(") == 1
+    got = {r["k"]: r["f"] for r in out.collect()}
+    assert got[1] == ["finite_element_or_computational", "methods_results_modeling"] and got[2] == got[3] == ["unclassified"]
