@@ -25,6 +25,16 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def dealt(df: DataFrame, key: str, rows: int = 4000) -> DataFrame:
+    """The rows by key, so many to a partition, so that a task's share stays as it is however large the table.
+
+    They are counted before, which reads no column of a stored table. A given number of partitions isn't
+    made less afterwards, as Spark does with partitions that are small before their rows are unfolded.
+    """
+    n = df.count()  # one number
+    return df.repartition(max(n // rows + 1, df.sparkSession.sparkContext.defaultParallelism), key)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component: the least node that can be reached over shared values; edges are (node long, value).
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from scholia.functions import text as T
 from scholia.operators import fidelity, markdown
+from scholia.operators.components import dealt
 from scholia.sources.tables import read
 
 QUERIES: dict = {}
@@ -24,9 +25,15 @@ _LOSS = "CASE WHEN doc_id % 4 = 0 THEN substr(text, 1, CAST(floor(length(text) *
 _ID = "'see 10.1000/abc.' || {0} || '. It was 12.' || {0} || ' mm and 3 % [' || {0} || '] (Smith et al., 2019a) '"
 
 
-def _pairs(s, d) -> DataFrame:
+def _pairs(docs: DataFrame) -> DataFrame:
     """A document and what a parser would keep of it: a quarter loses the end, a quarter the last 400 characters."""
-    return read(s, d, "documents").select("doc_id", F.col("text").alias("a"), F.expr(_LOSS).alias("b"))
+    return docs.select("doc_id", F.col("text").alias("a"), F.expr(_LOSS).alias("b"))
+
+
+def _dealt_words(s, d) -> DataFrame:
+    """The words of both sides; documents are dealt before anything is made of them."""
+    docs = dealt(read(s, d, "documents").select("doc_id", "text"), "doc_id")
+    return _pairs(docs).select("doc_id", _words("a").alias("a"), _words("b").alias("b"))
 
 
 _WORDS = "regexp_extract_all(lower({}), '[a-z0-9]+')"
@@ -43,7 +50,7 @@ def _words(c: str):
 
 @query(f"WITH {_SIDES} SELECT doc_id, e AS n_expected, p AS n_actual, common, CASE WHEN e + p = 0 THEN 1.0::DOUBLE ELSE floor(2 * common / (e + p) * 1e6 + 0.5) / 1e6 END AS f1 FROM m")
 def token_f1(s, d):
-    o = fidelity.overlaps(_pairs(s, d).repartition("doc_id").select("doc_id", _words("a").alias("a"), _words("b").alias("b")), "doc_id", "a", "b")
+    o = fidelity.overlaps(_dealt_words(s, d), "doc_id", "a", "b")
     total = F.col("n_expected") + F.col("n_actual")
     return o.select("doc_id", "n_expected", "n_actual", "common", F.when(total == 0, F.lit(1.0)).otherwise(T.scaled(2 * F.col("common"), total, 6)).alias("f1"))
 
@@ -51,7 +58,7 @@ def token_f1(s, d):
 @query(f"WITH {_SIDES} SELECT doc_id, p = 0 OR p / greatest(e, 1) < 0.75 OR (l > 0 AND tail / l < 0.25 AND common / greatest(e, 1) < 0.85) AS truncated FROM m")
 def truncation_flags(s, d):
     """No words, too few of them, or the last forty lost along with more than 15 percent of all."""
-    rows = _pairs(s, d).repartition("doc_id").select("doc_id", _words("a").alias("a"), _words("b").alias("b"))
+    rows = _dealt_words(s, d)
     o = fidelity.overlaps(rows.withColumn("tail", F.slice("a", F.greatest(F.size("a") - 39, F.lit(1)), 40)), "doc_id", "a", "b", "tail")
     e, p = F.greatest("n_expected", F.lit(1)), F.col("n_actual")
     lost = (F.col("n_tail") > 0) & (F.col("common_tail") / F.greatest("n_tail", F.lit(1)) < 0.25) & (F.col("common") / e < 0.85)
@@ -63,7 +70,7 @@ _GRAM = "CASE WHEN length({0}) = 0 THEN [] WHEN length({0}) <= 3 THEN [{0}] ELSE
 
 @query(f"WITH x AS (SELECT item_id, lower(text) AS a, lower(regexp_replace(text, '[aeiou]{{2}}', '', 'g')) AS b FROM benchmark), t AS (SELECT item_id, 0 AS side, unnest({_GRAM.format('a')}) AS g FROM x UNION ALL SELECT item_id, 1, unnest({_GRAM.format('b')}) FROM x), c AS (SELECT item_id, g, count(*) FILTER (side = 0) AS e, count(*) FILTER (side = 1) AS p FROM t GROUP BY item_id, g) SELECT item_id, CAST(sum(e) AS BIGINT) AS n_expected, CAST(sum(p) AS BIGINT) AS n_actual, CAST(sum(least(e, p)) AS BIGINT) AS common FROM c GROUP BY item_id")
 def trigram_f1(s, d):
-    t = read(s, d, "benchmark").repartition("item_id").select("item_id", F.lower("text").alias("a"), F.lower(F.regexp_replace("text", "[aeiou]{2}", "")).alias("b"))
+    t = dealt(read(s, d, "benchmark"), "item_id").select("item_id", F.lower("text").alias("a"), F.lower(F.regexp_replace("text", "[aeiou]{2}", "")).alias("b"))
     return fidelity.overlaps(t.select("item_id", fidelity.ngrams(F.col("a")).alias("a"), fidelity.ngrams(F.col("b")).alias("b")), "item_id", "a", "b")
 
 
@@ -107,7 +114,7 @@ def document_fidelity(s, d):
     none = F.array().cast("array<string>")
     doc = lambda c, more: F.struct(F.col(c).alias("body"), heads(F.col(c)).alias("headings"), more.alias("tables"), none.alias("formulas"), none.alias("captions"))
     lines = lambda c: F.filter(F.split(c, "\n"), lambda x: F.contains(x, F.lit("|")))
-    p = _pairs(s, d)
+    p = _pairs(read(s, d, "documents"))
     return fidelity.scores(p.select("doc_id", doc("a", lines(F.col("a"))).alias("expected"), doc("b", lines(F.col("b"))).alias("actual")), "doc_id")
 
 

@@ -1,6 +1,7 @@
 """Operators with sequential rules, on made-up rows."""
 
 from scholia.operators import fidelity, papers, select
+from scholia.operators.components import dealt
 from pyspark.sql import functions as F
 
 
@@ -32,3 +33,19 @@ def test_features_lower_a_text_once(spark):
     assert out._jdf.queryExecution().optimizedPlan().toString().count("lower(") == 1
     got = {r["k"]: r["f"] for r in out.collect()}
     assert got[1] == ["finite_element_or_computational", "methods_results_modeling"] and got[2] == got[3] == ["unclassified"]
+
+
+def test_a_partition_of_items_has_so_many_rows_however_many_there_are(spark):
+    rows = spark.range(600).select(F.col("id").alias("k"), F.array(F.lit("a"), F.lit("a"), F.lit("b")).alias("e"), F.array(F.lit("a")).alias("a"))
+    out = fidelity.overlaps(dealt(rows, "k", 50), "k", "e", "a")
+    assert out.collect()[0][1:] == (3, 1, 1)
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(k" in plan and ", 13)" in plan
+    assert max(len(x) for x in out.rdd.glom().collect()) < 120
+
+
+def test_documents_are_dealt_by_number(spark, data):
+    from scholia.plans import texts
+
+    for name in ("token_f1", "truncation_flags", "trigram_f1"):
+        assert "REPARTITION_BY_NUM" in texts.QUERIES[name][0](spark, data)._jdf.queryExecution().executedPlan().toString()
