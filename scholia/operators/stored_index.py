@@ -2,7 +2,7 @@
 
 Postings lie in a folder for each bucket of terms, in order of term and document, so a query opens the
 folders of its terms and, in those, the row groups that can hold them. They are dealt to writers by
-ranges of bucket, term and document, so one very common term is written by many.
+bucket, and a large bucket is cut among many, so one very common term is written by many.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scholia.functions import text as T
 from scholia.sinks import publish
 
 from .search import K1, TOKEN, B
@@ -24,6 +25,34 @@ def _bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
+def _posts(found: list[Column], weights: Column) -> Column:
+    """The postings of one row: array of term, length, f and positions, made in the row, since no posting has two.
+
+    The tokens are put in order by term, field and place; each run of a term is a posting.
+    """
+    one = "struct<term string, field int, at int>"
+
+    def placed(k: int):
+        return lambda t, at: F.struct(t.alias("term"), F.lit(k).alias("field"), at.alias("at"))
+
+    tokens = F.concat(*[F.transform(c, placed(k)) for k, c in enumerate(found)]).cast(f"array<{one}>")
+
+    def runs(s: Column) -> Column:
+        n = F.size(s)
+        starts = F.filter(F.transform(s, lambda x, i: F.when((i == 0) | (x["term"] != F.get(s, i - 1)["term"]), i)), lambda i: i.isNotNull())
+
+        def posting(a: Column, b: Column) -> Column:
+            own = F.slice(s, a + 1, b - a)
+            return T.let(own, lambda o: F.struct(
+                F.get(o, 0)["term"].alias("term"), n.cast("long").alias("length"), F.aggregate(o, F.lit(0.0), lambda f, x: f + F.get(weights, x["field"])).alias("f"),
+                F.transform(o, lambda x: F.struct(x["field"].alias("field"), x["at"].alias("at"))).alias("positions"),
+            ))
+
+        return T.let(starts, lambda at: F.transform(at, lambda a, k: posting(a, F.coalesce(F.get(at, k + 1), n))))
+
+    return T.let(F.sort_array(tokens), runs)
+
+
 def build(docs: DataFrame, key: str, fields: dict[str, float], root: str, batch: str, buckets: int = BUCKETS) -> None:
     """Indexes the text columns `fields`, whose hits have the given weights, and publishes the index as a batch.
 
@@ -31,16 +60,14 @@ def build(docs: DataFrame, key: str, fields: dict[str, float], root: str, batch:
     null text has no tokens; `key` is unique; an empty table gives an empty index.
     """
     spark = docs.sparkSession
-    names = list(fields)
-    found = F.array(*[F.regexp_extract_all(F.lower(F.coalesce(F.col(c).cast("string"), F.lit(""))), F.lit(TOKEN), F.lit(0)) for c in names])
-    rows = docs.select(F.col(key).alias("key"), found.alias("found"))
-    rows = rows.withColumn("length", F.aggregate("found", F.lit(0).cast("long"), lambda n, x: n + F.size(x)))
-    each = rows.select("key", "length", F.posexplode("found").alias("field", "tokens")).select("key", "length", "field", F.posexplode("tokens").alias("at", "term"))
-    weight = reduce(lambda a, k: a.when(F.col("field") == k[0], F.lit(k[1])), enumerate(fields.values()), F.when(F.lit(False), F.lit(0.0)))
-    posts = each.groupBy("term", "key", "length").agg(F.sum(weight).alias("f"), F.array_sort(F.collect_list(F.struct("field", "at"))).alias("positions"))
+    low = {c: F.lower(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in fields}
+    weights = F.array(*[F.lit(float(w)) for w in fields.values()])
+    posts = docs.select(F.col(key).alias("key"), F.explode(_posts([F.regexp_extract_all(t, F.lit(TOKEN), F.lit(0)) for t in low.values()], weights)).alias("p")).select("p.term", "key", "p.length", "p.f", "p.positions")
     posts = posts.withColumn("bucket", _bucket(F.col("term"), buckets))
-    ordered = posts.repartitionByRange("bucket", "term", "key").sortWithinPartitions("bucket", "term", "key")
-    stats = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("tokens")).withColumn("buckets", F.lit(buckets))
+    # dealt by bucket, large ones cut and small ones joined as they turn out: nothing is made twice to find the ranges
+    ordered = posts.hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "term", "key")
+    length = sum((F.regexp_count(t, F.lit(TOKEN)).cast("long") for t in low.values()), F.lit(0).cast("long"))
+    stats = docs.select(length.alias("length")).agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("tokens")).withColumn("buckets", F.lit(buckets))
 
     publish.publish(spark, root, batch, {"postings": ordered, "stats": stats}, {"postings": ["bucket"]})
 
