@@ -61,7 +61,7 @@ def at(v: Column, path: str) -> Column:
 
 def kind(v: Column) -> Column:
     """OBJECT, ARRAY, VOID, STRING or another scalar's type; '' for what is missing."""
-    return F.coalesce(F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0), F.lit(""))
+    return F.coalesce(F.substring_index(F.substring_index(F.schema_of_variant(v), "<", 1), "(", 1), F.lit(""))
 
 
 def is_map(v: Column) -> Column:
@@ -130,50 +130,79 @@ def locator_issues(found: Column, known: Column) -> tuple[Column, Column]:
     return wrong, missing
 
 
+#: What a card has beside its reading.
+PARTS = ("section_moves", "study", "argument_map", "evidence_boundary", "quality", "limitations")
+
+
+def card_facts(c: dict[str, Column], policy: Iterable[str] = ()) -> dict[str, Column]:
+    """What several rules ask of a card, as columns, so it is found once for each row and not for each rule."""
+    card = c["card"]
+    own = lambda key: first_text(text(at(card, key)), text(at(card, f"paper.{key}")))
+    kinds = kind(at(card, "writing_capability_candidates"))
+    said = {k: text(at(card, f"reading.{k}")) for k in dict.fromkeys(("access_level", "reader_role", "packet_sha256", *V.READER_PROVENANCE, "reader_model", "reasoning_effort", *policy))}
+    return {
+        "f_has_reading": is_map(at(card, "reading")), "f_own_paper_id": own("paper_id"), "f_own_pmcid": own("pmcid"),
+        "f_own_hash": first_text(*[text(at(card, p + k)) for p in ("", "provenance.", "source.") for k in ("source_record_sha256", "source_hash")]),
+        "f_said": F.struct(*[v.alias(k) for k, v in said.items()]), "f_read_list": at(card, "reading.section_locators_read"), "f_omissions": at(card, "reading.omissions"),
+        **{f"f_{k}": at(card, k) for k in PARTS}, "f_offered": F.when(kinds.isin("", "VOID"), at(card, "capability_candidates")).otherwise(at(card, "writing_capability_candidates")),
+        "f_source_line": F.lower(F.regexp_extract(F.coalesce(c["packet"], F.lit("")), V.PACKET_SOURCE_HASH, 1)),
+    }
+
+
+def row_facts(c: dict[str, Column]) -> dict[str, Column]:
+    """What follows from those."""
+    pmcid = first_text(c["f_own_pmcid"], F.trim(F.coalesce(c["pmcid"], F.lit(""))))
+    return {
+        "f_pmcid": pmcid, "f_there": c["f_has_reading"] & (pmcid != "") & c["packet"].isNotNull(), "f_is_list": is_list(c["f_read_list"]), "f_omissions_kind": kind(c["f_omissions"]),
+        "f_read_texts": F.transform(items(c["f_read_list"]), text), "f_moves_items": items(c["f_section_moves"]), "f_offered_items": items(c["f_offered"]),
+    }
+
+
+def read_facts(c: dict[str, Column]) -> dict[str, Column]:
+    """And what follows from the locators that were read."""
+    declared = F.filter(c["f_read_texts"], lambda x: x != "")
+    return {
+        "f_named": c["f_there"] & (F.size(c["headings"]) > 0), "f_listed": c["f_is_list"] & (F.size(c["f_read_texts"]) > 0), "f_declared": declared,
+        "f_unread": F.array_sort(F.array_except(c["headings"], declared)), "f_extra": F.array_sort(F.array_except(declared, c["headings"])),
+    }
+
+
 def completed_card_rules(c: dict[str, Column], policy: dict[str, str] | None = None, policy_from: int | None = None) -> list[Rule]:
     """The contract of a completed card.
 
     `c` has: card (variant), headings (the packet's locators), selected (boolean), paper_id, pmcid, record_hash, record_path, row_packet_hash
     (text of the selection row), reading_order, record_bytes_hash (null: no such record), packet
-    (text, null: no packet) and packet_bytes_hash. `policy` is what reading.* must be from
+    (text, null: no packet) and packet_bytes_hash, and what `card_facts` and the two after it add. `policy` is what reading.* must be from
     reading_order `policy_from` on.
     """
-    card, reading = c["card"], at(c["card"], "reading")
+    card = c["card"]
     low = lambda x: F.lower(F.trim(F.coalesce(x, F.lit(""))))
     row = lambda name: F.trim(F.coalesce(c[name], F.lit("")))
     sha = lambda x: F.regexp_like(x, F.lit("^[0-9a-fA-F]{64}$"))
-    chosen, has_reading = c["selected"], is_map(reading)
-    own = lambda key: first_text(text(at(card, key)), text(at(card, f"paper.{key}")))
-    own_hash = first_text(*[text(at(card, p + k)) for p in ("", "provenance.", "source.") for k in ("source_record_sha256", "source_hash")])
-    pairs = [("paper_id", row("paper_id"), own("paper_id")), ("pmcid", row("pmcid"), own("pmcid")), ("source_record_sha256", row("record_hash"), own_hash)]
+    chosen, has_reading, packet, headings = c["selected"], c["f_has_reading"], c["packet"], c["headings"]
+    own_hash, pmcid, there, named, declared, unread, extra = (c[f"f_{k}"] for k in ("own_hash", "pmcid", "there", "named", "declared", "unread", "extra"))
+    pairs = [("paper_id", row("paper_id"), c["f_own_paper_id"]), ("pmcid", row("pmcid"), c["f_own_pmcid"]), ("source_record_sha256", row("record_hash"), own_hash)]
     given = row("record_hash")
-    said = lambda key: text(at(card, f"reading.{key}"))
-    declared = F.filter(F.transform(items(at(card, "reading.section_locators_read")), text), lambda x: x != "")
-    read_list, omissions = at(card, "reading.section_locators_read"), at(card, "reading.omissions")
-    pmcid = first_text(own("pmcid"), row("pmcid"))
-    packet = c["packet"]
-    headings = c["headings"]
-    there = has_reading & (pmcid != "") & packet.isNotNull()
-    named = there & (F.size(headings) > 0)
+    said = lambda key: c["f_said"][key]
+    read_list, omissions = c["f_read_list"], c["f_omissions"]
     said_hash, row_hash, real_hash = said("packet_sha256"), row("row_packet_hash"), low(c["packet_bytes_hash"])
-    source_line = F.lower(F.regexp_extract(F.coalesce(packet, F.lit("")), V.PACKET_SOURCE_HASH, 1))
+    source_line = c["f_source_line"]
     record_there = chosen & (row("record_path") != "") & c["record_bytes_hash"].isNotNull()
     agreed = [("selection", F.when(chosen, given).otherwise("")), ("card", own_hash), ("source record", F.when(record_there, low(c["record_bytes_hash"])).otherwise(""))]
-    wrong, missing = locator_issues(F.transform(items(read_list), text), headings)
+    wrong, missing = locator_issues(c["f_read_texts"], headings)
     # locators in any string of the card that reading doesn't list
     values = F.regexp_replace(F.to_json(card), r'"(?:[^"\\]++|\\.)*+"\s*:', "")
     cited = F.array_distinct(F.regexp_extract_all(values, F.lit(V.LOCATOR), F.lit(0)))
     uncited = F.filter(cited, lambda x: ~F.array_contains(declared, x) & ~F.array_contains(headings, x))
-    unread, extra = F.array_sort(F.array_except(headings, declared)), F.array_sort(F.array_except(declared, headings))
-    moves, study, argument, boundary, quality, limits = (at(card, k) for k in ("section_moves", "study", "argument_map", "evidence_boundary", "quality", "limitations"))
+    moves, study, argument, boundary, quality, limits = (c[f"f_{k}"] for k in PARTS)
     place = lambda found: F.transform(found, lambda k: k.cast("string"))
     numbered = lambda values, test: place(F.filter(F.transform(values, lambda x, k: F.when(test(x), k)), lambda k: k.isNotNull()))
     move_at = lambda x: text(at(x, "locator"))
-    offered = F.when(kind(at(card, "writing_capability_candidates")).isin("", "VOID"), at(card, "capability_candidates")).otherwise(at(card, "writing_capability_candidates"))
+    offered = c["f_offered"]
     sure = lambda x: F.lower(text(at(x, "confidence"))).isin(*V.CONFIDENCE)
     supports = lambda x: F.transform(items(at(x, "supporting_locators")), text)
     sound = lambda x: is_map(x) & filled(at(x, "capability")) & sure(x) & (F.size(supports(x)) > 0) & packet.isNotNull() & (packet != "") & ~F.exists(supports(x), lambda s: ~F.array_contains(headings, s))
-    maps, backed = F.filter(items(moves), is_map), F.flatten(F.transform(F.filter(items(offered), is_map), supports))
+    maps, backed = F.filter(c["f_moves_items"], is_map), F.flatten(F.transform(F.filter(c["f_offered_items"], is_map), supports))
     rules = [
         Rule("COMPLETED_ORPHAN", flag(~chosen)),
         Rule("IDENTITY_MISSING", each([(k, (a == "") | (b == "")) for k, a, b in pairs]), when=chosen),
@@ -187,10 +216,10 @@ def completed_card_rules(c: dict[str, Column], policy: dict[str, str] | None = N
         Rule("READING_ACCESS", flag(said("access_level") != "full_text_read"), when=has_reading),
         Rule("READER_METADATA", each([(k, ~filled(at(card, f"reading.{k}"))) for k in V.READER_FIELDS]), when=has_reading),
         Rule("READER_PROVENANCE", each([(k, said(k) != v) for k, v in V.READER_PROVENANCE.items()]), when=has_reading & (F.lower(said("reader_role")) == V.PRIMARY_READER)),
-        Rule("LOCATORS_EMPTY", flag(~listed(read_list)), when=has_reading),
-        Rule("LOCATORS_EMPTY", flag(is_list(read_list) & ~listed(read_list), "of a packet"), when=there),
-        Rule("OMISSIONS_UNDECLARED", flag(kind(omissions).isin("", "VOID")), when=has_reading),
-        Rule("OMISSIONS_TYPE", flag(~kind(omissions).isin("", "VOID", "ARRAY")), when=has_reading),
+        Rule("LOCATORS_EMPTY", flag(~c["f_listed"]), when=has_reading),
+        Rule("LOCATORS_EMPTY", flag(c["f_is_list"] & ~c["f_listed"], "of a packet"), when=there),
+        Rule("OMISSIONS_UNDECLARED", flag(c["f_omissions_kind"].isin("", "VOID")), when=has_reading),
+        Rule("OMISSIONS_TYPE", flag(~c["f_omissions_kind"].isin("", "VOID", "ARRAY")), when=has_reading),
         Rule("OMISSIONS_PRESENT", flag(listed(omissions)), when=has_reading),
         Rule("PACKET_PMCID", flag(pmcid == ""), when=has_reading),
         Rule("PACKET_MISSING", flag((pmcid != "") & packet.isNull()), when=has_reading),
@@ -199,8 +228,8 @@ def completed_card_rules(c: dict[str, Column], policy: dict[str, str] | None = N
         Rule("PACKET_HASH_FORMAT", each([("selection", (row_hash != "") & ~sha(row_hash))]), when=there),
         Rule("PACKET_SOURCE_HASH_MISSING", flag(source_line == ""), when=there),
         Rule("PACKET_SOURCE_HASH_MISMATCH", each([(k, (h != "") & (F.lower(h) != source_line)) for k, h in agreed]), when=there & (source_line != "")),
-        Rule("LOCATOR_FORMAT", wrong, when=there & is_list(read_list)),
-        Rule("LOCATOR_MISSING", F.concat(F.when(is_list(read_list), missing).otherwise(none()), uncited), when=there),
+        Rule("LOCATOR_FORMAT", wrong, when=there & c["f_is_list"]),
+        Rule("LOCATOR_MISSING", F.concat(F.when(c["f_is_list"], missing).otherwise(none()), uncited), when=there),
         Rule("PACKET_LOCATORS", flag(F.size(headings) == 0), when=there),
         Rule("PACKET_LOCATORS_DUPLICATE", repeats(headings), when=named),
         Rule("PACKET_LOCATOR_SEQUENCE", F.array_compact(F.array(sequence_break(headings))), when=named),
@@ -208,7 +237,7 @@ def completed_card_rules(c: dict[str, Column], policy: dict[str, str] | None = N
         Rule("LOCATORS_INCOMPLETE", unread, when=named),
         Rule("LOCATORS_EXTRA", extra, when=named),
         Rule("LOCATORS_ORDER", flag((F.size(unread) == 0) & (F.size(extra) == 0) & (declared != headings)), when=named),
-        Rule("SECTION_MOVES", F.when(~listed(moves), F.array(F.lit(""))).otherwise(F.concat(numbered(items(moves), lambda x: ~is_map(x)), numbered(items(moves), lambda x: is_map(x) & ~filled(at(x, "transferable_principle"))))), when=has_reading),
+        Rule("SECTION_MOVES", F.when((F.size(c["f_moves_items"]) == 0), F.array(F.lit(""))).otherwise(F.concat(numbered(c["f_moves_items"], lambda x: ~is_map(x)), numbered(c["f_moves_items"], lambda x: is_map(x) & ~filled(at(x, "transferable_principle"))))), when=has_reading),
         Rule("LOCATOR_FORMAT", F.filter(F.transform(maps, move_at), lambda x: ~F.regexp_like(x, F.lit(r"^S\d{3}:C\d{2}$"))), when=has_reading),
         Rule("LOCATOR_MISSING", locator_issues(F.transform(maps, move_at), headings)[1], when=has_reading),
         Rule("LIMITATIONS", flag(~is_map(limits) | ~filled(at(card, "limitations.scope_boundary"))), when=has_reading),
@@ -217,11 +246,11 @@ def completed_card_rules(c: dict[str, Column], policy: dict[str, str] | None = N
         Rule("EVIDENCE_BOUNDARY", F.when(~is_map(boundary), F.array(F.lit(""))).otherwise(each([(k, ~is_list(at(card, f"evidence_boundary.{k}"))) for k in V.BOUNDARY] + [("any", ~F.greatest(*[filled(at(card, f"evidence_boundary.{k}")).cast("int") for k in V.BOUNDARY]).cast("boolean"))])), when=has_reading),
         Rule("QUALITY_FIELDS", F.when(~is_map(quality), F.array(F.lit(""))).otherwise(each([(k, ~filled(at(card, f"quality.{k}"))) for k in V.QUALITY_FIELDS])), when=has_reading),
         Rule("SUMMARY_FIELDS", flag(~(filled(at(card, "summary_zh")) | filled(at(card, "summary")) | filled(at(card, "summary_en")))), when=has_reading),
-        Rule("CAPABILITY_CANDIDATE", F.when(~listed(offered), F.array(F.lit(""))).otherwise(F.concat(numbered(items(offered), lambda x: ~is_map(x) | ~filled(at(x, "capability"))), flag(~F.exists(items(offered), sound), "none sound"))), when=has_reading),
-        Rule("CAPABILITY_CONFIDENCE", numbered(items(offered), lambda x: is_map(x) & ~sure(x)), when=has_reading),
+        Rule("CAPABILITY_CANDIDATE", F.when((F.size(c["f_offered_items"]) == 0), F.array(F.lit(""))).otherwise(F.concat(numbered(c["f_offered_items"], lambda x: ~is_map(x) | ~filled(at(x, "capability"))), flag(~F.exists(c["f_offered_items"], sound), "none sound"))), when=has_reading),
+        Rule("CAPABILITY_CONFIDENCE", numbered(c["f_offered_items"], lambda x: is_map(x) & ~sure(x)), when=has_reading),
         Rule("LOCATOR_FORMAT", locator_issues(backed, headings)[0], when=there & (packet != "")),
         Rule("LOCATOR_MISSING", locator_issues(backed, headings)[1], when=there & (packet != "")),
-        Rule("CAPABILITY_LOCATORS", numbered(items(offered), lambda x: is_map(x) & ~listed(at(x, "supporting_locators"))), when=has_reading),
+        Rule("CAPABILITY_LOCATORS", numbered(c["f_offered_items"], lambda x: is_map(x) & ~listed(at(x, "supporting_locators"))), when=has_reading),
     ]
     if policy and policy_from:
         late = has_reading & chosen & (c["reading_order"] >= policy_from)
@@ -235,6 +264,10 @@ def card_issues(df: DataFrame, key: str, policy: dict[str, str] | None = None, p
     One scan and no shuffle. A card that is no JSON object is left to the reader of cards: no issues.
     """
     known = df.withColumn("card", F.try_parse_json("card")).withColumn("headings", packet_locators(F.coalesce("packet", F.lit(""))))
-    c = {name: F.col(name) for name in known.columns}
+    c = {name: F.col(name) for name in df.columns} | {"headings": F.col("headings")}
+    for facts in (lambda c: card_facts(c, policy or ()), row_facts, read_facts):
+        more = facts(c)
+        known = known.withColumns(more)
+        c |= {name: F.col(name) for name in more}
     found = F.when(is_map(F.col("card")), issues(completed_card_rules(c, policy, policy_from)))
     return known.select(key, F.explode(found).alias("issue")).select(key, "issue.*")
