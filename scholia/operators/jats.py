@@ -105,7 +105,10 @@ def _typed(found: Column) -> Column:
 
     def step(s: Column, x: Column) -> Column:
         above = F.when(x["parent"] > 0, F.element_at(s["types"], F.greatest(x["parent"], F.lit(1)))).otherwise("")
-        kind = F.when(above == "references", above).when((x["own"] == "other") & ~above.isin("", "other"), above).otherwise(x["own"])
+        kind = T.let(above, lambda a: F.when(a == "references", a).when((x["own"] == "other") & ~a.isin("", "other"), a).otherwise(x["own"]))
+        return T.let(kind, lambda kind: added(s, x, kind))
+
+    def added(s: Column, x: Column, kind: Column) -> Column:
         keep = (kind != "references") & (x["text"] != "")
         heading = F.when(x["heading"] == "", F.concat(F.lit("Untitled section "), s["n"].cast("string"))).otherwise(x["heading"])
         row = F.struct(s["n"].alias("ordinal"), x["depth"].alias("depth"), heading.alias("heading"), kind.alias("section_type"), x["text"].alias("text"), T.word_count(x["text"]).alias("words"))

@@ -36,11 +36,17 @@ def section_type(heading: Column, sec_type: Column) -> Column:
     """Type of a section: an explicit type first, else the first listed name that the heading is or begins with."""
     name = F.regexp_replace(F.btrim(F.lower(T.compact(F.coalesce(heading, F.lit("")))), F.lit(" .:")), r"^\d+(?:\.\d+)*\.?\s*", "")
     given = F.lower(F.coalesce(sec_type, F.lit("")))
-    out = F.when(given.isin("intro", "introduction"), "introduction").when(given.isin("methods", "materials|methods", "method"), "methods")
-    out = out.when(given == "conclusions", "conclusion").when(given.isin("results", "discussion", "conclusion"), given).when(given.isin("references", "ref-list"), "references")
-    for key, kind in V.SECTION_TYPES.items():
-        out = out.when((name == key) | F.startswith(name, F.lit(key + " ")), kind)
-    return out.otherwise("other")
+
+    def named(x: Column) -> Column:
+        name, given = x["name"], x["given"]
+        out = F.when(given.isin("intro", "introduction"), "introduction").when(given.isin("methods", "materials|methods", "method"), "methods")
+        out = out.when(given == "conclusions", "conclusion").when(given.isin("results", "discussion", "conclusion"), given).when(given.isin("references", "ref-list"), "references")
+        for key, kind in V.SECTION_TYPES.items():
+            out = out.when((name == key) | F.startswith(name, F.lit(key + " ")), kind)
+        return out.otherwise("other")
+
+    # the heading is brought to its form once, not for each name
+    return T.let(F.struct(name.alias("name"), given.alias("given")), named)
 
 
 def _matches(pattern: str):

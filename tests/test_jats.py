@@ -82,3 +82,11 @@ def test_trees_of_any_depth_equal_a_recursive_walk(spark):
         got = [(s["ordinal"], s["depth"], s["heading"], s["section_type"], s["text"]) for s in row["sections"]]
         assert got == walk(ET.fromstring(xml).find("body"))
     assert max(s["depth"] for row in parsed(spark, texts) for s in row["sections"]) > 5
+
+
+def test_a_heading_is_brought_to_its_form_once(spark):
+    from scholia.operators.papers import section_type
+
+    rows = spark.createDataFrame([("2. Materials and methods.", ""), ("Overview", "Intro"), (None, None)], "h string, g string").select(section_type(F.col("h"), F.col("g")).alias("t"))
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("btrim(") + rows._jdf.queryExecution().optimizedPlan().toString().count("trim(BOTH") <= 3
+    assert [r["t"] for r in rows.collect()] == ["methods", "introduction", "other"]
