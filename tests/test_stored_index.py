@@ -43,3 +43,13 @@ def test_readers_keep_their_batch(spark, tmp_path):
     build(spark.createDataFrame([(9, "bone", "")], "id long, head string, body string"), "id", {"head": 2.0, "body": 1.0}, str(tmp_path / "i"), "1", 8)
     assert [r["key"] for r in index.search(["bone"]).collect()] == [1]
     assert [r["key"] for r in Index(spark, str(tmp_path / "i")).search(["bone"]).collect()] == [9]
+
+
+def test_postings_are_made_in_their_row(spark, tmp_path, monkeypatch):
+    from scholia.operators import stored_index
+
+    made_of = {}
+    monkeypatch.setattr(stored_index.publish, "publish", lambda s, root, batch, tables, parts: made_of.update(tables))
+    build(spark.createDataFrame(ROWS, "id long, head string, body string"), "id", {"head": 2.0, "body": 1.0}, str(tmp_path / "i"), "0", 8)
+    plan = made_of["postings"]._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "rangepartitioning" not in plan and plan.count("Exchange") == 1
