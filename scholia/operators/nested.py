@@ -1,4 +1,4 @@
-"""Nested records as rows of paths: flattened through Variant, merged and checked by joins on paths, rebuilt.
+"""Nested records as rows of paths: flattened through Variant, merged in the order of paths, checked, rebuilt.
 
 A path is an array of steps, `.key` into an object and `[k]` into a list. Leaves are scalars, empty
 containers and, where lists are taken whole, lists.
@@ -6,7 +6,7 @@ containers and, where lists are taken whole, lists.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scholia.functions import patterns as V
@@ -15,15 +15,15 @@ EMPTY = "{}"
 
 
 def depth(json: Column) -> Column:
-    """How deep containers are nested in JSON text."""
-    bare = F.regexp_replace(F.regexp_replace(json, r'"(?:[^"\\]++|\\.)*+"', ""), r"[^\[\]{}]", "")
-    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+    """How deep containers are nested in JSON text: how often its innermost brackets can be taken away."""
+    bare = F.translate(F.regexp_replace(json, r'(?:[^\[\]{}"]++|"(?:[^"\\]++|\\.)*+")++|"', ""), "[]", "{}")
 
-    def step(s: Column, c: Column) -> Column:
-        now = s["now"] + F.when(c.isin("{", "["), 1).when(c.isin("}", "]"), -1).otherwise(0)
-        return F.struct(now.alias("now"), F.greatest(s["most"], now).alias("most"))
+    def levels(text: Column) -> Column:
+        start = F.struct(text.alias("left"), F.lit(0).alias("n"))
+        step = lambda s, _: F.struct(F.replace(s["left"], F.lit("{}"), F.lit("")).alias("left"), (s["n"] + F.contains(s["left"], F.lit("{}")).cast("int")).alias("n"))
+        return F.aggregate(F.sequence(F.lit(0), F.floor(F.length(text) / 2).cast("int")), start, step)["n"]
 
-    return F.aggregate(F.split(bare, ""), start, step)["most"]
+    return F.transform(F.array(bare), levels)[0]
 
 
 def leaves(df: DataFrame, json: str, lists: bool = True) -> DataFrame:
@@ -36,11 +36,15 @@ def leaves(df: DataFrame, json: str, lists: bool = True) -> DataFrame:
     others = [c for c in df.columns if c != json]
     most = df.select(F.max(depth(F.col(json)))).first()[0] or 0  # one number
     rows = df.select(*others, F.array().cast("array<string>").alias("path"), F.try_parse_json(json).alias("v")).where("v is not null")
-    opened = "v" if lists else "CASE WHEN startswith(schema_of_variant(v), 'OBJECT') THEN v END"
     kept = "".join(f"`{c}`, " for c in others)
+    if lists:
+        step = "CASE WHEN key IS NOT NULL THEN concat(path, array('.' || key)) WHEN pos IS NOT NULL THEN concat(path, array('[' || pos || ']')) ELSE path END AS path, CASE WHEN pos IS NOT NULL THEN value ELSE v END AS v"
+        opened = "variant_explode_outer(v)"
+    else:
+        step = "CASE WHEN key IS NOT NULL THEN concat(path, array('.' || key)) ELSE path END AS path, CASE WHEN key IS NOT NULL THEN value ELSE v END AS v"
+        opened = "explode_outer(try_variant_get(v, '$', 'map<string, variant>')) AS o(key, value)"  # null if it's no object
     for _ in range(most):
-        step = "CASE WHEN key IS NOT NULL THEN concat(path, array('.' || key)) WHEN pos IS NOT NULL THEN concat(path, array('[' || pos || ']')) ELSE path END AS path"
-        rows = df.sparkSession.sql(f"SELECT {kept}{step}, CASE WHEN pos IS NOT NULL THEN value ELSE v END AS v FROM {{rows}}, LATERAL variant_explode_outer({opened})", rows=rows)
+        rows = df.sparkSession.sql(f"SELECT {kept}{step} FROM {{rows}}, LATERAL {opened}", rows=rows)
     return rows.select(*others, "path", F.to_json("v").alias("value"))
 
 
@@ -55,21 +59,29 @@ def _prefixes(path: Column, whole: bool) -> Column:
     return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda k: F.slice(path, 1, k))).otherwise(F.array().cast("array<array<string>>"))
 
 
+def _begins(short: Column, path: Column) -> Column:
+    """Whether a path leads to or through the other."""
+    return (F.size(short) <= F.size(path)) & (F.slice(path, 1, F.size(short)) == short)
+
+
 def merged(base: DataFrame, overlay: DataFrame, key: str) -> DataFrame:
-    """Leaves (key, path, value) of `base` under those of `overlay`, both from `leaves` with whole lists.
+    """Leaves (key, path, value) of `base` under those of `overlay`, both from `leaves` with whole lists, one record a key.
 
     The overlay wins; where both have objects they are merged, anything else, lists too, is
-    replaced. All joins are on key and path. An empty object of the overlay replaces a scalar or a
-    list, but leaves an object as it is.
+    replaced. An empty object of the overlay replaces a scalar or a list, but leaves an object as it is.
+
+    No leaf of a record leads through another, and paths that begin alike stand together in their order.
+    So of the overlay's leaves only the last one up to a leaf can lead to it, and of all leaves only
+    the next can lie below it: one shuffle by key and one sort tell which leaves go.
     """
-    b, o = base.select(key, "path", "value"), overlay.select(key, F.col("path").alias("at"), F.col("value").alias("new"))
-    over = b.select(key, "path", F.explode(_prefixes(F.col("path"), True)).alias("at"))
-    replaced = over.join(o, [key, "at"]).where((F.col("new") != EMPTY) | (F.col("at") == F.col("path"))).select(key, "path")
-    entered = o.select(key, F.explode(_prefixes(F.col("at"), False)).alias("path")).join(b, [key, "path"], "left_semi").select(key, "path")
-    stays = b.join(replaced.unionByName(entered).distinct(), [key, "path"], "left_anti")
-    filled = over.where(F.col("at") != F.col("path")).select(key, "at").distinct().withColumn("new", F.lit(EMPTY))
-    wins = o.join(filled, [key, "at", "new"], "left_anti")
-    return stays.unionByName(wins.select(key, F.col("at").alias("path"), F.col("new").alias("value")))
+    both = base.select(key, "path", "value", F.lit(1).alias("leaf_side")).unionByName(overlay.select(key, "path", "value", F.lit(0).alias("leaf_side")))
+    order = Window.partitionBy(key).orderBy("path", "leaf_side")
+    over = F.last(F.when(F.col("leaf_side") == 0, F.struct("path", "value")), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    path, o = F.col("path"), F.col("leaf_over")
+    below = F.coalesce((F.size("leaf_next") > F.size(path)) & _begins(path, F.col("leaf_next")), F.lit(False))
+    replaced = F.coalesce(_begins(o["path"], path) & ((o["value"] != EMPTY) | (F.size(o["path"]) == F.size(path))), F.lit(False))
+    goes = F.when(F.col("leaf_side") == 0, below & (F.col("value") == EMPTY)).otherwise(below | replaced)
+    return both.withColumns({"leaf_over": over, "leaf_next": F.lead("path").over(order)}).where(~goes).select(key, "path", "value")
 
 
 def rebuilt(rows: DataFrame, key: str) -> DataFrame:
@@ -77,7 +89,8 @@ def rebuilt(rows: DataFrame, key: str) -> DataFrame:
 
     A record's leaves are put in order by path; each opens and closes what lies between it and the one before.
     """
-    ordered = F.array_sort(F.collect_list(F.struct("path", "value")))
+    order = Window.partitionBy(key).orderBy("path")
+    path, before, shared = F.col("path"), F.col("leaf_before"), F.col("leaf_shared")
 
     def name(step: Column) -> Column:
         bare = F.substr(step, F.lit(2))
@@ -85,20 +98,16 @@ def rebuilt(rows: DataFrame, key: str) -> DataFrame:
             bare = F.replace(bare, F.lit(a), F.lit(b))
         return F.concat(F.lit('"'), bare, F.lit('":'))
 
-    def common(a: Column, b: Column) -> Column:
-        shorter = F.least(F.size(a), F.size(b))
-        return F.when(shorter > 0, F.size(F.filter(F.sequence(F.lit(1), F.greatest(shorter, F.lit(1))), lambda k: F.slice(a, 1, k) == F.slice(b, 1, k)))).otherwise(0)
-
-    def part(leaf: Column, k: Column) -> Column:
-        before = F.when(k > 0, F.get(F.col("leaves"), k - 1)["path"])
-        shared = F.when(k > 0, common(before, leaf["path"])).otherwise(0)
-        closed = F.when(k > 0, F.concat(F.repeat(F.lit("}"), F.size(before) - shared - 1), F.lit(","))).otherwise("")
-        opened = F.array_join(F.transform(F.slice(leaf["path"], shared + 1, F.size(leaf["path"]) - shared), name), "{")
-        return F.concat(closed, opened, leaf["value"])
-
-    text = F.concat(F.lit("{"), F.array_join(F.transform("leaves", part), ""), F.repeat(F.lit("}"), F.size(F.element_at("leaves", -1)["path"])))
-    whole = F.when(F.size(F.element_at("leaves", 1)["path"]) == 0, F.element_at("leaves", 1)["value"]).otherwise(text)
-    return rows.groupBy(key).agg(ordered.alias("leaves")).select(key, whole.alias("json"))
+    # where two paths of a record part: neither leads through the other
+    parts = F.array_position(F.zip_with(before, path, lambda a, b: a.eqNullSafe(b)), False)
+    placed = rows.select(key, "path", "value", F.lag("path").over(order).alias("leaf_before"), F.row_number().over(order).alias("leaf_no"))
+    placed = placed.withColumn("leaf_shared", F.when(before.isNull(), 0).otherwise(parts - 1).cast("int"))
+    closed = F.when(before.isNotNull(), F.concat(F.repeat(F.lit("}"), F.size(before) - shared - 1), F.lit(","))).otherwise("")
+    opened = F.array_join(F.transform(F.slice(path, shared + 1, F.size(path) - shared), name), "{")
+    pieces = placed.select(key, "leaf_no", F.size(path).alias("leaf_deep"), F.concat(closed, opened, F.col("value")).alias("leaf_piece"))
+    whole = pieces.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("leaf_no", "leaf_piece"))).alias("leaves"), F.max_by("leaf_deep", "leaf_no").alias("leaf_deep"))
+    text = F.array_join(F.col("leaves")["leaf_piece"], "")
+    return whole.select(key, F.when(F.col("leaf_deep") == 0, text).otherwise(F.concat(F.lit("{"), text, F.repeat(F.lit("}"), F.col("leaf_deep")))).alias("json"))
 
 
 def protected_paths(rows: DataFrame, key: str) -> DataFrame:
@@ -126,22 +135,32 @@ def locators(rows: DataFrame) -> DataFrame:
 
 
 def assembled(cards: DataFrame, key: str) -> DataFrame:
-    """key, issue and patch for merged cards: `card` JSON beside selection and packet columns.
+    """key, card, issue and patch for merged cards: `card` JSON beside selection and packet columns.
 
     Columns read: card, expected_pmcid, paper_id, record_hash, selection_reason, primary_stratum,
     reading_order, packet_sha256, locators (array), read_at, role, model, effort. `issue` names
     the first identity that disagrees, null if none; `patch` is the JSON that `merged` puts over the
-    card: identity, selection and source where it has none, and the completed reading.
+    card: identity, selection and source where it has none, and the completed reading. A card is parsed
+    once, unless a filter on the result makes Spark do it for the filter as well.
     """
-    text = lambda path: F.coalesce(F.trim(F.expr(f"try_variant_get(parse_json(card), '$.{path}', 'string')")), F.lit(""))
     first = lambda *found: F.coalesce(*[F.nullif(f, F.lit("")) for f in found], F.lit(""))
     slim = lambda c: F.lower(F.regexp_replace(c, "[^A-Za-z0-9]+", ""))
     low = lambda c: F.lower(F.trim(F.coalesce(c, F.lit(""))))
     c = F.col
-    own_pmcid = first(text("pmcid"), text("paper.pmcid"), F.when(F.lower(text("card_id")).startswith("semantic:"), F.trim(F.regexp_extract(text("card_id"), r"(?s)^[^:]*:(.*)$", 1))), c("expected_pmcid"))
-    own_paper, own_card = first(text("paper_id"), text("paper.paper_id")), text("card_id")
+    hashes = [p + h for p in ("", "source.", "provenance.") for h in ("source_record_sha256", "source_hash")]
+    said = F.struct(*[
+        F.coalesce(F.trim(F.expr(f"try_variant_get(f_card, '$.{path}', 'string')")), F.lit("")).alias(path.replace(".", "_"))
+        for path in ("pmcid", "paper.pmcid", "card_id", "paper_id", "paper.paper_id", *hashes)
+    ])
+    has = F.struct(*[F.expr(f"variant_get(f_card, '$.{k}') IS NOT NULL").alias(k) for k in ("selection", "source", "schema_version")])
+    text = lambda path: c("f_said")[path.replace(".", "_")]
+    facts = cards.withColumn("f_card", F.parse_json("card")).withColumns({"f_said": said, "f_has": has}).drop("f_card")
+    facts = facts.withColumns({
+        "f_pmcid": first(text("pmcid"), text("paper.pmcid"), F.when(F.lower(text("card_id")).startswith("semantic:"), F.trim(F.regexp_extract(text("card_id"), r"(?s)^[^:]*:(.*)$", 1))), c("expected_pmcid")),
+        "f_paper": first(text("paper_id"), text("paper.paper_id")), "f_hash": first(*[text(h) for h in hashes]),
+    })
+    own_pmcid, own_paper, own_card, own_hash = c("f_pmcid"), c("f_paper"), text("card_id"), c("f_hash")
     wanted_card, given_paper = F.concat(F.lit("semantic:"), c("expected_pmcid")), F.coalesce(F.trim("paper_id"), F.lit(""))
-    own_hash = first(*[text(p + h) for p in ("", "source.", "provenance.") for h in ("source_record_sha256", "source_hash")])
     given_hash = F.coalesce(F.trim("record_hash"), F.lit(""))
     issue = (
         F.when(slim(own_pmcid) != slim(c("expected_pmcid")), "pmcid_mismatch")
@@ -149,8 +168,7 @@ def assembled(cards: DataFrame, key: str) -> DataFrame:
         .when((own_card != "") & (low(own_card) != low(wanted_card)), "card_id_mismatch")
         .when((own_hash != "") & (given_hash != "") & (F.lower(own_hash) != F.lower(given_hash)), "source_record_sha256_mismatch")
     )
-    has = lambda k: F.expr(f"variant_get(parse_json(card), '$.{k}') IS NOT NULL")
-    absent = lambda k, value: F.when(~has(k), value)
+    absent = lambda k, value: F.when(~c("f_has")[k], value)
     reading = F.struct(
         F.lit("completed").alias("status"), F.lit("full_text_read").alias("access_level"), c("role").alias("reader_role"), c("model").alias("reader_model"), c("effort").alias("reasoning_effort"),
         c("read_at"), c("packet_sha256"), c("locators").alias("section_locators_read"), F.array().cast("array<string>").alias("omissions"), F.lit("self_reviewed").alias("adjudication_status"),
@@ -161,5 +179,5 @@ def assembled(cards: DataFrame, key: str) -> DataFrame:
         absent("selection", F.struct("selection_reason", "primary_stratum", "reading_order")).alias("selection"),
         absent("source", F.struct(c("record_hash").alias("source_record_sha256"))).alias("source"), reading.alias("reading"), absent("schema_version", F.lit("1.0")).alias("schema_version"),
     )
-    return cards.select(key, issue.alias("issue"), F.to_json(patch).alias("patch"))
+    return facts.select(key, "card", issue.alias("issue"), F.to_json(patch).alias("patch"))
 

@@ -128,9 +128,8 @@ def card_issues(s, d):
 @query(f"{_ASSEMBLY}, a AS (SELECT doc_id, {_PATCH} AS j FROM i WHERE issue IS NULL), l AS ({_TREE.format('a', 'j')}) SELECT doc_id, path, value FROM l WHERE NOT (path = 'status' AND lower(value) = '\"blank\"')")
 def card_assembly(s, d):
     """Leaves of assembled cards: overlay, identity, selection, source and the completed reading; a blank status goes."""
-    chosen = _selected(s, d)
-    patches = kept(nested.assembled(chosen, "doc_id").where("issue IS NULL").drop("issue"))
-    base = nested.leaves(chosen.select("doc_id", "card").join(patches.select("doc_id"), "doc_id", "left_semi"), "card", False)
-    done = kept(nested.rebuilt(nested.merged(base, nested.leaves(patches, "patch", False), "doc_id"), "doc_id"))
+    sound = kept(nested.assembled(_selected(s, d), "doc_id")).where("issue IS NULL")  # kept first, so the filter doesn't parse cards again
+    base, patches = (nested.leaves(sound.select("doc_id", column), column, False) for column in ("card", "patch"))
+    done = kept(nested.rebuilt(nested.merged(base, patches, "doc_id"), "doc_id"))
     rows = nested.leaves(done, "json").select("doc_id", nested.named(F.col("path")).alias("path"), "value")
     return rows.where("NOT (path = 'status' AND lower(value) = '\"blank\"')")

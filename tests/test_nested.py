@@ -100,3 +100,40 @@ def test_assembly_names_the_first_identity_that_disagrees(spark):
     assert [got[k][0] for k in range(7)] == [None, "pmcid_mismatch", "paper_id_mismatch", "pmcid_mismatch", "card_id_mismatch", "source_record_sha256_mismatch", None]
     assert got[0][1]["pmcid"] == "PMC-7" and got[0][1]["card_id"] == "semantic:PMC7" and got[0][1]["source"] == {"source_record_sha256": "aa"} and got[0][1]["selection"]["reading_order"] == 1
     assert "selection" not in got[6][1] and "schema_version" not in got[6][1] and got[6][1]["source_record_sha256"] == "AA" and got[6][1]["reading"]["omissions"] == []
+
+
+def test_merge_of_keys_that_begin_alike(spark):
+    rng = random.Random(12)
+    keys = ["a", "a.", "a!", "", "A", "é", "😀", "ab", "[0]"]
+
+    def tree(depth):
+        return {k: tree(depth + 1) if depth < 3 and rng.random() < 0.6 else rng.choice([1, [], [{"a": 1}], "x"]) for k in rng.sample(keys, rng.randrange(4))}
+
+    pairs = [(tree(0), tree(0)) for _ in range(300)]
+    base, over = (nested.leaves(frame(spark, [p[i] for p in pairs]), "json", lists=False) for i in (0, 1))
+    got = {r["k"]: json.loads(r["json"]) for r in nested.rebuilt(nested.merged(base, over, "k"), "k").collect()}
+    assert got == {k: deep(*p) for k, p in enumerate(pairs)}
+
+
+def test_merge_reads_leaves_once_and_shuffles_them_by_key(spark):
+    base, over = (nested.leaves(frame(spark, [{"a": {"b": 1}}, {}]), "json", lists=False) for _ in range(2))
+    plan = nested.rebuilt(nested.merged(base, over, "k"), "k")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(k") == 1 and "Join" not in plan
+    assert plan.count("Exchange RoundRobin") == 2  # that of frame(), one for each side
+
+
+def test_depth_equals_recursion(spark):
+    def levels(value):
+        return 1 + max(map(levels, value.values() if isinstance(value, dict) else value), default=0) if isinstance(value, dict | list) else 0
+
+    rng = random.Random(5)
+    records = [record(rng) for _ in range(200)] + [[[[[]]], {"a": "]}"}], "{[", 'q"\\{', 3, None, {"{": [{'"[': {}}]}]
+    df = frame(spark, records)
+    assert {r["k"]: r["n"] for r in df.select("k", nested.depth(F.col("json")).alias("n")).collect()} == {k: levels(r) for k, r in enumerate(records)}
+
+
+def test_assembly_parses_a_card_once(spark):
+    cols = "k int, card string, expected_pmcid string, paper_id string, record_hash string, selection_reason string, primary_stratum string, reading_order int, packet_sha256 string, locators array<string>, read_at string, role string, model string, effort string"
+    df = spark.createDataFrame([], cols)
+    plan = nested.assembled(df, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parse_json(") + plan.count("parseJson(") == 1
