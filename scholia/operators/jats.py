@@ -69,30 +69,26 @@ def front(parsed: Column) -> list[Column]:
     ]
 
 
-def _owners(marks: Column) -> Column:
-    """For the text behind each mark the number of its section, and of each section its depth and parent.
+def _places(marks: Column) -> Column:
+    """For the text behind each mark the number of its section, and for the mark of a section its parent and depth.
 
     A stack of open sections goes along; lists of references, and sections in them, are 0.
     """
-    state = "struct<stack array<int>, n int, owners array<int>, parents array<int>, depths array<int>>"
-    start = F.from_json(F.lit('{"stack": [], "n": 0, "owners": [], "parents": [], "depths": []}'), state)
-    none = F.array().cast("array<int>")
+    start = F.from_json(F.lit('{"stack": [], "n": 0, "places": ""}'), "struct<stack array<int>, n int, places string>")
     top = lambda stack: F.when(F.size(stack) > 0, F.element_at(stack, -1)).otherwise(-1)
 
     def step(s: Column, mark: Column) -> Column:
         closing = F.startswith(mark, F.lit("</"))
-        inside = F.array_contains(s["stack"], 0)
-        section = ~closing & F.startswith(mark, F.lit("<sec")) & ~inside
+        section = ~closing & F.startswith(mark, F.lit("<sec")) & ~F.array_contains(s["stack"], 0)
         number = F.when(section, s["n"] + 1).otherwise(0)
         stack = F.when(closing, F.slice(s["stack"], 1, F.greatest(F.size(s["stack"]) - 1, F.lit(0)))).otherwise(F.concat(s["stack"], F.array(number)))
-        return F.struct(
-            stack.alias("stack"), F.when(section, s["n"] + 1).otherwise(s["n"]).alias("n"),
-            F.concat(s["owners"], F.array(F.when(closing, top(stack)).otherwise(number))).alias("owners"),
-            F.concat(s["parents"], F.when(section, F.array(top(s["stack"]))).otherwise(none)).alias("parents"),
-            F.concat(s["depths"], F.when(section, F.array(F.size(stack))).otherwise(none)).alias("depths"),
-        ).cast(state)
+        place = F.when(section, F.concat_ws(" ", number, top(s["stack"]), F.size(s["stack"]) + 1)).otherwise(F.when(closing, top(stack)).otherwise(number).cast("string"))
+        return F.struct(stack.alias("stack"), F.when(section, s["n"] + 1).otherwise(s["n"]).alias("n"), F.concat(s["places"], place, F.lit(",")).alias("places"))
 
-    return F.aggregate(marks, start, step)
+    # the state is copied at each step, as one string far faster than as an array
+    found = F.transform(F.split(F.rtrim(F.aggregate(marks, start, step)["places"], F.lit(",")), ","), lambda p: F.split(p, " "))
+    number = lambda p, k: F.get(p, F.lit(k)).try_cast("int")
+    return F.transform(found, lambda p: F.struct(number(p, 0).alias("owner"), number(p, 1).alias("parent"), number(p, 2).alias("depth")))
 
 
 def _typed(found: Column) -> Column:
@@ -100,24 +96,19 @@ def _typed(found: Column) -> Column:
 
     A section of type other has the type of the one above it, if that has one.
     """
-    state = f"struct<types array<string>, n int, kept {SECTIONS}>"
-    start = F.from_json(F.lit('{"types": [], "n": 1, "kept": []}'), state)
 
-    def step(s: Column, x: Column) -> Column:
-        above = F.when(x["parent"] > 0, F.element_at(s["types"], F.greatest(x["parent"], F.lit(1)))).otherwise("")
-        kind = T.let(above, lambda a: F.when(a == "references", a).when((x["own"] == "other") & ~a.isin("", "other"), a).otherwise(x["own"]))
-        return T.let(kind, lambda kind: added(s, x, kind))
+    def kind(types: Column, x: Column) -> Column:
+        above = F.when(x["parent"] > 0, F.element_at(types, F.greatest(x["parent"], F.lit(1)))).otherwise("")
+        return T.let(above, lambda a: F.when(a == "references", a).when((x["own"] == "other") & ~a.isin("", "other"), a).otherwise(x["own"]))
 
-    def added(s: Column, x: Column, kind: Column) -> Column:
-        keep = (kind != "references") & (x["text"] != "")
-        heading = F.when(x["heading"] == "", F.concat(F.lit("Untitled section "), s["n"].cast("string"))).otherwise(x["heading"])
-        row = F.struct(s["n"].alias("ordinal"), x["depth"].alias("depth"), heading.alias("heading"), kind.alias("section_type"), x["text"].alias("text"), T.word_count(x["text"]).alias("words"))
-        return F.struct(
-            F.concat(s["types"], F.array(kind)).alias("types"), (s["n"] + keep.cast("int")).alias("n"),
-            F.concat(s["kept"], F.when(keep, F.array(row)).otherwise(F.array().cast(SECTIONS))).alias("kept"),
-        ).cast(state)
+    def row(x: Column, k: Column) -> Column:
+        heading = F.when(x["heading"] == "", F.concat(F.lit("Untitled section "), (k + 1).cast("string"))).otherwise(x["heading"])
+        return F.struct((k + 1).alias("ordinal"), x["depth"].alias("depth"), heading.alias("heading"), x["kind"].alias("section_type"), x["text"].alias("text"), T.word_count(x["text"]).alias("words"))
 
-    return F.aggregate(found, start, step)["kept"]
+    # only types go along the fold: what its state holds is copied at each step
+    types = F.aggregate(found, F.array().cast("array<string>"), lambda types, x: F.concat(types, F.array(kind(types, x))))
+    named = F.zip_with(found, types, lambda x, kind: F.struct(x["depth"].alias("depth"), x["heading"].alias("heading"), x["text"].alias("text"), kind.alias("kind")))
+    return F.transform(F.filter(named, lambda x: (x["kind"] != "references") & (x["text"] != "")), row).cast(SECTIONS)
 
 
 def sections(body: Column) -> Column:
@@ -129,33 +120,31 @@ def sections(body: Column) -> Column:
     sections is one section of type other; a null or blank body has none.
     """
 
-    def built(marks: Column, texts: Column, tree: Column) -> Column:
-        opens = F.filter(marks, lambda m: F.startswith(m, F.lit("<sec")))
-        pieces = F.transform(tree["owners"], lambda owner, k: F.struct(owner.alias("owner"), F.get(texts, k + 1).alias("text"), F.get(marks, k).alias("mark")))
-        one = F.transform(
-            F.sequence(F.lit(1), F.size(tree["depths"])),
-            lambda n: F.struct(
-                F.filter(pieces, lambda p: p["owner"] == n).alias("own"), F.get(tree["parents"], n - 1).alias("parent"), F.get(tree["depths"], n - 1).alias("depth"),
-            ),
-        )
-        read = F.transform(
-            F.when(F.size(tree["depths"]) > 0, one).otherwise(F.slice(one, 1, 0)),
-            lambda x: F.struct(
-                x["parent"].alias("parent"), x["depth"].alias("depth"), plain(F.regexp_extract(x["own"][0]["text"], HEAD, 3)).alias("heading"),
-                F.regexp_extract(x["own"][0]["mark"], r"""\ssec-type\s*=\s*["']([^"']*)["']""", 1).alias("given"),
-                plain(F.array_join(F.transform(x["own"], lambda p, k: F.when(k == 0, F.regexp_replace(p["text"], HEAD, "$1")).otherwise(p["text"])), " ")).alias("text"),
-            ),
-        )
-        typed = F.transform(read, lambda x: F.struct(x["parent"].alias("parent"), x["depth"].alias("depth"), x["heading"].alias("heading"), x["text"].alias("text"), section_type(x["heading"], x["given"]).alias("own")))
+    def read(x: Column, more: Column) -> Column:
+        """A section from the text behind its mark, and what follows behind sections and lists in it."""
+        heading = plain(F.regexp_extract(x["text"], HEAD, 3))
+        given = F.regexp_extract(x["mark"], r"""\ssec-type\s*=\s*["']([^"']*)["']""", 1)
+        text = plain(F.concat_ws(" ", F.regexp_replace(x["text"], HEAD, "$1"), F.transform(F.filter(more, lambda p: p["owner"] == x["owner"]), lambda p: p["text"])))
+        return F.struct(x["parent"].alias("parent"), x["depth"].alias("depth"), heading.alias("heading"), given.alias("given"), text.alias("text"))
+
+    def built(pieces: Column) -> Column:
+        opens = F.filter(pieces, lambda p: p["depth"].isNotNull())
+        more = F.filter(pieces, lambda p: p["depth"].isNull() & (p["owner"] > 0) & F.regexp_like(p["text"], F.lit(r"\S")))
+        found = T.let(more, lambda more: F.transform(opens, lambda x: read(x, more)))
+        return F.transform(found, lambda x: F.struct(x["parent"].alias("parent"), x["depth"].alias("depth"), x["heading"].alias("heading"), x["text"].alias("text"), section_type(x["heading"], x["given"]).alias("own")))
+
+    def alone(whole: Column) -> Column:
+        row = F.struct(F.lit(1).alias("ordinal"), F.lit(1).alias("depth"), F.lit("Body").alias("heading"), F.lit("other").alias("section_type"), whole.alias("text"), T.word_count(whole).alias("words"))
+        return F.when(whole == "", F.array().cast(SECTIONS)).otherwise(F.array(row).cast(SECTIONS))
+
+    def split(marks: Column) -> Column:
+        texts = F.split(body, MARK, -1)
+        pieces = T.let(texts, lambda texts: F.transform(_places(marks), lambda p, k: F.struct(p["owner"].alias("owner"), p["parent"].alias("parent"), p["depth"].alias("depth"), F.get(marks, k).alias("mark"), F.get(texts, k + 1).alias("text"))))
         whole = plain(F.array_join(texts, " "))
-        alone = F.array(F.struct(F.lit(1).alias("ordinal"), F.lit(1).alias("depth"), F.lit("Body").alias("heading"), F.lit("other").alias("section_type"), whole.alias("text"), T.word_count(whole).alias("words")))
-        return F.when(F.size(opens) > 0, _typed(typed)).when(whole == "", F.array().cast(SECTIONS)).otherwise(alone.cast(SECTIONS))
+        return F.when(F.exists(marks, lambda m: F.startswith(m, F.lit("<sec"))), T.let(built(pieces), _typed)).otherwise(T.let(whole, alone))
 
     body = F.coalesce(body, F.lit(""))
-    return T.let(
-        F.regexp_extract_all(body, F.lit(MARK), F.lit(0)),
-        lambda marks: T.let(F.struct(marks.alias("marks"), F.split(body, MARK, -1).alias("texts"), _owners(marks).alias("tree")), lambda x: built(x["marks"], x["texts"], x["tree"])),
-    )
+    return T.let(F.regexp_extract_all(body, F.lit(MARK), F.lit(0)), split)
 
 
 def with_abstract(found: Column, abstract: Column) -> Column:

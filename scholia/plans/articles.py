@@ -32,8 +32,8 @@ def escaped(c: Column) -> Column:
 
 def articles(s, d) -> DataFrame:
     """doc_id and the XML of an article for each document; some have no abstract, some no sections."""
-    t = table(s, d).withColumn("lines", F.filter(F.split(F.coalesce("body", F.lit("")), "\n"), lambda x: F.trim(F.regexp_replace(x, CONTROL, " ")) != ""))
-    t = t.withColumn("lines", F.transform("lines", lambda x: F.replace(escaped(F.regexp_replace(x, CONTROL, " ")), F.lit(" the "), F.lit(" <italic>the</italic> "))))
+    lines = F.filter(F.transform(F.split(F.coalesce("body", F.lit("")), "\n"), lambda x: F.regexp_replace(x, CONTROL, " ")), lambda x: F.trim(x) != "")
+    t = table(s, d).withColumn("lines", F.transform(lines, lambda x: F.replace(escaped(x), F.lit(" the "), F.lit(" <italic>the</italic> "))))
     heads = F.array(*[F.lit(h) for h in HEADS])
     heading = lambda k: F.when(k % 7 == 5, F.lit("")).otherwise(F.get(heads, ((F.col("n_chars") + k) % len(HEADS)).cast("int")))
     given = lambda k: F.when((F.col("doc_id") + k) % 12 == 0, "methods").when((F.col("doc_id") + k) % 29 == 0, "conclusions").otherwise("")
@@ -92,7 +92,8 @@ def records(s, d) -> DataFrame:
 @query(f"WITH {_LINES} SELECT doc_id, CAST(ordinal AS INT) AS ordinal, CAST(depth AS INT) AS depth, heading, section_type, {_WORDS} AS words, md5(text) AS digest FROM sections")
 def jats_sections(s, d):
     """Sections of parsed articles with types that go down the tree; sections of references go with all below them."""
-    rows = records(s, d).select("doc_id", F.explode("sections").alias("x"))
+    # outer, since Spark sends what it infers of an inner one down to the scan, where it builds and parses every article a second time
+    rows = records(s, d).select("doc_id", F.explode_outer("sections").alias("x")).where("x IS NOT NULL")
     return rows.select("doc_id", "x.ordinal", "x.depth", "x.heading", "x.section_type", "x.words", F.md5("x.text").alias("digest"))
 
 

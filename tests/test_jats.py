@@ -90,3 +90,17 @@ def test_a_heading_is_brought_to_its_form_once(spark):
     rows = spark.createDataFrame([("2. Materials and methods.", ""), ("Overview", "Intro"), (None, None)], "h string, g string").coalesce(1).select(section_type(F.col("h"), F.col("g")).alias("t"))
     assert rows._jdf.queryExecution().optimizedPlan().toString().count(r"^\d+(?:\.\d+)*") == 1
     assert [r["t"] for r in rows.collect()] == ["methods", "introduction", "other"]
+
+
+def test_an_article_is_built_and_parsed_once(spark, data):
+    from scholia.plans import articles
+
+    plan = articles.QUERIES["jats_sections"][0](spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml") == 1
+
+
+def test_text_behind_many_sections_stays_with_its_own(spark):
+    inner = "".join(f"<sec><title>T{k}</title><p>a{k}</p></sec><p>b{k}</p>\n<ref-list><ref>r</ref></ref-list>" for k in range(300))
+    (r,) = parsed(spark, [f"<article><body><sec><p>first</p>{inner}</sec></body></article>"])
+    got = [(s["ordinal"], s["depth"], s["heading"], s["text"]) for s in r["sections"]]
+    assert got == [(1, 1, "Untitled section 1", " ".join(["first", *(f"b{k}" for k in range(300))])), *[(k + 2, 2, f"T{k}", f"a{k}") for k in range(300)]]
